@@ -1,37 +1,61 @@
 """Registered queries: Spark side and (where SQL can express it) the oracle.
 
 Each query takes ``(spark, sf_dir)``, derives its inputs from the driver's
-tables through ``tripdemand.fixtures`` and returns a lazy DataFrame. The
-oracle SQL for the same key runs in DuckDB over the same tables.
+tables through ``tripdemand.fixtures`` and returns a lazy DataFrame (a few
+run a write or a model fit first). The oracle SQL for the same key runs in
+DuckDB over the same tables (see ``tripdemand.oracle.fixture_sql``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripdemand import fixtures as fx
-from tripdemand.operators import aggregates, cleaning, warehouse
+from tripdemand.operators import aggregates, cleaning, ml, quality, reports, warehouse
 from tripdemand.operators import weather as wx
 from tripdemand.oracle.fixture_sql import with_ctes
+from tripdemand.plans import warehouse as job
+from tripdemand.session import scratch_path
+from tripdemand.sources import trips as src
 from tripdemand.sources import zones
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+# trees for registered model queries: the library default is 300, which is
+# minutes per fit; the registered checks fit a short ensemble of the same kind
+REGISTERED_TREES = 20
 
-def register(name: str, sql: str | None = None):
+
+def register(name: str, sql: str | None = None, extra: dict[str, str] | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = with_ctes(sql)
+            ORACLE[name] = with_ctes(sql, extra)
         return fn
     return deco
 
 
+# --- SQL helpers for the oracle (same arithmetic as tripdemand.functions) -----
+
+def emean(x: str, places: int) -> str:
+    s = 10 ** places
+    return f"(SUM(CAST(ROUND(({x}) * {s}.0) AS BIGINT)) / (COUNT({x}) * {s}))"
+
+
+def ssum(x: str, places: int) -> str:
+    s = 10 ** places
+    return f"(SUM(CAST(ROUND(({x}) * {s}.0) AS BIGINT)) / {s}.0)"
+
+
+def reven(x: str, places: int) -> str:
+    s = 10 ** places
+    return f"(round_even(({x}) * {s}.0, 0) / {s}.0)"
+
+
 # --- building blocks (lazy DataFrames over the fixture) -----------------------
 
 def clean_yellow_df(spark, sf_dir):
@@ -50,21 +74,146 @@ def fact_df(spark, sf_dir):
     return warehouse.fact_trips(clean_all_df(spark, sf_dir))
 
 
+def fact_rows_df(spark, sf_dir):
+    """Fact rows without ids (aggregates never read the id)."""
+    return warehouse.conform_fact(clean_all_df(spark, sf_dir))
+
+
 def dim_weather_df(spark, sf_dir):
     return wx.build_dim_weather(fx.weather_hourly(spark, sf_dir))
 
 
 def agg_hourly_df(spark, sf_dir):
-    return aggregates.agg_hourly_demand(fact_df(spark, sf_dir), zones.dim_operator(spark),
+    return aggregates.agg_hourly_demand(fact_rows_df(spark, sf_dir), zones.dim_operator(spark),
                                         dim_weather_df(spark, sf_dir))
 
 
 def agg_zone_df(spark, sf_dir):
-    return aggregates.agg_zone_demand(fact_df(spark, sf_dir), zones.dim_operator(spark),
+    return aggregates.agg_zone_demand(fact_rows_df(spark, sf_dir), zones.dim_operator(spark),
                                       zones.builtin_dim_location(spark))
 
 
-# --- sources, cleaning ---------------------------------------------------------
+def zone_profile_df(spark, sf_dir, month=None, category=reports.ALL_CATEGORIES):
+    return reports.zone_profile(agg_zone_df(spark, sf_dir), month, category)
+
+
+def hourly_profile_df(spark, sf_dir, month=None, category=reports.ALL_CATEGORIES):
+    return reports.hourly_profile(agg_hourly_df(spark, sf_dir), month, category)
+
+
+def features_df(spark, sf_dir):
+    return ml.build_features(agg_hourly_df(spark, sf_dir))
+
+
+def split_df(spark, sf_dir):
+    return ml.time_split(features_df(spark, sf_dir), fx.FIXTURE_CUT)
+
+
+def baseline_df(spark, sf_dir):
+    train, test = split_df(spark, sf_dir)
+    return ml.baseline_predictions(train, test)
+
+
+def _fit(spark, sf_dir):
+    train, test = split_df(spark, sf_dir)
+    return ml.fit_demand(train, n_trees=REGISTERED_TREES), train, test
+
+
+# --- oracle CTEs above the warehouse ------------------------------------------
+
+_PROFILE_MEANS = ", ".join(f"ROUND({emean(c, 2)}, 2) AS {c}"
+                           for c in ("avg_fare", "avg_tip", "avg_distance", "avg_duration_min"))
+
+ZP = {"zone_profile": f"""
+  SELECT PULocationID, zone_name, category, operator_name,
+         CAST(SUM(trip_count) AS BIGINT) AS trip_count, {_PROFILE_MEANS}
+  FROM agg_zone_demand GROUP BY 1, 2, 3, 4"""}
+
+HP = {"hourly_profile": f"""
+  SELECT hour, day_of_week, category, operator_name,
+         CAST(SUM(trip_count) AS BIGINT) AS trip_count, {_PROFILE_MEANS}
+  FROM agg_hourly_demand GROUP BY 1, 2, 3, 4"""}
+
+_FEATURES_SQL = """
+  SELECT a.*,
+         CAST(month(date) AS INTEGER) AS month,
+         CAST(day_of_week IN (0, 6) AS INTEGER) AS is_weekend,
+         sin(2 * pi() * hour / 24) AS hour_sin, cos(2 * pi() * hour / 24) AS hour_cos,
+         sin(2 * pi() * day_of_week / 7) AS dow_sin, cos(2 * pi() * day_of_week / 7) AS dow_cos,
+         CAST(category = 'Modern' AS INTEGER) AS category_enc,
+         CASE operator_name WHEN 'Creative Mobile Tech' THEN 0 WHEN 'VeriFone' THEN 1
+              WHEN 'Uber' THEN 2 WHEN 'Lyft' THEN 3 ELSE -1 END AS operator_enc
+  FROM agg_hourly_demand a"""
+FEAT = {"features": _FEATURES_SQL}
+
+_BASELINE_SQL = {
+    "features": _FEATURES_SQL,
+    "train": f"SELECT * FROM features WHERE date < DATE '{fx.FIXTURE_CUT}'",
+    "test": f"SELECT * FROM features WHERE date >= DATE '{fx.FIXTURE_CUT}'",
+    "hist": """SELECT PULocationID, hour, operator_name, AVG(CAST(trip_count AS DOUBLE)) AS h
+               FROM train GROUP BY 1, 2, 3""",
+    "baseline": """
+  SELECT t.date, t.hour, t.day_of_week, t.PULocationID, t.category, t.operator_name, t.trip_count,
+         GREATEST(0.0::DOUBLE, COALESCE(h.h, (SELECT AVG(CAST(trip_count AS DOUBLE)) FROM train)))
+           AS prediction_clipped
+  FROM test t LEFT JOIN hist h USING (PULocationID, hour, operator_name)""",
+    "baseline_pred": f"""
+  SELECT *, {reven('prediction_clipped', 1)} AS predicted FROM baseline""",
+}
+
+
+# --- 2.1 sources and sinks -------------------------------------------------------
+
+def _landed(spark, sf_dir, leave_out=()):
+    """Write the fixture as monthly files; returns the landing root."""
+    root = scratch_path(spark, "landing")
+    for service, raw in (("yellow", fx.raw_yellow(spark, sf_dir)), ("fhvhv", fx.raw_fhvhv(spark, sf_dir))):
+        months = [m for m in fx.FIXTURE_MONTHS if (service, m) not in leave_out]
+        src.write_trip_files(raw, root, service, months)
+    return root
+
+
+@register("read_trips", "SELECT * FROM raw_yellow")
+def q_read_trips(spark, sf_dir):
+    root = _landed(spark, sf_dir)
+    return src.read_trips(spark, root, "yellow", fx.FIXTURE_MONTHS)
+
+
+_LEFT_OUT = (("fhvhv", fx.FIXTURE_MONTHS[-1]),)
+
+
+@register("missing_months", f"""
+  SELECT r.service, r.file_month
+  FROM (SELECT s.service, m.file_month
+        FROM (VALUES ('yellow'), ('fhvhv')) s(service),
+             (VALUES {", ".join(f"('{m}')" for m in fx.FIXTURE_MONTHS)}) m(file_month)) r
+  WHERE NOT EXISTS (
+    SELECT 1 FROM (SELECT 'yellow' AS service, file_month FROM raw_yellow
+                   UNION ALL SELECT 'fhvhv', file_month FROM raw_fhvhv) l
+    WHERE l.service = r.service AND l.file_month = r.file_month
+      AND NOT (l.service = '{_LEFT_OUT[0][0]}' AND l.file_month = '{_LEFT_OUT[0][1]}'))""")
+def q_missing_months(spark, sf_dir):
+    root = _landed(spark, sf_dir, leave_out=_LEFT_OUT)
+    landed = src.read_trips(spark, root, "yellow").select(F.lit("yellow").alias("service"), "file_month") \
+        .unionByName(src.read_trips(spark, root, "fhvhv").select(F.lit("fhvhv").alias("service"), "file_month"))
+    requested = [(s, m) for s in src.SERVICES for m in fx.FIXTURE_MONTHS]
+    return src.missing_months(spark, landed, requested)
+
+
+@register("clean_roundtrip", "SELECT * FROM clean_all")
+def q_clean_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "clean")
+    src.write_clean(clean_all_df(spark, sf_dir), path)
+    back = src.read_clean(spark, path)
+    return back.withColumn("file_month", F.col("file_month").cast("string"))
+
+
+@register("weather_explode", "SELECT * FROM weather_hourly")
+def q_weather_explode(spark, sf_dir):
+    return wx.explode_weather(wx.weather_payload(fx.weather_hourly(spark, sf_dir)))
+
+
+# --- 2.2 projections and filters ---------------------------------------------------
 
 @register("clean_yellow", "SELECT * FROM clean_yellow")
 def q_clean_yellow(spark, sf_dir):
@@ -76,12 +225,194 @@ def q_clean_hvfhv(spark, sf_dir):
     return clean_fhvhv_df(spark, sf_dir)
 
 
-# --- warehouse -------------------------------------------------------------------
-
-@register("fact_trips", "SELECT * FROM fact_trips")
-def q_fact_trips(spark, sf_dir):
-    return fact_df(spark, sf_dir)
+@register("zone_semi", """
+  SELECT * FROM raw_yellow
+  WHERE PULocationID IN (SELECT location_id FROM dim_location)
+    AND DOLocationID IN (SELECT location_id FROM dim_location)""")
+def q_zone_semi(spark, sf_dir):
+    return cleaning.zone_semi(fx.raw_yellow(spark, sf_dir), zones.builtin_dim_location(spark))
+
 
+@register("explore_clean", """
+  SELECT *, datediff('minute', tpep_pickup_datetime, tpep_dropoff_datetime) AS trip_duration_min,
+         CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hour,
+         dayname(tpep_pickup_datetime) AS day_of_week
+  FROM raw_yellow
+  WHERE fare_amount > 0 AND trip_distance > 0 AND total_amount > 0
+    AND PULocationID IS NOT NULL AND DOLocationID IS NOT NULL
+    AND datediff('minute', tpep_pickup_datetime, tpep_dropoff_datetime) BETWEEN 1 AND 180""")
+def q_explore_clean(spark, sf_dir):
+    return cleaning.explore_clean(fx.raw_yellow(spark, sf_dir))
+
+
+_RAW_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in (
+    "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "DOLocationID",
+    "trip_distance", "fare_amount", "tip_amount", "tolls_amount", "congestion_surcharge",
+    "Airport_fee", "cbd_congestion_fee", "total_amount", "file_month"))
+
+
+@register("anomaly_fare", f"SELECT * FROM raw_yellow WHERE fare_amount <= 0 ORDER BY {_RAW_ORDER} LIMIT 10")
+def q_anomaly_fare(spark, sf_dir):
+    return cleaning.negative_fares(fx.raw_yellow(spark, sf_dir), 10)
+
+
+@register("anomaly_distance",
+          f"SELECT * FROM raw_yellow WHERE trip_distance <= 0 ORDER BY {_RAW_ORDER} LIMIT 10")
+def q_anomaly_distance(spark, sf_dir):
+    return cleaning.invalid_distances(fx.raw_yellow(spark, sf_dir), 10)
+
+
+def _reject_sql(service, raw, p, d, fare, dist):
+    zin = "(SELECT location_id FROM dim_location)"
+    rules = [("pickup_zone", f"PULocationID IN {zin}"), ("dropoff_zone", f"DOLocationID IN {zin}"),
+             ("fare_positive", f"{fare} > 0"), ("distance_positive", f"{dist} > 0"),
+             ("distance_below_max", f"{dist} < 100"), ("dropoff_after_pickup", f"{d} > {p}"),
+             ("duration_in_range", f"datediff('second', {p}, {d}) BETWEEN 60 AND 10800")]
+    flags = ", ".join(f"NOT COALESCE({cond}, false) AS f{i}" for i, (_, cond) in enumerate(rules))
+    n = len(rules)
+    firsts = []
+    for i, (name, _) in enumerate(rules):
+        prior = " AND ".join([f"NOT f{j}" for j in range(i)] + [f"f{i}"])
+        firsts.append(f"SELECT '{service}' AS service, {i + 1} AS rule_order, '{name}' AS rule, "
+                      f"COUNT(*) FILTER (WHERE f{i}) AS failed_rows, "
+                      f"COUNT(*) FILTER (WHERE {prior}) AS first_failed_rows FROM flags_{service}")
+    kept = " AND ".join(f"NOT f{j}" for j in range(n))
+    firsts.append(f"SELECT '{service}', 0, 'all_rows', COUNT(*), COUNT(*) FROM flags_{service}")
+    firsts.append(f"SELECT '{service}', {n + 1}, 'kept', COUNT(*) FILTER (WHERE {kept}), "
+                  f"COUNT(*) FILTER (WHERE {kept}) FROM flags_{service}")
+    cte = {f"flags_{service}": f"SELECT {flags} FROM {raw}"}
+    return cte, " UNION ALL ".join(firsts)
+
+
+_RY_CTE, _RY_SQL = _reject_sql("yellow", "raw_yellow", "tpep_pickup_datetime", "tpep_dropoff_datetime",
+                               "fare_amount", "trip_distance")
+_RF_CTE, _RF_SQL = _reject_sql("fhvhv", "raw_fhvhv", "pickup_datetime", "dropoff_datetime",
+                               "base_passenger_fare", "trip_miles")
+
+
+@register("reject_reasons", f"SELECT service, rule_order, rule, CAST(failed_rows AS BIGINT) AS failed_rows, "
+          f"CAST(first_failed_rows AS BIGINT) AS first_failed_rows FROM ({_RY_SQL} UNION ALL {_RF_SQL})",
+          {**_RY_CTE, **_RF_CTE})
+def q_reject_reasons(spark, sf_dir):
+    return (cleaning.reject_reasons(fx.raw_yellow(spark, sf_dir), "yellow")
+            .unionByName(cleaning.reject_reasons(fx.raw_fhvhv(spark, sf_dir), "fhvhv")))
+
+
+@register("hourly_profile_month", f"""
+  SELECT hour, day_of_week, category, operator_name,
+         CAST(SUM(trip_count) AS BIGINT) AS trip_count, {_PROFILE_MEANS}
+  FROM agg_hourly_demand
+  WHERE date >= DATE '2024-02-01' AND date < DATE '2024-02-01' + INTERVAL 1 MONTH
+  GROUP BY 1, 2, 3, 4""")
+def q_hourly_profile_month(spark, sf_dir):
+    return hourly_profile_df(spark, sf_dir, month="2024-02-01")
+
+
+@register("zone_profile_month", f"""
+  SELECT PULocationID, zone_name, category, operator_name,
+         CAST(SUM(trip_count) AS BIGINT) AS trip_count, {_PROFILE_MEANS}
+  FROM agg_zone_demand WHERE month = TIMESTAMP '2024-02-01 00:00:00' GROUP BY 1, 2, 3, 4""")
+def q_zone_profile_month(spark, sf_dir):
+    return zone_profile_df(spark, sf_dir, month="2024-02-01")
+
+
+@register("zone_profile_category", f"""
+  SELECT PULocationID, zone_name, category, operator_name,
+         CAST(SUM(trip_count) AS BIGINT) AS trip_count, {_PROFILE_MEANS}
+  FROM agg_zone_demand WHERE category = 'Modern' GROUP BY 1, 2, 3, 4""")
+def q_zone_profile_category(spark, sf_dir):
+    return zone_profile_df(spark, sf_dir, category="Modern")
+
+
+# --- 2.3 joins ----------------------------------------------------------------------
+
+@register("fact_operator_join", """
+  SELECT f.*, o.operator_id, o.operator_name, o.taxi_type, o.category
+  FROM fact_trips f JOIN dim_operator o USING (operator_code)""")
+def q_fact_operator_join(spark, sf_dir):
+    return warehouse.fact_operator_join(fact_df(spark, sf_dir), zones.dim_operator(spark))
+
+
+@register("fact_weather_join", """
+  SELECT f.trip_id, CAST(f.pickup_datetime AS DATE) AS date,
+         CAST(hour(f.pickup_datetime) AS INTEGER) AS hour,
+         COALESCE(w.temperature, 0.0::DOUBLE) AS temperature,
+         COALESCE(w.precipitation, 0.0::DOUBLE) AS precipitation,
+         COALESCE(w.windspeed, 0.0::DOUBLE) AS windspeed,
+         COALESCE(w.is_rain, 0) AS is_rain, COALESCE(w.is_snow, 0) AS is_snow
+  FROM fact_trips f LEFT JOIN dim_weather w
+    ON CAST(f.pickup_datetime AS DATE) = w.date AND hour(f.pickup_datetime) = w.hour""")
+def q_fact_weather_join(spark, sf_dir):
+    fact = fact_df(spark, sf_dir)
+    p = F.col("pickup_datetime")
+    keyed = fact.select("trip_id", F.to_date(p).alias("date"), F.hour(p).alias("hour"))
+    w = dim_weather_df(spark, sf_dir).select("date", "hour", "temperature", "precipitation",
+                                             "windspeed", "is_rain", "is_snow")
+    joined = keyed.join(w, ["date", "hour"], "left")
+    return joined.select("trip_id", "date", "hour",
+                         *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("temperature", "precipitation", "windspeed")],
+                         *[F.coalesce(c, F.lit(0)).alias(c) for c in ("is_rain", "is_snow")])
+
+
+@register("demand_weather_defaults", """
+  SELECT a.* EXCLUDE (temperature, precipitation, windspeed, is_rain, is_snow),
+         COALESCE(w.temperature, 15.0::DOUBLE) AS temperature,
+         COALESCE(w.precipitation, 0.0::DOUBLE) AS precipitation,
+         COALESCE(w.windspeed, 10.0::DOUBLE) AS windspeed,
+         COALESCE(w.is_rain, 0) AS is_rain, COALESCE(w.is_snow, 0) AS is_snow
+  FROM agg_hourly_demand a LEFT JOIN dim_weather w USING (date, hour)""")
+def q_demand_weather_defaults(spark, sf_dir):
+    return wx.demand_weather_defaults(agg_hourly_df(spark, sf_dir), dim_weather_df(spark, sf_dir))
+
+
+@register("zone_features", f"""
+  SELECT g.LocationID, g.geometry, m.zone_name, m.trip_count, m.avg_fare, m.avg_distance
+  FROM geo_features g LEFT JOIN (
+    SELECT PULocationID, zone_name, CAST(SUM(trip_count) AS BIGINT) AS trip_count,
+           {emean('avg_fare', 2)} AS avg_fare, {emean('avg_distance', 2)} AS avg_distance
+    FROM zone_profile WHERE category = 'Modern' GROUP BY 1, 2) m
+  ON g.LocationID = m.PULocationID""", ZP)
+def q_zone_features(spark, sf_dir):
+    metrics = reports.zone_map(zone_profile_df(spark, sf_dir), "Modern")
+    return reports.zone_features(fx.zone_feature_collection(spark), metrics)
+
+
+@register("orphan_operators", """
+  SELECT operator_code, COUNT(*) AS trip_count FROM fact_trips
+  WHERE operator_code NOT IN (SELECT operator_code FROM dim_operator) GROUP BY 1""")
+def q_orphan_operators(spark, sf_dir):
+    return warehouse.orphan_operators(fact_rows_df(spark, sf_dir), zones.dim_operator(spark))
+
+
+@register("scenario_grid", f"""
+  SELECT s.date, s.PULocationID, s.category, s.operator_name,
+         CAST(h.hour AS INTEGER) AS hour, CAST(dayofweek(s.date) AS INTEGER) AS day_of_week,
+         CAST(month(s.date) AS INTEGER) AS month,
+         CAST(dayofweek(s.date) IN (0, 6) AS INTEGER) AS is_weekend,
+         CAST(s.category = 'Modern' AS INTEGER) AS category_enc,
+         CASE s.operator_name WHEN 'Creative Mobile Tech' THEN 0 WHEN 'VeriFone' THEN 1
+              WHEN 'Uber' THEN 2 WHEN 'Lyft' THEN 3 ELSE -1 END AS operator_enc,
+         sin(2 * pi() * h.hour / 24) AS hour_sin, cos(2 * pi() * h.hour / 24) AS hour_cos,
+         sin(2 * pi() * dayofweek(s.date) / 7) AS dow_sin, cos(2 * pi() * dayofweek(s.date) / 7) AS dow_cos,
+         s.temperature, s.precipitation, s.windspeed,
+         CAST(s.precipitation > 0.1::DOUBLE AS INTEGER) AS is_rain,
+         CAST(s.temperature <= 2.0::DOUBLE AND s.precipitation > 0.0::DOUBLE AS INTEGER) AS is_snow
+  FROM scenarios s CROSS JOIN (SELECT CAST(range AS INTEGER) AS hour FROM range(24)) h""",
+          {"scenarios": f"""
+  SELECT d.date, d.PULocationID, d.category, d.operator_name,
+         COALESCE({reven(emean('w.temperature', 1), 1)}, 15.0::DOUBLE) AS temperature,
+         COALESCE({reven(emean('w.precipitation', 2), 2)}, 0.0::DOUBLE) AS precipitation,
+         COALESCE({reven(emean('w.windspeed', 1), 1)}, 10.0::DOUBLE) AS windspeed
+  FROM (SELECT DISTINCT date, PULocationID, category, operator_name FROM agg_hourly_demand
+        WHERE date >= DATE '{fx.FIXTURE_CUT}') d
+  LEFT JOIN dim_weather w ON w.date = d.date
+  GROUP BY 1, 2, 3, 4"""})
+def q_scenario_grid(spark, sf_dir):
+    scen = ml.scenario_inputs(agg_hourly_df(spark, sf_dir), dim_weather_df(spark, sf_dir), fx.FIXTURE_CUT)
+    return ml.scenario_grid(scen)
+
+
+# --- 2.4 aggregations ---------------------------------------------------------------
 
 @register("agg_hourly_demand", "SELECT * FROM agg_hourly_demand")
 def q_agg_hourly_demand(spark, sf_dir):
@@ -91,3 +422,327 @@ def q_agg_hourly_demand(spark, sf_dir):
 @register("agg_zone_demand", "SELECT * FROM agg_zone_demand")
 def q_agg_zone_demand(spark, sf_dir):
     return agg_zone_df(spark, sf_dir)
+
+
+@register("zone_profile", "SELECT * FROM zone_profile", ZP)
+def q_zone_profile(spark, sf_dir):
+    return zone_profile_df(spark, sf_dir)
+
+
+@register("hourly_profile", "SELECT * FROM hourly_profile", HP)
+def q_hourly_profile(spark, sf_dir):
+    return hourly_profile_df(spark, sf_dir)
+
+
+@register("daily_profile", f"""
+  SELECT date, category, operator_name, CAST(SUM(trip_count) AS BIGINT) AS trip_count,
+         ROUND({emean('avg_fare', 2)}, 2) AS avg_fare, ROUND({emean('avg_tip', 2)}, 2) AS avg_tip
+  FROM agg_hourly_demand GROUP BY 1, 2, 3""")
+def q_daily_profile(spark, sf_dir):
+    return reports.daily_profile(agg_hourly_df(spark, sf_dir))
+
+
+@register("daily_trend", f"""
+  SELECT date, category, CAST(SUM(trip_count) AS BIGINT) AS trip_count
+  FROM agg_hourly_demand
+  WHERE date >= DATE '{fx.FIXTURE_TREND[0]}' AND date < DATE '{fx.FIXTURE_TREND[1]}'
+  GROUP BY 1, 2""")
+def q_daily_trend(spark, sf_dir):
+    return reports.daily_trend(agg_hourly_df(spark, sf_dir), *fx.FIXTURE_TREND)
+
+
+@register("kpis", f"""
+  SELECT CAST(SUM(trip_count) AS BIGINT) AS total_trips, {emean('avg_fare', 2)} AS avg_fare,
+         {emean('avg_tip', 2)} AS avg_tip, {emean('avg_distance', 2)} AS avg_distance,
+         COUNT(DISTINCT PULocationID) AS active_zones
+  FROM zone_profile""", ZP)
+def q_kpis(spark, sf_dir):
+    return reports.kpis(zone_profile_df(spark, sf_dir))
+
+
+@register("zone_map", f"""
+  SELECT PULocationID, zone_name, CAST(SUM(trip_count) AS BIGINT) AS trip_count,
+         {emean('avg_fare', 2)} AS avg_fare, {emean('avg_distance', 2)} AS avg_distance
+  FROM zone_profile WHERE category = 'Konvensional' GROUP BY 1, 2""", ZP)
+def q_zone_map(spark, sf_dir):
+    return reports.zone_map(zone_profile_df(spark, sf_dir), "Konvensional")
+
+
+@register("market_share", """
+  SELECT category, trip_count, trip_count * 100.0::DOUBLE / SUM(trip_count) OVER () AS percent
+  FROM (SELECT category, CAST(SUM(trip_count) AS BIGINT) AS trip_count FROM zone_profile GROUP BY 1)""",
+          ZP)
+def q_market_share(spark, sf_dir):
+    return reports.market_share(zone_profile_df(spark, sf_dir))
+
+
+@register("operator_volume", """
+  SELECT operator_name, CAST(SUM(trip_count) AS BIGINT) AS trip_count
+  FROM zone_profile GROUP BY 1 ORDER BY 2 DESC, 1""", ZP)
+def q_operator_volume(spark, sf_dir):
+    return reports.operator_volume(zone_profile_df(spark, sf_dir))
+
+
+@register("hour_volume", """
+  SELECT hour, category, CAST(SUM(trip_count) AS BIGINT) AS trip_count
+  FROM hourly_profile GROUP BY 1, 2""", HP)
+def q_hour_volume(spark, sf_dir):
+    return reports.hour_volume(hourly_profile_df(spark, sf_dir))
+
+
+@register("operator_means", f"""
+  SELECT operator_name, {emean('avg_fare', 2)} AS avg_fare, {emean('avg_tip', 2)} AS avg_tip,
+         {emean('avg_distance', 2)} AS avg_distance
+  FROM zone_profile GROUP BY 1""", ZP)
+def q_operator_means(spark, sf_dir):
+    return reports.operator_means(zone_profile_df(spark, sf_dir))
+
+
+@register("hour_fare", f"""
+  SELECT hour, category, {emean('avg_fare', 2)} AS avg_fare FROM hourly_profile GROUP BY 1, 2""", HP)
+def q_hour_fare(spark, sf_dir):
+    return reports.hour_fare(hourly_profile_df(spark, sf_dir))
+
+
+_DAILY_WEATHER = {"weather_daily": f"""
+  SELECT date,
+         {reven(emean('temperature', 1), 1)} AS avg_temp,
+         {reven('MAX(temperature)', 1)} AS max_temp,
+         {reven('MIN(temperature)', 1)} AS min_temp,
+         {reven(ssum('precipitation', 2), 1)} AS total_precip,
+         {reven('MAX(snowfall)', 1)} AS max_snowfall,
+         MAX(is_rain) AS had_rain, MAX(is_snow) AS had_snow
+  FROM dim_weather GROUP BY 1"""}
+
+
+@register("weather_daily", "SELECT * FROM weather_daily", _DAILY_WEATHER)
+def q_weather_daily(spark, sf_dir):
+    return wx.weather_daily(dim_weather_df(spark, sf_dir))
+
+
+@register("weather_kpis", f"""
+  SELECT {emean('avg_temp', 1)} AS mean_temp, MIN(min_temp) AS lowest_temp,
+         CAST(SUM(had_rain) AS BIGINT) AS rain_days, CAST(SUM(had_snow) AS BIGINT) AS snow_days
+  FROM weather_daily""", _DAILY_WEATHER)
+def q_weather_kpis(spark, sf_dir):
+    return wx.weather_kpis(wx.weather_daily(dim_weather_df(spark, sf_dir)))
+
+
+@register("dim_weather", "SELECT * FROM dim_weather")
+def q_dim_weather(spark, sf_dir):
+    return dim_weather_df(spark, sf_dir)
+
+
+@register("actual_vs_predicted", f"""
+  SELECT date, category, Tipe, trip_count FROM (
+    SELECT date, category, CAST(SUM(trip_count) AS DOUBLE) AS Aktual,
+           {ssum('predicted', 1)} AS Prediksi
+    FROM baseline_pred GROUP BY 1, 2)
+  UNPIVOT (trip_count FOR Tipe IN (Aktual, Prediksi))""", _BASELINE_SQL)
+def q_actual_vs_predicted(spark, sf_dir):
+    return reports.actual_vs_predicted(baseline_df(spark, sf_dir))
+
+
+@register("pipeline_row_counts", """
+  SELECT * FROM (VALUES
+    ('dim_location', (SELECT COUNT(*) FROM dim_location)),
+    ('dim_operator', (SELECT COUNT(*) FROM dim_operator)),
+    ('fact_trips', (SELECT COUNT(*) FROM fact_trips)),
+    ('agg_hourly_demand', (SELECT COUNT(*) FROM agg_hourly_demand)),
+    ('agg_zone_demand', (SELECT COUNT(*) FROM agg_zone_demand))) t("table", row_count)""")
+def q_pipeline_row_counts(spark, sf_dir):
+    root = _landed(spark, sf_dir)
+    paths = job.build_warehouse(spark, root, scratch_path(spark, "warehouse"), fx.FIXTURE_MONTHS,
+                                fx.weather_hourly(spark, sf_dir))
+    return job.warehouse_row_counts(spark, paths)
+
+
+@register("service_counts", """
+  SELECT CASE WHEN operator_code IN ('1', '2') THEN 'yellow' ELSE 'fhvhv' END AS service,
+         COUNT(*) AS trip_count
+  FROM fact_trips WHERE operator_code IN ('1', '2', 'HV0003', 'HV0005') GROUP BY 1""")
+def q_service_counts(spark, sf_dir):
+    return warehouse.service_counts(fact_rows_df(spark, sf_dir), zones.SERVICE_CODES)
+
+
+_PROFILE_COLS = ("VendorID", "PULocationID", "DOLocationID", "trip_distance", "fare_amount",
+                 "tip_amount", "tolls_amount", "congestion_surcharge", "Airport_fee",
+                 "cbd_congestion_fee", "total_amount")
+
+
+def _profile_sql():
+    parts = []
+    for c in _PROFILE_COLS:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS \"column\", COUNT({x}) AS count, ROUND(AVG({x}), 6) AS mean, "
+            f"ROUND(STDDEV_SAMP({x}), 6) AS std, MIN({x}) AS min, "
+            f"quantile_cont({x}, 0.25) AS q25, quantile_cont({x}, 0.5) AS q50, "
+            f"quantile_cont({x}, 0.75) AS q75, MAX({x}) AS max FROM raw_yellow")
+    return " UNION ALL ".join(parts)
+
+
+@register("profile", _profile_sql())
+def q_profile(spark, sf_dir):
+    return quality.profile(fx.raw_yellow(spark, sf_dir), _PROFILE_COLS)
+
+
+_RAW_Y_COLS = ("VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID",
+               "DOLocationID", "trip_distance", "fare_amount", "tip_amount", "tolls_amount",
+               "congestion_surcharge", "Airport_fee", "cbd_congestion_fee", "total_amount", "file_month")
+_RAW_Y_TYPES = ("int", "timestamp_ntz", "timestamp_ntz", "int", "int", "double", "double", "double",
+                "double", "double", "double", "double", "double", "string")
+
+
+@register("missing_values", " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS \"column\", COUNT(*) FILTER (WHERE {c} IS NULL"
+    + (f" OR isnan({c})" if t == "double" else "") + ") AS missing FROM raw_yellow"
+    for i, (c, t) in enumerate(zip(_RAW_Y_COLS, _RAW_Y_TYPES))))
+def q_missing_values(spark, sf_dir):
+    return quality.missing_values(fx.raw_yellow(spark, sf_dir))
+
+
+@register("schema_report", " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS \"column\", '{t}' AS type, COUNT({c}) AS non_null FROM raw_yellow"
+    for i, (c, t) in enumerate(zip(_RAW_Y_COLS, _RAW_Y_TYPES))))
+def q_schema_report(spark, sf_dir):
+    return quality.schema_report(fx.raw_yellow(spark, sf_dir))
+
+
+# --- 2.5 windows ---------------------------------------------------------------------
+
+@register("trip_id", "SELECT trip_id, operator_code, pickup_datetime FROM fact_trips")
+def q_trip_id(spark, sf_dir):
+    return fact_df(spark, sf_dir).select("trip_id", "operator_code", "pickup_datetime")
+
+
+@register("operator_share", """
+  SELECT category, operator_name, total_trip,
+         ROUND(total_trip * 100.0::DOUBLE / SUM(total_trip) OVER (), 1) AS persen
+  FROM (SELECT o.category, o.operator_name, COUNT(*) AS total_trip
+        FROM fact_trips f JOIN dim_operator o USING (operator_code) GROUP BY 1, 2)""")
+def q_operator_share(spark, sf_dir):
+    return warehouse.operator_share(fact_rows_df(spark, sf_dir), zones.dim_operator(spark))
+
+
+# --- 2.6 sort, top-k, reshape ------------------------------------------------------------
+
+@register("fact_trips", "SELECT * FROM fact_trips")
+def q_fact_trips(spark, sf_dir):
+    return fact_df(spark, sf_dir)
+
+
+@register("top_zones", """
+  SELECT * FROM (
+    SELECT category, zone_name, CAST(SUM(trip_count) AS BIGINT) AS trip_count,
+           CAST(ROW_NUMBER() OVER (PARTITION BY category ORDER BY SUM(trip_count) DESC, zone_name)
+                AS INTEGER) AS rank
+    FROM zone_profile GROUP BY 1, 2) WHERE rank <= 10""", ZP)
+def q_top_zones(spark, sf_dir):
+    return reports.top_zones(zone_profile_df(spark, sf_dir), 10)
+
+
+@register("sample_rows", """
+  SELECT trip_id, operator_code, PULocationID, DOLocationID, pickup_datetime, trip_duration_min,
+         trip_distance, fare_amount, tip_amount, total_amount
+  FROM fact_trips ORDER BY trip_id LIMIT 5""")
+def q_sample_rows(spark, sf_dir):
+    cols = ("trip_id", "operator_code", "PULocationID", "DOLocationID", "pickup_datetime",
+            "trip_duration_min", "trip_distance", "fare_amount", "tip_amount", "total_amount")
+    return quality.sample_rows(fact_df(spark, sf_dir), 5, cols, ["trip_id"])
+
+
+@register("zone_list", "SELECT DISTINCT PULocationID, zone_name FROM agg_zone_demand")
+def q_zone_list(spark, sf_dir):
+    return reports.zone_list(agg_zone_df(spark, sf_dir))
+
+
+@register("zone_id_by_name", """
+  SELECT zone_name, MAX(PULocationID) AS PULocationID
+  FROM (SELECT DISTINCT PULocationID, zone_name FROM agg_zone_demand) GROUP BY 1""")
+def q_zone_id_by_name(spark, sf_dir):
+    return reports.zone_id_by_name(reports.zone_list(agg_zone_df(spark, sf_dir)))
+
+
+_DAY_LABELS_SQL = "[" + ", ".join(f"'{d}'" for d in reports.DAY_LABELS) + "]"
+_ROW_ORDER_SQL = "[" + ", ".join(f"'{d}'" for d in reports.HEATMAP_ROW_ORDER) + "]"
+
+
+@register("demand_heatmap", f"""
+  SELECT {_DAY_LABELS_SQL}[day_of_week + 1] AS day_label,
+         CAST(list_position({_ROW_ORDER_SQL}, {_DAY_LABELS_SQL}[day_of_week + 1]) - 1 AS INTEGER) AS row_order,
+         {", ".join(f'CAST(SUM(trip_count) FILTER (WHERE hour = {h}) AS BIGINT) AS "{h}"' for h in range(24))}
+  FROM hourly_profile GROUP BY day_of_week""", HP)
+def q_demand_heatmap(spark, sf_dir):
+    return reports.demand_heatmap(hourly_profile_df(spark, sf_dir))
+
+
+# --- 2.8 machine learning -----------------------------------------------------------------
+
+@register("demand_features", "SELECT * FROM features", FEAT)
+def q_demand_features(spark, sf_dir):
+    return features_df(spark, sf_dir)
+
+
+@register("time_split_counts", f"""
+  SELECT 'train' AS split, COUNT(*) AS row_count FROM features WHERE date < DATE '{fx.FIXTURE_CUT}'
+  UNION ALL
+  SELECT 'test', COUNT(*) FROM features WHERE date >= DATE '{fx.FIXTURE_CUT}'""", FEAT)
+def q_time_split_counts(spark, sf_dir):
+    train, test = split_df(spark, sf_dir)
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(name).alias("split"), "row_count")
+    return count(train, "train").unionByName(count(test, "test"))
+
+
+@register("regression_metrics", f"""
+  SELECT 'baseline' AS model_name,
+         ROUND(sqrt(SUM((trip_count - prediction_clipped) * (trip_count - prediction_clipped)) / COUNT(*)), 4) AS rmse,
+         ROUND(SUM(abs(trip_count - prediction_clipped)) / COUNT(*), 4) AS mae,
+         ROUND(1.0::DOUBLE - SUM((trip_count - prediction_clipped) * (trip_count - prediction_clipped))
+               / (CAST(SUM(trip_count * trip_count) AS DOUBLE)
+                  - CAST(SUM(trip_count) AS DOUBLE) * CAST(SUM(trip_count) AS DOUBLE) / COUNT(*)), 4) AS r2,
+         (SELECT COUNT(*) FROM train) AS train_rows, COUNT(*) AS test_rows
+  FROM baseline""", _BASELINE_SQL)
+def q_regression_metrics(spark, sf_dir):
+    train, test = split_df(spark, sf_dir)
+    pred = ml.baseline_predictions(train, test)
+    return ml.regression_metrics(pred, model_name="baseline",
+                                 train_rows=train.count())
+
+
+@register("fit_demand")
+def q_fit_demand(spark, sf_dir):
+    model, train, _ = _fit(spark, sf_dir)
+    gbt = model.stages[-1]
+    rows = [(i, float(w), int(t.numNodes), int(t.depth))
+            for i, (w, t) in enumerate(zip(gbt.treeWeights, gbt.trees))]
+    return spark.createDataFrame(rows, "tree int, weight double, nodes int, depth int")
+
+
+@register("predict")
+def q_predict(spark, sf_dir):
+    model, _, test = _fit(spark, sf_dir)
+    return ml.predict_demand(model, test)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    model, _, _ = _fit(spark, sf_dir)
+    return ml.feature_importance(model, spark)
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    train, test = split_df(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    ml.load_or_train(path, train, n_trees=REGISTERED_TREES)   # trains and saves
+    reloaded = ml.load_model(path)                             # reads back
+    return ml.predict_demand(reloaded, test)
+
+
+@register("score_scenarios")
+def q_score_scenarios(spark, sf_dir):
+    model, _, _ = _fit(spark, sf_dir)
+    scen = ml.scenario_inputs(agg_hourly_df(spark, sf_dir), dim_weather_df(spark, sf_dir), fx.FIXTURE_CUT)
+    return ml.score_scenarios(model, ml.scenario_grid(scen))

@@ -38,6 +38,15 @@ def to_fact_schema(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*[F.col(n).cast(t).alias(n) for n, t in FACT_TYPES], *keep)
 
 
+def conform_fact(clean: DataFrame) -> DataFrame:
+    """Clean trips in fact types, without ids: all that the aggregates read.
+
+    Aggregating never needs the id, so aggregate jobs over freshly cleaned
+    trips skip the id assignment (a global sort) entirely.
+    """
+    return clean.select(*[F.col(n).cast(t).alias(n) for n, t in FACT_TYPES if n != "trip_id"])
+
+
 def load_order(service_col: str = "service", month_col: str = "file_month") -> list[Column]:
     """Deterministic total order of clean trips for id assignment.
 
