@@ -699,11 +699,16 @@ def q_time_split_counts(spark, sf_dir):
   SELECT 'baseline' AS model_name,
          ROUND(sqrt(SUM((trip_count - prediction_clipped) * (trip_count - prediction_clipped)) / COUNT(*)), 4) AS rmse,
          ROUND(SUM(abs(trip_count - prediction_clipped)) / COUNT(*), 4) AS mae,
-         ROUND(1.0::DOUBLE - SUM((trip_count - prediction_clipped) * (trip_count - prediction_clipped))
-               / (CAST(SUM(trip_count * trip_count) AS DOUBLE)
-                  - CAST(SUM(trip_count) AS DOUBLE) * CAST(SUM(trip_count) AS DOUBLE) / COUNT(*)), 4) AS r2,
+         ROUND(CASE WHEN sst = 0 THEN CASE WHEN sse = 0 THEN 1.0 ELSE 0.0 END
+                    ELSE 1.0::DOUBLE - sse / sst END, 4) AS r2,
          (SELECT COUNT(*) FROM train) AS train_rows, COUNT(*) AS test_rows
-  FROM baseline""", _BASELINE_SQL)
+  FROM (SELECT *,
+               SUM((trip_count - prediction_clipped) * (trip_count - prediction_clipped)) OVER () AS sse,
+               CAST(SUM(trip_count * trip_count) OVER () AS DOUBLE)
+                 - CAST(SUM(trip_count) OVER () AS DOUBLE) * CAST(SUM(trip_count) OVER () AS DOUBLE)
+                   / COUNT(*) OVER () AS sst
+        FROM baseline)
+  GROUP BY sse, sst""", _BASELINE_SQL)
 def q_regression_metrics(spark, sf_dir):
     train, test = split_df(spark, sf_dir)
     pred = ml.baseline_predictions(train, test)

@@ -142,12 +142,13 @@ def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zone_feature_collection(spark: SparkSession) -> DataFrame:
     """A one-row GeoJSON FeatureCollection: one feature per zone, plus one extra id.
 
-    Geometry is carried as an opaque polygon; only the ``LocationID``
+    Geometry is carried as an opaque empty polygon; only the ``LocationID``
     property matters to the join.
     """
     ids = [z[0] for z in ZONE_ROWS] + [GEO_EXTRA_ID]
-    feats = [{"type": "Feature", "properties": {"LocationID": i},
-              "geometry": {"type": "Polygon", "coordinates": []}} for i in ids]
-    schema = ("type string, features array<struct<type string, properties struct<LocationID int>, "
-              "geometry struct<type string, coordinates array<array<array<double>>>>>>")
-    return spark.createDataFrame([("FeatureCollection", feats)], schema)
+    polygon = F.struct(F.lit("Polygon").alias("type"),
+                       F.array().cast("array<array<array<double>>>").alias("coordinates"))
+    feats = F.array(*[F.struct(F.lit("Feature").alias("type"),
+                               F.struct(F.lit(i).cast("int").alias("LocationID")).alias("properties"),
+                               polygon.alias("geometry")) for i in ids])
+    return spark.range(1).select(F.lit("FeatureCollection").alias("type"), feats.alias("features"))

@@ -4,6 +4,7 @@ from tripdemand.functions.columns import (
     boundary_diff,
     day_of_week_sun0,
     exact_mean,
+    literal_frame,
     month_start,
     round_half_away,
     round_half_even,
@@ -14,6 +15,7 @@ __all__ = [
     "boundary_diff",
     "day_of_week_sun0",
     "exact_mean",
+    "literal_frame",
     "month_start",
     "round_half_away",
     "round_half_even",

@@ -7,24 +7,32 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_UNIT_MICROS = {"second": 1_000_000, "minute": 60_000_000}
+
+def _of_day(unit: str, ts: Column) -> Column:
+    """Whole ``unit``s elapsed since midnight (fraction dropped)."""
+    if unit == "second":
+        return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    if unit == "minute":
+        return F.hour(ts) * 60 + F.minute(ts)
+    raise ValueError(f"unsupported unit {unit!r}")
+
+
+_PER_DAY = {"second": 86_400, "minute": 1_440}
 
 
 def boundary_diff(unit: str, start: Column, end: Column) -> Column:
     """Number of ``unit`` boundaries crossed between ``start`` and ``end``.
 
     This is SQL ``DATEDIFF(unit, start, end)`` on timestamps: 00:00:00.9 ->
-    00:01:00.1 is 60 seconds although only 59.2 s elapse. Computed as
-    floor((micros of start within the unit + elapsed micros) / unit micros),
-    entirely on zone-less values, so the session time zone never matters.
+    00:01:00.1 is 60 seconds although only 59.2 s elapse. Computed from the
+    calendar fields of the zone-less values (day difference plus
+    units-of-day), so neither the session time zone nor daylight-saving
+    changes can move it.
     """
-    unit_us = _UNIT_MICROS[unit]
-    elapsed_us = F.timestamp_diff("MICROSECOND", start, end)
-    # seconds-with-fraction of the minute, as integer micros (0 .. 59_999_999)
-    within_minute_us = (F.date_part(F.lit("SECOND"), start) * 1_000_000).cast("long")
-    offset_us = F.pmod(within_minute_us, F.lit(unit_us))
-    return F.floor((offset_us + elapsed_us) / F.lit(unit_us))
+    days = F.datediff(F.to_date(end), F.to_date(start)).cast("long")
+    return days * _PER_DAY[unit] + (_of_day(unit, end) - _of_day(unit, start))
 
 
 def round_half_away(col: Column, places: int) -> Column:
@@ -53,6 +61,20 @@ def month_start(ts: Column) -> Column:
     return F.trunc(F.to_date(ts), "month").cast("timestamp_ntz")
 
 
+def literal_frame(spark, rows, schema):
+    """A small literal table built in the JVM (no Python worker at run time).
+
+    ``schema`` is a ``StructType`` or a DDL string ``"a int, b string"``;
+    ``rows`` are tuples in field order.
+    """
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    fields = schema.fields
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
+               for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def scaled_sum(col: Column, places: int) -> Column:
     """Exact sum of decimal quantities with at most ``places`` decimals.
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -106,8 +107,18 @@ def demand_pipeline(n_trees: int = 300, max_depth: int = 6, learning_rate: float
 
 
 def fit_demand(train: DataFrame, **params) -> PipelineModel:
-    """Fit the demand pipeline on feature rows (label ``trip_count``)."""
-    return demand_pipeline(**params).fit(train.withColumn("trip_count", F.col("trip_count").cast("double")))
+    """Fit the demand pipeline on feature rows (label ``trip_count``).
+
+    Boosting makes many passes over the training rows; they are persisted
+    (memory, spilling to disk) for the fit so upstream stages run once. The
+    rows are hourly aggregates, bounded by calendar x zones x operators.
+    """
+    rows = train.withColumn("trip_count", F.col("trip_count").cast("double")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        return demand_pipeline(**params).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def clipped(prediction: Column) -> Column:
@@ -129,7 +140,8 @@ def regression_metrics(pred: DataFrame, label: str = "trip_count",
 
     The label is a count, so its first and second moments are exact integer
     sums and the total sum of squares needs no second pass:
-    SST = sum(y^2) - sum(y)^2 / n.
+    SST = sum(y^2) - sum(y)^2 / n. A constant label (SST = 0) scores R^2 = 1
+    for a perfect fit and 0 otherwise, the usual finite convention.
     """
     y, p = F.col(label), F.col(prediction).cast("double")
     err = y.cast("double") - p
@@ -144,7 +156,8 @@ def regression_metrics(pred: DataFrame, label: str = "trip_count",
         F.lit(model_name).alias("model_name"),
         round_half_away(F.sqrt(F.col("sse") / F.col("n")), 4).alias("rmse"),
         round_half_away(F.col("sae") / F.col("n"), 4).alias("mae"),
-        round_half_away(F.lit(1.0) - F.col("sse") / sst, 4).alias("r2"),
+        round_half_away(F.when(sst == 0, F.when(F.col("sse") == 0, 1.0).otherwise(0.0))
+                        .otherwise(F.lit(1.0) - F.col("sse") / sst), 4).alias("r2"),
         train.cast("long").alias("train_rows"),
         F.col("n").cast("long").alias("test_rows"),
     )

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripdemand.functions import literal_frame
+
 SERVICES = ("yellow", "fhvhv")
 FILE_MONTH_PATTERN = r"_tripdata_(\d{4}-\d{2})\.parquet"
 
@@ -93,7 +95,7 @@ def missing_months(spark: SparkSession, trips: DataFrame,
     partial-aggregated distinct (services x months rows); the request list is
     the small side of an anti join.
     """
-    req = spark.createDataFrame(list(requested), "service string, file_month string")
+    req = literal_frame(spark, list(requested), "service string, file_month string")
     landed = trips.select("service", "file_month").distinct()
     return req.join(landed, ["service", "file_month"], "left_anti")
 

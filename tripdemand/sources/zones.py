@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripdemand.functions import literal_frame
+
 # --- fixed values (must equal the reference's) -------------------------------
 # Pickup/dropoff zones kept by the cleaners: the 55 Manhattan "Yellow Zone"
 # ids of the public taxi zone lookup, ascending.
@@ -133,9 +135,9 @@ def dim_location(zone_lookup: DataFrame, zone_ids=ZONE_IDS) -> DataFrame:
 
 def builtin_dim_location(spark: SparkSession) -> DataFrame:
     """The 55-row location dimension from the fixed values above."""
-    return spark.createDataFrame(list(ZONE_ROWS), DIM_LOCATION_SCHEMA)
+    return literal_frame(spark, ZONE_ROWS, DIM_LOCATION_SCHEMA)
 
 
 def dim_operator(spark: SparkSession) -> DataFrame:
     """Literal 4-row operator dimension."""
-    return spark.createDataFrame(list(OPERATOR_ROWS), DIM_OPERATOR_SCHEMA)
+    return literal_frame(spark, OPERATOR_ROWS, DIM_OPERATOR_SCHEMA)
