@@ -56,14 +56,27 @@ def reven(x: str, places: int) -> str:
     return f"(round_even(({x}) * {s}.0, 0) / {s}.0)"
 
 
-# --- building blocks (lazy DataFrames over the fixture) -----------------------
+# --- building blocks (lazy DataFrames over the landed fixture) ----------------
+
+def raw_yellow_df(spark, sf_dir):
+    return src.read_trips(spark, fx.landed(spark, sf_dir).trips, "yellow", fx.FIXTURE_MONTHS)
+
+
+def raw_fhvhv_df(spark, sf_dir):
+    return src.read_trips(spark, fx.landed(spark, sf_dir).trips, "fhvhv", fx.FIXTURE_MONTHS)
+
+
+def weather_hourly_df(spark, sf_dir):
+    payloads = spark.read.text(fx.landed(spark, sf_dir).weather_payload)
+    return wx.explode_weather(payloads, "value")
+
 
 def clean_yellow_df(spark, sf_dir):
-    return cleaning.clean_yellow(fx.raw_yellow(spark, sf_dir))
+    return cleaning.clean_yellow(raw_yellow_df(spark, sf_dir))
 
 
 def clean_fhvhv_df(spark, sf_dir):
-    return cleaning.clean_hvfhv(fx.raw_fhvhv(spark, sf_dir))
+    return cleaning.clean_hvfhv(raw_fhvhv_df(spark, sf_dir))
 
 
 def clean_all_df(spark, sf_dir):
@@ -80,7 +93,7 @@ def fact_rows_df(spark, sf_dir):
 
 
 def dim_weather_df(spark, sf_dir):
-    return wx.build_dim_weather(fx.weather_hourly(spark, sf_dir))
+    return wx.build_dim_weather(weather_hourly_df(spark, sf_dir))
 
 
 def agg_hourly_df(spark, sf_dir):
@@ -164,39 +177,29 @@ _BASELINE_SQL = {
 
 # --- 2.1 sources and sinks -------------------------------------------------------
 
-def _landed(spark, sf_dir, leave_out=()):
-    """Write the fixture as monthly files; returns the landing root."""
-    root = scratch_path(spark, "landing")
-    for service, raw in (("yellow", fx.raw_yellow(spark, sf_dir)), ("fhvhv", fx.raw_fhvhv(spark, sf_dir))):
-        months = [m for m in fx.FIXTURE_MONTHS if (service, m) not in leave_out]
-        src.write_trip_files(raw, root, service, months)
-    return root
-
-
 @register("read_trips", "SELECT * FROM raw_yellow")
 def q_read_trips(spark, sf_dir):
-    root = _landed(spark, sf_dir)
-    return src.read_trips(spark, root, "yellow", fx.FIXTURE_MONTHS)
+    return raw_yellow_df(spark, sf_dir)
 
 
-_LEFT_OUT = (("fhvhv", fx.FIXTURE_MONTHS[-1]),)
+# one month more than was landed
+_REQUESTED_MONTHS = fx.FIXTURE_MONTHS + ("2024-04",)
 
 
 @register("missing_months", f"""
-  SELECT r.service, r.file_month
-  FROM (SELECT s.service, m.file_month
-        FROM (VALUES ('yellow'), ('fhvhv')) s(service),
-             (VALUES {", ".join(f"('{m}')" for m in fx.FIXTURE_MONTHS)}) m(file_month)) r
+  SELECT s.service, m.file_month
+  FROM (VALUES ('yellow'), ('fhvhv')) s(service),
+       (VALUES {", ".join(f"('{m}')" for m in _REQUESTED_MONTHS)}) m(file_month)
   WHERE NOT EXISTS (
     SELECT 1 FROM (SELECT 'yellow' AS service, file_month FROM raw_yellow
                    UNION ALL SELECT 'fhvhv', file_month FROM raw_fhvhv) l
-    WHERE l.service = r.service AND l.file_month = r.file_month
-      AND NOT (l.service = '{_LEFT_OUT[0][0]}' AND l.file_month = '{_LEFT_OUT[0][1]}'))""")
+    WHERE l.service = s.service AND l.file_month = m.file_month)""")
 def q_missing_months(spark, sf_dir):
-    root = _landed(spark, sf_dir, leave_out=_LEFT_OUT)
-    landed = src.read_trips(spark, root, "yellow").select(F.lit("yellow").alias("service"), "file_month") \
-        .unionByName(src.read_trips(spark, root, "fhvhv").select(F.lit("fhvhv").alias("service"), "file_month"))
-    requested = [(s, m) for s in src.SERVICES for m in fx.FIXTURE_MONTHS]
+    root = fx.landed(spark, sf_dir).trips
+    landed = (src.read_trips(spark, root, "yellow").select(F.lit("yellow").alias("service"), "file_month")
+              .unionByName(src.read_trips(spark, root, "fhvhv")
+                           .select(F.lit("fhvhv").alias("service"), "file_month")))
+    requested = [(s, m) for s in src.SERVICES for m in _REQUESTED_MONTHS]
     return src.missing_months(spark, landed, requested)
 
 
@@ -210,7 +213,7 @@ def q_clean_roundtrip(spark, sf_dir):
 
 @register("weather_explode", "SELECT * FROM weather_hourly")
 def q_weather_explode(spark, sf_dir):
-    return wx.explode_weather(wx.weather_payload(fx.weather_hourly(spark, sf_dir)))
+    return weather_hourly_df(spark, sf_dir)
 
 
 # --- 2.2 projections and filters ---------------------------------------------------
@@ -230,7 +233,7 @@ def q_clean_hvfhv(spark, sf_dir):
   WHERE PULocationID IN (SELECT location_id FROM dim_location)
     AND DOLocationID IN (SELECT location_id FROM dim_location)""")
 def q_zone_semi(spark, sf_dir):
-    return cleaning.zone_semi(fx.raw_yellow(spark, sf_dir), zones.builtin_dim_location(spark))
+    return cleaning.zone_semi(raw_yellow_df(spark, sf_dir), zones.builtin_dim_location(spark))
 
 
 @register("explore_clean", """
@@ -242,7 +245,7 @@ def q_zone_semi(spark, sf_dir):
     AND PULocationID IS NOT NULL AND DOLocationID IS NOT NULL
     AND datediff('minute', tpep_pickup_datetime, tpep_dropoff_datetime) BETWEEN 1 AND 180""")
 def q_explore_clean(spark, sf_dir):
-    return cleaning.explore_clean(fx.raw_yellow(spark, sf_dir))
+    return cleaning.explore_clean(raw_yellow_df(spark, sf_dir))
 
 
 _RAW_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in (
@@ -253,13 +256,13 @@ _RAW_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in (
 
 @register("anomaly_fare", f"SELECT * FROM raw_yellow WHERE fare_amount <= 0 ORDER BY {_RAW_ORDER} LIMIT 10")
 def q_anomaly_fare(spark, sf_dir):
-    return cleaning.negative_fares(fx.raw_yellow(spark, sf_dir), 10)
+    return cleaning.negative_fares(raw_yellow_df(spark, sf_dir), 10)
 
 
 @register("anomaly_distance",
           f"SELECT * FROM raw_yellow WHERE trip_distance <= 0 ORDER BY {_RAW_ORDER} LIMIT 10")
 def q_anomaly_distance(spark, sf_dir):
-    return cleaning.invalid_distances(fx.raw_yellow(spark, sf_dir), 10)
+    return cleaning.invalid_distances(raw_yellow_df(spark, sf_dir), 10)
 
 
 def _reject_sql(service, raw, p, d, fare, dist):
@@ -294,8 +297,8 @@ _RF_CTE, _RF_SQL = _reject_sql("fhvhv", "raw_fhvhv", "pickup_datetime", "dropoff
           f"CAST(first_failed_rows AS BIGINT) AS first_failed_rows FROM ({_RY_SQL} UNION ALL {_RF_SQL})",
           {**_RY_CTE, **_RF_CTE})
 def q_reject_reasons(spark, sf_dir):
-    return (cleaning.reject_reasons(fx.raw_yellow(spark, sf_dir), "yellow")
-            .unionByName(cleaning.reject_reasons(fx.raw_fhvhv(spark, sf_dir), "fhvhv")))
+    return (cleaning.reject_reasons(raw_yellow_df(spark, sf_dir), "yellow")
+            .unionByName(cleaning.reject_reasons(raw_fhvhv_df(spark, sf_dir), "fhvhv")))
 
 
 @register("hourly_profile_month", f"""
@@ -551,9 +554,8 @@ def q_actual_vs_predicted(spark, sf_dir):
     ('agg_hourly_demand', (SELECT COUNT(*) FROM agg_hourly_demand)),
     ('agg_zone_demand', (SELECT COUNT(*) FROM agg_zone_demand))) t("table", row_count)""")
 def q_pipeline_row_counts(spark, sf_dir):
-    root = _landed(spark, sf_dir)
-    paths = job.build_warehouse(spark, root, scratch_path(spark, "warehouse"), fx.FIXTURE_MONTHS,
-                                fx.weather_hourly(spark, sf_dir))
+    paths = job.build_warehouse(spark, fx.landed(spark, sf_dir).trips, scratch_path(spark, "warehouse"),
+                                fx.FIXTURE_MONTHS, weather_hourly_df(spark, sf_dir))
     return job.warehouse_row_counts(spark, paths)
 
 
@@ -584,7 +586,7 @@ def _profile_sql():
 
 @register("profile", _profile_sql())
 def q_profile(spark, sf_dir):
-    return quality.profile(fx.raw_yellow(spark, sf_dir), _PROFILE_COLS)
+    return quality.profile(raw_yellow_df(spark, sf_dir), _PROFILE_COLS)
 
 
 _RAW_Y_COLS = ("VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID",
@@ -599,14 +601,14 @@ _RAW_Y_TYPES = ("int", "timestamp_ntz", "timestamp_ntz", "int", "int", "double",
     + (f" OR isnan({c})" if t == "double" else "") + ") AS missing FROM raw_yellow"
     for i, (c, t) in enumerate(zip(_RAW_Y_COLS, _RAW_Y_TYPES))))
 def q_missing_values(spark, sf_dir):
-    return quality.missing_values(fx.raw_yellow(spark, sf_dir))
+    return quality.missing_values(raw_yellow_df(spark, sf_dir))
 
 
 @register("schema_report", " UNION ALL ".join(
     f"SELECT {i} AS position, '{c}' AS \"column\", '{t}' AS type, COUNT({c}) AS non_null FROM raw_yellow"
     for i, (c, t) in enumerate(zip(_RAW_Y_COLS, _RAW_Y_TYPES))))
 def q_schema_report(spark, sf_dir):
-    return quality.schema_report(fx.raw_yellow(spark, sf_dir))
+    return quality.schema_report(raw_yellow_df(spark, sf_dir))
 
 
 # --- 2.5 windows ---------------------------------------------------------------------

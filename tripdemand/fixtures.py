@@ -10,10 +10,16 @@ This is the only module that knows the driver's tables.
 from __future__ import annotations
 
 import datetime as _dt
+import os
+from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripdemand.operators.weather import weather_payload
+from tripdemand.session import scratch_path
+from tripdemand.sources.trips import write_trip_files
 from tripdemand.sources.zones import ZONE_IDS, ZONE_ROWS
 
 # --- fixed values of the fixture ----------------------------------------------
@@ -152,3 +158,45 @@ def zone_feature_collection(spark: SparkSession) -> DataFrame:
                                F.struct(F.lit(i).cast("int").alias("LocationID")).alias("properties"),
                                polygon.alias("geometry")) for i in ids])
     return spark.range(1).select(F.lit("FeatureCollection").alias("type"), feats.alias("features"))
+
+
+class Landing(NamedTuple):
+    """Where the derived inputs were landed, in the shapes the pipeline reads."""
+    trips: str            # <service>_tripdata_<YYYY-MM>.parquet folders
+    weather_payload: str  # JSON lines, one weather payload per day
+
+
+_LANDED: dict[tuple[str, str], Landing] = {}
+
+
+def _still_there(path: str) -> bool:
+    if "://" in path and not path.startswith("file:"):
+        return True  # shared storage: trust the session's own record
+    return os.path.isdir(path.replace("file:", "", 1))
+
+
+def landed(spark: SparkSession, sf_dir: str) -> Landing:
+    """Land the derived trips and weather once per session and return the paths.
+
+    Trips go to one folder per service and month under the published file
+    names, so queries read them through ``read_trips`` like real landed files
+    (Parquet pushdown, file month from the path). Weather goes out as daily
+    JSON payloads. Both are written under the session's checkpoint folder.
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    hit = _LANDED.get(key)
+    if hit is not None and _still_there(hit.trips):
+        return hit
+    root = scratch_path(spark, "landing")
+    parts = spark.sparkContext.defaultParallelism
+    for service, derive in (("yellow", raw_yellow), ("fhvhv", raw_fhvhv)):
+        rows = derive(spark, sf_dir).repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_trip_files(rows, root, service, FIXTURE_MONTHS)
+        finally:
+            rows.unpersist()
+    payload_path = f"{root}/weather_payload"
+    weather_payload(weather_hourly(spark, sf_dir)).write.mode("overwrite").text(payload_path)
+    out = Landing(trips=root, weather_payload=payload_path)
+    _LANDED[key] = out
+    return out

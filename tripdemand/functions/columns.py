@@ -61,8 +61,18 @@ def month_start(ts: Column) -> Column:
     return F.trunc(F.to_date(ts), "month").cast("timestamp_ntz")
 
 
+def _sql_literal(value, dtype: T.DataType) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(dtype, T.StringType):
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return repr(float(value)) + "D"
+    return str(value)
+
+
 def literal_frame(spark, rows, schema):
-    """A small literal table built in the JVM (no Python worker at run time).
+    """A small literal table as one ``VALUES`` relation (planned in the JVM).
 
     ``schema`` is a ``StructType`` or a DDL string ``"a int, b string"``;
     ``rows`` are tuples in field order.
@@ -70,9 +80,12 @@ def literal_frame(spark, rows, schema):
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     fields = schema.fields
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
-               for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    values = ", ".join("(" + ", ".join(_sql_literal(v, f.dataType) for v, f in zip(row, fields)) + ")"
+                       for row in rows)
+    names = ", ".join(f"c{i}" for i in range(len(fields)))
+    cols = ", ".join(f"CAST(c{i} AS {f.dataType.simpleString()}) AS `{f.name}`"
+                     for i, f in enumerate(fields))
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({names})")
 
 
 def scaled_sum(col: Column, places: int) -> Column:
