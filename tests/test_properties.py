@@ -155,3 +155,27 @@ def test_clean_rule_helpers_match_cleaner(spark):
     raw = fx.raw_fhvhv(spark, SF_SMALL)
     rep = {r.rule: r for r in cleaning.reject_reasons(raw, "fhvhv").collect()}
     assert rep["kept"].failed_rows == cleaning.clean_hvfhv(raw).count()
+
+
+def test_scan_order_ids_are_dense_without_a_sort(spark):
+    clean = catalog.clean_all_df(spark, SF_SMALL)
+    fact = warehouse.fact_trips(clean, reproducible=False)
+    n = clean.count()
+    assert tuple(fact.agg(F.min("trip_id"), F.max("trip_id"), F.countDistinct("trip_id")).first()) == (1, n, n)
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan.lower()
+    cols = [c for c in fact.columns if c != "trip_id"]
+    assert fact.select(cols).exceptAll(warehouse.fact_trips(clean).select(cols)).count() == 0
+
+
+def test_report_bundle_sections(spark):
+    from tripdemand.plans.reports import release, report_bundle
+    b = report_bundle(catalog.agg_zone_df(spark, SF_SMALL), catalog.agg_hourly_df(spark, SF_SMALL),
+                      month="2024-02-01", category="Modern", trend_window=fx.FIXTURE_TREND)
+    try:
+        assert b["kpis"].count() == 1
+        assert b["market_share"].count() == 1
+        assert b["demand_heatmap"].count() <= 7
+        assert {r.category for r in b["top_zones"].collect()} == {"Modern"}
+    finally:
+        release(b)

@@ -26,21 +26,28 @@ _POS_MASK = (1 << _PART_SHIFT) - 1
 MAX_OFFSET_ROWS = 1_000_000
 
 
-def dense_row_numbers(df: DataFrame, order: Sequence[Column], id_col: str,
+def dense_row_numbers(df: DataFrame, order: Sequence[Column] | None, id_col: str,
                       first: int = 1) -> DataFrame:
     """Add ``id_col`` = first, first+1, ... following ``order``.
 
     Rows tied on every ``order`` key are exact copies for the result; they
     are further ordered by their scan position, so a heavy group of copies is
     still spread over several range partitions instead of landing in one.
+
+    ``order=None`` numbers rows in their current partition order instead:
+    no sort and no shuffle, one extra pass to count (like a single-node
+    ``ROW_NUMBER() OVER ()``, whose order is unspecified). Use it when ids need
+    to be dense and unique but not reproducible across loads.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    ordered = (df.withColumn(_TIE, F.monotonically_increasing_id())
-               .orderBy(*order, F.col(_TIE).asc())
-               .drop(_TIE)
-               .withColumn(_POS, F.monotonically_increasing_id())
-               .checkpoint(eager=True))
+    if order is None:
+        ordered = df
+    else:
+        ordered = (df.withColumn(_TIE, F.monotonically_increasing_id())
+                   .orderBy(*order, F.col(_TIE).asc())
+                   .drop(_TIE))
+    ordered = ordered.withColumn(_POS, F.monotonically_increasing_id()).checkpoint(eager=True)
     n_parts = ordered.rdd.getNumPartitions()
     if n_parts > MAX_OFFSET_ROWS:
         raise ValueError(f"{n_parts} partitions: offset table too large to broadcast")

@@ -57,9 +57,16 @@ def load_order(service_col: str = "service", month_col: str = "file_month") -> l
     return [rank.asc(), F.col(month_col).asc()] + [F.col(c).asc_nulls_first() for c in CLEAN_COLUMNS]
 
 
-def fact_trips(clean: DataFrame, first_id: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Clean trips of both services -> ``fact_trips`` with ids first_id..n."""
-    with_ids = dense_row_numbers(clean, load_order(), "trip_id", first=first_id)
+def fact_trips(clean: DataFrame, first_id: int = 1, keep: tuple[str, ...] = (),
+               reproducible: bool = True) -> DataFrame:
+    """Clean trips of both services -> ``fact_trips`` with ids first_id..n.
+
+    ``reproducible=True`` numbers trips in ``load_order`` (a range-partitioned
+    sort), so a reload gives every trip the same id. ``False`` numbers them in
+    scan order with no sort, which is all a single-node loader guarantees.
+    """
+    order = load_order() if reproducible else None
+    with_ids = dense_row_numbers(clean, order, "trip_id", first=first_id)
     return to_fact_schema(with_ids, keep)
 
 
