@@ -27,7 +27,8 @@ def _formatted(df):
 
 
 MODEL_KEYS = {"fit_demand", "predict", "feature_importance", "model_roundtrip", "score_scenarios",
-              "read_trips", "missing_months", "clean_roundtrip", "pipeline_row_counts"}
+              "read_trips", "missing_months", "clean_roundtrip", "pipeline_row_counts",
+              "clean_incremental"}
 
 
 @pytest.mark.parametrize("key", sorted(set(entry.queries()) - MODEL_KEYS))

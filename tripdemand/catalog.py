@@ -21,6 +21,7 @@ from tripdemand.plans import warehouse as job
 from tripdemand.session import scratch_path
 from tripdemand.sources import trips as src
 from tripdemand.sources import zones
+from tripdemand.streaming.landing import clean_new_files, read_incremental_clean
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -211,6 +212,15 @@ def q_clean_roundtrip(spark, sf_dir):
     return back.withColumn("file_month", F.col("file_month").cast("string"))
 
 
+@register("clean_incremental", "SELECT * FROM clean_all")
+def q_clean_incremental(spark, sf_dir):
+    root = fx.landed(spark, sf_dir).trips
+    out = scratch_path(spark, "clean-stream")
+    for service in src.SERVICES:
+        clean_new_files(spark, root, service, out, scratch_path(spark, f"clean-stream-ckpt-{service}"))
+    return read_incremental_clean(spark, out)
+
+
 @register("weather_explode", "SELECT * FROM weather_hourly")
 def q_weather_explode(spark, sf_dir):
     return weather_hourly_df(spark, sf_dir)
