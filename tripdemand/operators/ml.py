@@ -249,7 +249,8 @@ def score_scenarios(model: PipelineModel, grid: DataFrame) -> DataFrame:
                          round_half_even(clipped(F.col("prediction")), 1).alias("predicted"))
 
 
-def baseline_predictions(train: DataFrame, test: DataFrame) -> DataFrame:
+def baseline_predictions(train: DataFrame, test: DataFrame,
+                         overall_mean: float | None = None) -> DataFrame:
     """Deterministic reference predictor: historical mean per (zone, hour, operator).
 
     Combinations unseen in training fall back to the overall training mean.
@@ -258,8 +259,10 @@ def baseline_predictions(train: DataFrame, test: DataFrame) -> DataFrame:
     """
     hist = train.groupBy("PULocationID", "hour", "operator_name").agg(
         F.avg(F.col("trip_count").cast("double")).alias("_hist"))
-    # one scalar: the overall training mean
-    overall = train.agg(F.avg(F.col("trip_count").cast("double"))).first()[0]
+    # one scalar: the overall training mean (pass it in if already known)
+    overall = overall_mean
+    if overall is None:
+        overall = train.agg(F.avg(F.col("trip_count").cast("double"))).first()[0]
     scored = test.join(hist, ["PULocationID", "hour", "operator_name"], "left")
     p = F.coalesce(F.col("_hist"), F.lit(overall).cast("double"))
     return scored.select(*PREDICTION_KEYS,

@@ -126,7 +126,8 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
 
 def dim_location(zone_lookup: DataFrame, zone_ids=ZONE_IDS) -> DataFrame:
     """Zone lookup restricted to the kept ids, renamed to the warehouse names."""
-    return (zone_lookup.filter(F.col("LocationID").isin(list(zone_ids)))
+    ids = ", ".join(str(int(i)) for i in zone_ids)
+    return (zone_lookup.filter(F.expr(f"LocationID IN ({ids})"))
             .select(F.col("LocationID").cast("int").alias("location_id"),
                     F.col("Zone").alias("zone_name"),
                     F.col("Borough").alias("borough"),
