@@ -58,3 +58,19 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "trip_count" in df.columns
+
+
+@pytest.mark.parametrize("key", ["agg_hourly_demand", "weather_explode", "scenario_grid", "clean_yellow"])
+def test_session_time_zone_does_not_change_results(spark, duck, key):
+    from tripdemand import catalog
+    old = spark.conf.get("spark.sql.session.timeZone")
+    saved = dict(catalog._PLANS)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        catalog._PLANS.clear()
+        got = entry.queries()[key](spark, SF_SMALL).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+        catalog._PLANS.clear()
+        catalog._PLANS.update(saved)
+    assert _rows(got) == _rows(duck.execute(ORACLE[key]).df())

@@ -75,3 +75,13 @@ def test_trip_ids_use_no_unpartitioned_window_over_trips(spark):
     assert "BroadcastHashJoin" in plan
     assert plan.count("Window") == 1
     assert plan.index("BroadcastExchange") < plan.index("Window")
+
+
+def test_month_request_prunes_files_at_listing(spark):
+    root = fx.landed(spark, SF_SMALL).trips
+    one = src.read_trips(spark, root, "yellow", ["2024-02"])
+    assert one.inputFiles() and all("yellow_tripdata_2024-02.parquet" in f for f in one.inputFiles())
+    none = src.read_trips(spark, root, "yellow", ["2030-01"])
+    assert none.count() == 0 and "file_month" in none.columns
+    both = src.read_trips(spark, root, "yellow", ["2024-02", "2030-01"])
+    assert both.count() == one.count()

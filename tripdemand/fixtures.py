@@ -125,9 +125,13 @@ def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     values follow closed-form rules of ``i`` (FIXTURES.md). Output columns
     mirror the parsed weather payload: ``datetime`` plus the six measures.
     """
-    start = F.lit(FIXTURE_START).cast("timestamp_ntz")
+    # calendar arithmetic only: the hour index must not depend on the session zone
+    start = F.lit(FIXTURE_START.isoformat(sep=" ")).cast("timestamp_ntz")
+    start_day = F.lit(FIXTURE_START.date().isoformat()).cast("date")
+    pickup = F.col("pickup")
     hours = (_base(events(spark, sf_dir))
-             .select(F.timestamp_diff("HOUR", start, F.col("pickup")).alias("i"))
+             .select((F.datediff(F.to_date(pickup), start_day).cast("long") * 24
+                      + F.hour(pickup)).alias("i"))
              .distinct()
              .filter(F.col("i") % 17 != 0))
     i = F.col("i")

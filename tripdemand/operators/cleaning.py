@@ -149,7 +149,7 @@ def explore_clean(raw: DataFrame) -> DataFrame:
         "*",
         minutes.alias("trip_duration_min"),
         F.hour(p).alias("hour"),
-        F.date_format(p, "EEEE").alias("day_of_week"),
+        F.date_format(F.to_date(p), "EEEE").alias("day_of_week"),
     )
 
 

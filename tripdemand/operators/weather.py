@@ -33,8 +33,12 @@ def weather_payload(hourly: DataFrame) -> DataFrame:
     ``hourly``; chunking by day keeps every payload at <= 24 entries, so no
     single record (or task) ever holds the whole period.
     """
-    entry = F.struct(F.col("datetime").alias("_t"),
-                     F.date_format("datetime", "yyyy-MM-dd'T'HH:mm").alias("time"),
+    # the payload's local time text, from calendar fields (zone-free)
+    dt = F.col("datetime")
+    text = F.concat(F.date_format(F.to_date(dt), "yyyy-MM-dd"), F.lit("T"),
+                    F.lpad(F.hour(dt).cast("string"), 2, "0"), F.lit(":"),
+                    F.lpad(F.minute(dt).cast("string"), 2, "0"))
+    entry = F.struct(dt.alias("_t"), text.alias("time"),
                      *[F.col(dst).alias(src) for src, dst, _ in PAYLOAD_FIELDS])
     per_day = (hourly.groupBy(F.to_date("datetime").alias("day"))
                .agg(F.array_sort(F.collect_list(entry)).alias("e")))

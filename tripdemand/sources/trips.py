@@ -13,6 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from tripdemand.functions import literal_frame
 
@@ -65,17 +66,35 @@ def read_trips(spark: SparkSession, root: str, service: str,
 
     The schema is given, not inferred, so optional fee columns that are
     missing from older files read as null. ``months=None`` reads every file;
-    otherwise the month filter on the file path prunes whole files at listing.
+    otherwise only the requested months' files are listed (a glob
+    alternation), so unrequested months are never opened. Requested months
+    with no file simply contribute no rows (see ``missing_months``).
     """
-    df = (spark.read.schema(RAW_SCHEMAS[service])
-          .parquet(f"{root.rstrip('/')}/{service}_tripdata_*.parquet"))
+    schema = RAW_SCHEMAS[service]
+    base = f"{root.rstrip('/')}/{service}_tripdata_"
+    if months is None:
+        pattern = base + "*.parquet"
+    else:
+        months = sorted(set(months))
+        if not months:
+            return _empty(spark, schema)
+        pattern = base + "{" + ",".join(months) + "}.parquet"
+    try:
+        df = spark.read.schema(schema).parquet(pattern)
+    except AnalysisException:  # nothing landed for any requested month
+        return _empty(spark, schema)
     df = df.withColumn("file_month",
                        F.regexp_extract(F.col("_metadata.file_path"), FILE_MONTH_PATTERN, 1))
     if months is not None:
-        df = df.filter(F.col("file_month").isin(list(months)))
+        df = df.filter(F.col("file_month").isin(months))
     return df
 
 
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0).select(*cols, F.lit(None).cast("string").alias("file_month"))
+
+
 def write_trip_files(df: DataFrame, root: str, service: str, months: Iterable[str]) -> None:
     """Land rows as one folder per month, named like the published files.
 
