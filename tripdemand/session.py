@@ -21,17 +21,39 @@ BASE_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of executors, tens of TB per job).
+# Shuffle partitions are an upper bound: AQE merges them down to the advisory
+# size from measured map output, and splits skewed ones. Scan splits of 256 MB
+# keep tasks few but evenly sized; the broadcast threshold stays modest,
+# because every broadcast copy lands on every executor (fixed-size dimensions
+# are hinted explicitly, data-derived sides are left to AQE's measured sizes).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "tripdemand", extra_conf: dict | None = None) -> SparkSession:
+              app_name: str = "tripdemand", extra_conf: dict | None = None,
+              cluster: bool = False) -> SparkSession:
     """Build (or reuse) a session with the package defaults.
 
-    On a cluster, leave ``master`` unset and size ``shuffle_partitions`` to the
-    data (AQE coalesces small partitions at run time, so err on the high side).
+    On a cluster, leave ``master`` unset and pass ``cluster=True`` for the
+    large-job settings above; ``spark.checkpoint.dir`` must name shared storage.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
