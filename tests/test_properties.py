@@ -179,3 +179,26 @@ def test_report_bundle_sections(spark):
         assert {r.category for r in b["top_zones"].collect()} == {"Modern"}
     finally:
         release(b)
+
+
+def test_read_zones_nulls_and_dimension(spark, tmp_path):
+    from tripdemand.sources.zones import ZONE_ROWS, dim_location, read_zones
+    lines = ['"LocationID","Borough","Zone","service_zone"', '1,"EWR","Newark Airport","EWR"']
+    lines += [f'{i},"{b}","{n}","{z}"' for i, n, b, z in ZONE_ROWS]
+    lines += ['264,"Unknown","N/A","N/A"', '265,"N/A","Outside of NYC","N/A"']
+    path = tmp_path / "zones.csv"
+    path.write_text("\n".join(lines) + "\n")
+    zl = read_zones(spark, str(path))
+    r264 = zl.filter("LocationID = 264").first()
+    assert r264.Zone is None and r264.service_zone is None and r264.Borough == "Unknown"
+    dim = dim_location(zl)
+    assert dim.count() == 55
+    assert dim.filter(F.col("location_id").isin(103, 104, 105)).select("zone_name").distinct().count() == 1
+
+
+def test_append_continues_ids(spark):
+    first = warehouse.fact_trips(catalog.clean_yellow_df(spark, SF_SMALL))
+    n1 = first.count()
+    more = warehouse.append_fact(first, catalog.clean_fhvhv_df(spark, SF_SMALL))
+    assert warehouse.max_trip_id(first).first()[0] == n1
+    assert more.agg(F.min("trip_id")).first()[0] == n1 + 1

@@ -673,6 +673,14 @@ def q_operator_share(spark, sf_dir):
 
 # --- 2.6 sort, top-k, reshape ------------------------------------------------------------
 
+@register("fact_append", "SELECT * FROM fact_trips")
+def q_fact_append(spark, sf_dir):
+    """Load yellow trips first, then append the other service after them."""
+    first = warehouse.fact_trips(clean_yellow_df(spark, sf_dir))
+    second = warehouse.append_fact(first, clean_fhvhv_df(spark, sf_dir))
+    return first.unionByName(second)
+
+
 @register("fact_trips", "SELECT * FROM fact_trips")
 def q_fact_trips(spark, sf_dir):
     return fact_df(spark, sf_dir)

@@ -75,6 +75,18 @@ def max_trip_id(fact: DataFrame) -> DataFrame:
     return fact.agg(F.coalesce(F.max("trip_id"), F.lit(0).cast("bigint")).alias("max_trip_id"))
 
 
+def append_fact(fact: DataFrame, clean: DataFrame, keep: tuple[str, ...] = (),
+                reproducible: bool = True) -> DataFrame:
+    """New fact rows for ``clean`` trips, numbered after the existing fact's ids.
+
+    The existing maximum is one scalar (a max aggregate, answered from Parquet
+    footers where possible); the returned rows are meant to be appended
+    (``write.mode("append")``) to the fact table.
+    """
+    offset = max_trip_id(fact).first()[0]
+    return fact_trips(clean, first_id=int(offset) + 1, keep=keep, reproducible=reproducible)
+
+
 def fact_operator_join(fact: DataFrame, operators: DataFrame) -> DataFrame:
     """Trips joined to their operator (inner: unknown codes fall out).
 
