@@ -31,9 +31,9 @@ def agg_hourly_demand(fact: DataFrame, operators: DataFrame, dim_weather: DataFr
     get 0 for every weather value.
     """
     p = F.col("pickup_datetime")
-    keys = ["date", "hour", "day_of_week", "PULocationID", "operator_code"]
+    # weekday is a function of the date: derived after the shuffle, not keyed on
+    keys = ["date", "hour", "PULocationID", "operator_code"]
     trips = (fact.select(F.to_date(p).alias("date"), F.hour(p).alias("hour"),
-                         day_of_week_sun0(p).alias("day_of_week"),
                          "PULocationID", "operator_code", *[c for c, _ in _TRIP_MEANS])
              .groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("_trips"),
@@ -44,8 +44,8 @@ def agg_hourly_demand(fact: DataFrame, operators: DataFrame, dim_weather: DataFr
               .join(weather_by_hour(dim_weather), ["date", "hour"], "left"))
     w = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     return joined.select(
-        "date", "hour", "day_of_week", "PULocationID", "operator_id",
-        "taxi_type", "category", "operator_name",
+        "date", "hour", day_of_week_sun0(F.col("date")).alias("day_of_week"),
+        "PULocationID", "operator_id", "taxi_type", "category", "operator_name",
         (F.col("_trips") * F.coalesce(F.col("_w_rows"), F.lit(1))).alias("trip_count"),
         *[round_half_away(F.col(name), 2).alias(name) for _, name in _TRIP_MEANS],
         round_half_away(w("_w_temperature"), 1).alias("temperature"),
