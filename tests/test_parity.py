@@ -51,7 +51,7 @@ def test_matches_oracle(spark, duck, key):
 def test_every_query_has_oracle_or_is_model_key():
     rows_only = set(entry.queries()) - set(ORACLE)
     assert rows_only == {"fit_demand", "predict", "feature_importance", "model_roundtrip",
-                         "score_scenarios"}
+                         "score_scenarios", "model_metrics", "actual_vs_predicted_model"}
 
 
 def test_entry_smoke(spark):

@@ -27,6 +27,7 @@ def _formatted(df):
 
 
 MODEL_KEYS = {"fit_demand", "predict", "feature_importance", "model_roundtrip", "score_scenarios",
+              "model_metrics", "actual_vs_predicted_model",
               "read_trips", "missing_months", "clean_roundtrip", "pipeline_row_counts",
               "clean_incremental"}
 

@@ -591,6 +591,12 @@ def q_weather_kpis(spark, sf_dir):
     return wx.weather_kpis(wx.weather_daily(dim_weather_df(spark, sf_dir)))
 
 
+@register("weather_duplicates", """
+  SELECT date, hour, COUNT(*) AS rows FROM dim_weather GROUP BY 1, 2 HAVING COUNT(*) > 1""")
+def q_weather_duplicates(spark, sf_dir):
+    return wx.duplicate_weather_hours(dim_weather_df(spark, sf_dir))
+
+
 @register("dim_weather", "SELECT * FROM dim_weather")
 def q_dim_weather(spark, sf_dir):
     return dim_weather_df(spark, sf_dir)
@@ -808,6 +814,18 @@ def q_feature_importance(spark, sf_dir):
     return ml.feature_importance(model, spark)
 
 
+@register("model_metrics")
+def q_model_metrics(spark, sf_dir):
+    model, train, test = _session_model(spark, sf_dir)
+    return ml.regression_metrics(ml.predict_demand(model, test), train_rows=train.count())
+
+
+@register("actual_vs_predicted_model")
+def q_actual_vs_predicted_model(spark, sf_dir):
+    model, _, test = _session_model(spark, sf_dir)
+    return reports.actual_vs_predicted(ml.predict_demand(model, test))
+
+
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
     train, test = split_df(spark, sf_dir)
