@@ -27,7 +27,7 @@ MAX_OFFSET_ROWS = 1_000_000
 
 
 def dense_row_numbers(df: DataFrame, order: Sequence[Column] | None, id_col: str,
-                      first: int = 1) -> DataFrame:
+                      first: int = 1, stable_input: bool = False) -> DataFrame:
     """Add ``id_col`` = first, first+1, ... following ``order``.
 
     Rows tied on every ``order`` key are exact copies for the result; they
@@ -38,16 +38,26 @@ def dense_row_numbers(df: DataFrame, order: Sequence[Column] | None, id_col: str
     no sort and no shuffle, one extra pass to count (like a single-node
     ``ROW_NUMBER() OVER ()``, whose order is unspecified). Use it when ids need
     to be dense and unique but not reproducible across loads.
+
+    ``stable_input=True`` (only with ``order=None``) declares that ``df``
+    yields the same partitions in the same order every time it is computed,
+    as a plain scan of written files does. Then nothing is checkpointed: one
+    pass counts rows per input split, the next numbers them, and a re-run
+    task re-reads the same split.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
     if order is None:
-        ordered = df
+        ordered = df.withColumn(_POS, F.monotonically_increasing_id())
+        if not stable_input:
+            checkpoint_dir(spark)
+            ordered = ordered.checkpoint(eager=True)
     else:
+        checkpoint_dir(spark)
         ordered = (df.withColumn(_TIE, F.monotonically_increasing_id())
                    .orderBy(*order, F.col(_TIE).asc())
-                   .drop(_TIE))
-    ordered = ordered.withColumn(_POS, F.monotonically_increasing_id()).checkpoint(eager=True)
+                   .drop(_TIE)
+                   .withColumn(_POS, F.monotonically_increasing_id())
+                   .checkpoint(eager=True))
     n_parts = ordered.rdd.getNumPartitions()
     if n_parts > MAX_OFFSET_ROWS:
         raise ValueError(f"{n_parts} partitions: offset table too large to broadcast")

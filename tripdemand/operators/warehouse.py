@@ -58,15 +58,18 @@ def load_order(service_col: str = "service", month_col: str = "file_month") -> l
 
 
 def fact_trips(clean: DataFrame, first_id: int = 1, keep: tuple[str, ...] = (),
-               reproducible: bool = True) -> DataFrame:
+               reproducible: bool = True, stable_input: bool = False) -> DataFrame:
     """Clean trips of both services -> ``fact_trips`` with ids first_id..n.
 
     ``reproducible=True`` numbers trips in ``load_order`` (a range-partitioned
     sort), so a reload gives every trip the same id. ``False`` numbers them in
-    scan order with no sort, which is all a single-node loader guarantees.
+    scan order with no sort, which is all a single-node loader guarantees;
+    add ``stable_input=True`` when ``clean`` is a plain scan of written files
+    to skip the staging checkpoint as well.
     """
     order = load_order() if reproducible else None
-    with_ids = dense_row_numbers(clean, order, "trip_id", first=first_id)
+    with_ids = dense_row_numbers(clean, order, "trip_id", first=first_id,
+                                 stable_input=stable_input and order is None)
     return to_fact_schema(with_ids, keep)
 
 
