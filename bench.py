@@ -21,7 +21,7 @@ HEADLINE = (
     "clean_yellow", "clean_hvfhv", "fact_trips", "agg_hourly_demand", "agg_zone_demand",
     "zone_profile", "hourly_profile", "top_zones", "demand_heatmap", "daily_trend",
     "weather_daily", "reject_reasons", "profile", "operator_share", "demand_features",
-    "regression_metrics", "fit_demand",
+    "regression_metrics", "pipeline_row_counts", "fit_demand",
 )
 
 
