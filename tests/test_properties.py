@@ -231,3 +231,16 @@ def test_warehouse_with_scan_order_ids_matches_row_counts(spark):
     assert counts["agg_hourly_demand"] == catalog.agg_hourly_df(spark, SF_SMALL).count()
     fact = spark.read.parquet(paths["fact_trips"])
     assert fact.agg(F.countDistinct("trip_id"), F.max("trip_id")).first() == (counts["fact_trips"],) * 2
+
+
+def test_display_order_at_the_edge(spark):
+    from tripdemand.plans.reports import for_display, release, report_bundle
+    b = report_bundle(catalog.agg_zone_df(spark, SF_SMALL), catalog.agg_hourly_df(spark, SF_SMALL))
+    try:
+        shown = for_display(b)
+        counts = [r.trip_count for r in shown["zone_profile"].collect()]
+        assert counts == sorted(counts, reverse=True)
+        rows = [r.row_order for r in shown["demand_heatmap"].collect()]
+        assert rows == sorted(rows)
+    finally:
+        release(b)

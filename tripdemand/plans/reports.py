@@ -9,9 +9,32 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tripdemand.operators import reports as r
 
+# Display order of each section (applied at the report edge only; every
+# section is a few dozen to a few thousand rows, so the sort is cheap).
+# A leading "-" means descending.
+SECTION_ORDER = {
+    "zone_profile": ("-trip_count", "zone_name", "category", "operator_name"),
+    "hourly_profile": ("hour", "day_of_week", "category", "operator_name"),
+    "daily_profile": ("date", "category", "operator_name"),
+    "daily_trend": ("date", "category"),
+    "zone_map_konvensional": ("-trip_count", "zone_name"),
+    "zone_map_modern": ("-trip_count", "zone_name"),
+    "top_zones": ("category", "rank"),
+    "market_share": ("-trip_count",),
+    "hour_volume": ("hour", "category"),
+    "demand_heatmap": ("row_order",),
+    "operator_means": ("operator_name",),
+    "hour_fare": ("hour", "category"),
+}
+
+
+def _order(spec):
+    return [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in spec]
+
 
 def report_bundle(agg_zone: DataFrame, agg_hourly: DataFrame, month: str | None = None,
                   category: str = r.ALL_CATEGORIES, trend_window: tuple[str, str] | None = None,
@@ -43,6 +66,12 @@ def report_bundle(agg_zone: DataFrame, agg_hourly: DataFrame, month: str | None
     return bundle
 
 
+def for_display(bundle: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The bundle's sections in their display order (sorting only at the edge)."""
+    return {name: (df.orderBy(*_order(SECTION_ORDER[name])) if name in SECTION_ORDER else df)
+            for name, df in bundle.items()}
+
+
 def release(bundle: dict[str, DataFrame]) -> None:
     """Drop the persisted profiles of a bundle."""
     for name in ("zone_profile", "hourly_profile"):
