@@ -1,7 +1,7 @@
 """Cleaning: two services' raw trips -> one canonical trip schema.
 
 The filters are plain column predicates, so Catalyst pushes the comparable
-ones (fare, distance, zone-id range) into the Parquet scan and evaluates the
+ones (fare, distance, the zone-id IN lists) into the Parquet scan and evaluates the
 computed duration right after it, inside the same codegen stage.
 """
 
