@@ -31,3 +31,15 @@ def test_clean_new_files_is_incremental(spark):
     clean_new_files(spark, root, "yellow", out, ckpt)
     final = read_incremental_clean(spark, out, ["yellow"]).select(*expect.columns)
     assert final.exceptAll(expect).count() == 0 and expect.exceptAll(final).count() == 0
+
+
+def test_command_line_batch(spark):
+    from tripdemand.cli import main
+    from tripdemand.session import scratch_path
+    land = fx.landed(spark, SF_SMALL)
+    out = scratch_path(spark, "cli-wh")
+    main(["--raw", land.trips, "--out", out, "--months", *fx.FIXTURE_MONTHS,
+          "--weather", land.weather_payload, "--model-cut", fx.FIXTURE_CUT, "--trees", "3"])
+    assert spark.read.parquet(f"{out}/agg_hourly_demand").count() == catalog.agg_hourly_df(spark, SF_SMALL).count()
+    assert spark.read.parquet(f"{out}/ml_model_metrics").count() == 1
+    assert spark.read.parquet(f"{out}/ml_feature_importance").count() == 16
