@@ -57,15 +57,15 @@ def exact_quartiles(df: DataFrame, columns: Sequence[str],
         raise ValueError(f"{bound} partition offsets: too many to broadcast")
     part_tot = ordered.groupBy("_part", "column").agg(F.sum("n").alias("_pn"))
     before = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one small table: each partition's starting rank and its column's total
     offsets = part_tot.select("_part", "column",
-                              F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_before"))
-    totals = part_tot.groupBy("column").agg(F.sum("_pn").alias("_total"))
+                              F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_before"),
+                              F.sum("_pn").over(Window.partitionBy("column")).alias("_total"))
     running = Window.partitionBy("_part", "column").orderBy("value").rowsBetween(
         Window.unboundedPreceding, 0)
     ranked = (ordered.join(F.broadcast(offsets), ["_part", "column"])
               .withColumn("_end", F.col("_before") + F.sum("n").over(running))
-              .withColumn("_start", F.col("_end") - F.col("n"))
-              .join(F.broadcast(totals), "column"))
+              .withColumn("_start", F.col("_end") - F.col("n")))
     picks = []
     for name, q in quantiles:
         pos = (F.col("_total") - 1) * F.lit(float(q))
