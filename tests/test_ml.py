@@ -67,3 +67,13 @@ def test_scenario_grid_has_24_hours_and_snow_rule(spark):
     assert grid.count() == 48
     snow = {r.PULocationID: (r.is_snow, r.is_rain) for r in grid.select("PULocationID", "is_snow", "is_rain").distinct().collect()}
     assert snow == {161: (1, 1), 162: (0, 0)}
+
+
+def test_fallback_training_rows_fill_weather_defaults(spark):
+    from tests.conftest import SF_SMALL
+    agg = catalog.agg_hourly_df(spark, SF_SMALL)
+    rows = ml.fallback_training_rows(agg, catalog.dim_weather_df(spark, SF_SMALL))
+    assert rows.count() == agg.count()
+    nulls = rows.select([F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in ml.FEATURE_COLS]).first()
+    assert all(v == 0 for v in nulls)
+    assert rows.filter((F.col("temperature") == 15.0) & (F.col("windspeed") == 10.0)).count() > 0

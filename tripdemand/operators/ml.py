@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripdemand.functions import exact_mean, round_half_away, round_half_even
+from tripdemand.operators.weather import demand_weather_defaults
 
 # --- fixed values (must equal the reference's) --------------------------------
 FEATURE_COLS = (
@@ -87,6 +88,16 @@ def build_features(df: DataFrame) -> DataFrame:
     return df.withColumns(cols)
 
 
+def fallback_training_rows(demand: DataFrame, dim_weather: DataFrame) -> DataFrame:
+    """Feature rows of the retrain-on-miss path.
+
+    The demand's own weather columns are replaced by the hourly weather
+    table's, and hours without weather take the feature defaults, before
+    the usual features are derived.
+    """
+    return build_features(demand_weather_defaults(demand, dim_weather))
+
+
 def time_split(df: DataFrame, cut: str) -> tuple[DataFrame, DataFrame]:
     """Train: dates before ``cut``; test: ``cut`` and later (no upper bound)."""
     c = F.lit(cut).cast("date")
