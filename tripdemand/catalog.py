@@ -296,14 +296,17 @@ def q_zone_semi(spark, sf_dir):
     return cleaning.zone_semi(raw_yellow_df(spark, sf_dir), zones.builtin_dim_location(spark))
 
 
-@register("explore_clean", """
+_EXPLORE_SQL = """
   SELECT *, datediff('minute', tpep_pickup_datetime, tpep_dropoff_datetime) AS trip_duration_min,
          CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hour,
          dayname(tpep_pickup_datetime) AS day_of_week
   FROM raw_yellow
   WHERE fare_amount > 0 AND trip_distance > 0 AND total_amount > 0
     AND PULocationID IS NOT NULL AND DOLocationID IS NOT NULL
-    AND datediff('minute', tpep_pickup_datetime, tpep_dropoff_datetime) BETWEEN 1 AND 180""")
+    AND datediff('minute', tpep_pickup_datetime, tpep_dropoff_datetime) BETWEEN 1 AND 180"""
+
+
+@register("explore_clean", _EXPLORE_SQL)
 def q_explore_clean(spark, sf_dir):
     return cleaning.explore_clean(raw_yellow_df(spark, sf_dir))
 
@@ -638,15 +641,28 @@ _PROFILE_COLS = ("VendorID", "PULocationID", "DOLocationID", "trip_distance", "f
                  "cbd_congestion_fee", "total_amount")
 
 
-def _profile_sql():
+def _quartile_sql(xs: str, n: str, q: float) -> str:
+    """NumPy's linear interpolation between the order statistics of sorted list ``xs``."""
+    pos = f"(({n} - 1) * {q})"
+    lo = f"CAST(floor({pos}) AS BIGINT)"
+    d = f"({pos} - floor({pos}))"
+    a, b = f"{xs}[{lo} + 1]", f"{xs}[{lo} + 2]"
+    return (f"CASE WHEN {n} = 0 THEN NULL WHEN {d} = 0 THEN {a} "
+            f"WHEN {d} >= 0.5 THEN {b} - ({b} - {a}) * (1.0 - {d}) "
+            f"ELSE {a} + ({b} - {a}) * {d} END")
+
+
+def _profile_sql(cols=_PROFILE_COLS, source="raw_yellow"):
     parts = []
-    for c in _PROFILE_COLS:
+    for c in cols:
         x = f"CAST({c} AS DOUBLE)"
+        quarts = ", ".join(f"{_quartile_sql('xs', 'n', q)} AS {name}"
+                           for name, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)))
         parts.append(
-            f"SELECT '{c}' AS \"column\", COUNT({x}) AS count, ROUND(AVG({x}), 6) AS mean, "
-            f"ROUND(STDDEV_SAMP({x}), 6) AS std, MIN({x}) AS min, "
-            f"quantile_cont({x}, 0.25) AS q25, quantile_cont({x}, 0.5) AS q50, "
-            f"quantile_cont({x}, 0.75) AS q75, MAX({x}) AS max FROM raw_yellow")
+            f"SELECT '{c}' AS \"column\", n AS count, mean, std, min, {quarts}, max FROM ("
+            f"SELECT COUNT({x}) AS n, ROUND(AVG({x}), 6) AS mean, ROUND(STDDEV_SAMP({x}), 6) AS std, "
+            f"MIN({x}) AS min, MAX({x}) AS max, list_sort(list({x}) FILTER (WHERE {x} IS NOT NULL)) AS xs "
+            f"FROM {source})")
     return " UNION ALL ".join(parts)
 
 
@@ -655,6 +671,15 @@ def q_profile(spark, sf_dir):
     return quality.profile(raw_yellow_df(spark, sf_dir), _PROFILE_COLS)
 
 
+# the same profile after the exploratory cleaner (before/after comparison)
+_EXPLORE_PROFILE_COLS = _PROFILE_COLS + ("trip_duration_min", "hour")
+
+
+@register("profile_explore", _profile_sql(_EXPLORE_PROFILE_COLS, "explore"), {"explore": _EXPLORE_SQL})
+def q_profile_explore(spark, sf_dir):
+    return quality.profile(cleaning.explore_clean(raw_yellow_df(spark, sf_dir)), _EXPLORE_PROFILE_COLS)
+
+
 _RAW_Y_COLS = ("VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID",
                "DOLocationID", "trip_distance", "fare_amount", "tip_amount", "tolls_amount",
                "congestion_surcharge", "Airport_fee", "cbd_congestion_fee", "total_amount", "file_month")

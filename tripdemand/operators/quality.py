@@ -32,7 +32,7 @@ def _long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def exact_quartiles(df: DataFrame, columns: Sequence[str],
                     quantiles=QUARTILES) -> DataFrame:
-    """Exact quantiles (linear interpolation between order statistics) per column.
+    """Exact quantiles (NumPy's linear interpolation between order statistics) per column.
 
     No column's values are ever gathered in one task:
     1. (column, value) -> count, combined map-side, so heavy repeats of one
@@ -77,7 +77,11 @@ def exact_quartiles(df: DataFrame, columns: Sequence[str],
     out = [F.col("column")]
     for name, _ in quantiles:
         lo_v, hi_v, frac = F.col(f"{name}_lo"), F.col(f"{name}_hi"), F.col(f"{name}_frac")
-        out.append(F.when(frac == 0, lo_v).otherwise(lo_v + frac * (hi_v - lo_v)).alias(name))
+        # linear interpolation exactly as NumPy's (and so pandas' describe):
+        # measured from the nearer order statistic
+        out.append(F.when(frac == 0, lo_v)
+                   .when(frac >= 0.5, hi_v - (hi_v - lo_v) * (F.lit(1.0) - frac))
+                   .otherwise(lo_v + (hi_v - lo_v) * frac).alias(name))
     return picked.select(*out)
 
 
