@@ -15,7 +15,7 @@ Queries meet all vectors block by block: an equi-join of query blocks, repeated
 vector block, with the vector blocks. A block is one row of packed integers of bounded
 size, so no task holds more than two blocks.
 
-Components become floor(scale * x). Vectors that are null, empty or hold a null or
+Components become floor(scale * x), held at +-2 ** 62. Vectors that are null, empty or hold a null or
 non-finite component, or have a null id, take no part; shorter vectors count as padded
 with zeros. Rows repeating an id and a vector count once; an id with several vectors
 takes the smallest. Ties go to the smaller id. A query never meets its own id. With
@@ -39,6 +39,8 @@ QUERIES_PER_BLOCK = 512
 SEGMENTS = 4
 #: Largest absolute component whose products of up to 2 ** 12 components stay exact in doubles.
 EXACT = 1 << 20
+#: Larger components, and sums beyond the range of a long, are held at the end of their range.
+LARGEST = 1 << 62
 RESULT = "query_id long, vec_id long, score long"
 
 
@@ -50,7 +52,8 @@ def to_integers(vectors: DataFrame, scale: int, id_col: str, vector_col: str) ->
         .where(F.col("_id").isNotNull() & x.isNotNull() & (F.size(x) > 0))
         .where(F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) != float("inf"))))
     )
-    ints = F.transform(x, lambda e: F.floor(F.lit(float(scale)) * e).cast("long"))
+    bound = float(LARGEST)
+    ints = F.transform(x, lambda e: F.floor(F.greatest(F.least(F.lit(float(scale)) * e, F.lit(bound)), F.lit(-bound))).cast("long"))
     return whole.select(F.col("_id").alias("vec_id"), ints.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
