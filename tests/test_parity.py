@@ -7,9 +7,10 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from tripdemand import catalog
 from tests.conftest import SF_SMALL
 
-ORACLE = entry.oracle_sql()
+ORACLE = catalog.ORACLE
 
 
 def _norm(v):
@@ -39,7 +40,7 @@ def _rows(pdf):
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_matches_oracle(spark, duck, key):
-    got = entry.queries()[key](spark, SF_SMALL).toPandas()
+    got = catalog.QUERIES[key](spark, SF_SMALL).toPandas()
     want = duck.execute(ORACLE[key]).df()
     gc, gr = _rows(got)
     wc, wr = _rows(want)
@@ -48,8 +49,8 @@ def test_matches_oracle(spark, duck, key):
     assert gr == wr
 
 
-def test_every_query_has_oracle_or_is_model_key():
-    rows_only = set(entry.queries()) - set(ORACLE)
+def test_every_own_query_has_oracle_or_is_model_key():
+    rows_only = set(catalog.QUERIES) - set(ORACLE)
     assert rows_only == {"fit_demand", "predict", "feature_importance", "model_roundtrip",
                          "score_scenarios", "model_metrics", "actual_vs_predicted_model"}
 
@@ -68,7 +69,7 @@ def test_session_time_zone_does_not_change_results(spark, duck, key):
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
         catalog._PLANS.clear()
-        got = entry.queries()[key](spark, SF_SMALL).toPandas()
+        got = catalog.QUERIES[key](spark, SF_SMALL).toPandas()
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
         catalog._PLANS.clear()

@@ -6,7 +6,6 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
 from tripdemand import catalog
 from tripdemand import fixtures as fx
 from tripdemand.operators import cleaning
@@ -32,9 +31,9 @@ MODEL_KEYS = {"fit_demand", "predict", "feature_importance", "model_roundtrip",
               "clean_incremental"}
 
 
-@pytest.mark.parametrize("key", sorted(set(entry.queries()) - MODEL_KEYS))
+@pytest.mark.parametrize("key", sorted(set(catalog.QUERIES) - MODEL_KEYS))
 def test_no_python_in_query_plans(spark, key):
-    plan = _plan(entry.queries()[key](spark, SF_SMALL))
+    plan = _plan(catalog.QUERIES[key](spark, SF_SMALL))
     for marker in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                    "MapInPandas"):
         assert marker not in plan, f"{key}: {marker}"

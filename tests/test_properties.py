@@ -203,28 +203,32 @@ def test_append_continues_ids(spark):
     assert more.agg(F.min("trip_id")).first()[0] == n1 + 1
 
 
-def test_stable_scan_ids_without_checkpoint(spark):
+def test_file_row_ids_without_sort_or_checkpoint(spark):
     from tripdemand.session import scratch_path
-    path = scratch_path(spark, "stable-scan")
-    catalog.clean_all_df(spark, SF_SMALL).write.parquet(path)
-    clean = spark.read.parquet(path)
-    fact = warehouse.fact_trips(clean, reproducible=False, stable_input=True)
+    from tripdemand.sources import trips as src
+    path = scratch_path(spark, "file-ids")
+    src.write_clean(catalog.clean_all_df(spark, SF_SMALL).repartition(3), path)
+    clean = src.read_clean(spark, path, catalog.clean_all_df(spark, SF_SMALL).schema)
+    fact = warehouse.fact_of_files(clean, keep=("service", "file_month"))
     plan = fact._jdf.queryExecution().executedPlan().toString()
     assert "Scan ExistingRDD" not in plan and "rangepartitioning" not in plan.lower()
     n = clean.count()
     assert tuple(fact.agg(F.min("trip_id"), F.max("trip_id"), F.countDistinct("trip_id")).first()) == (1, n, n)
     # the same rows get the same ids when computed again
     assert fact.select("trip_id", "pickup_datetime").exceptAll(
-        warehouse.fact_trips(clean, reproducible=False, stable_input=True)
-        .select("trip_id", "pickup_datetime")).count() == 0
+        warehouse.fact_of_files(clean).select("trip_id", "pickup_datetime")).count() == 0
+    # yellow before the other service, months in stretches that follow each other
+    spans = fact.groupBy("service", "file_month").agg(F.min("trip_id").alias("a"), F.max("trip_id").alias("b"), F.count(F.lit(1)).alias("n")).collect()
+    spans = sorted(spans, key=lambda r: (r.service != "yellow", r.file_month))
+    assert [r.a for r in spans] == [1, *(r.b + 1 for r in spans[:-1])] and all(r.b - r.a + 1 == r.n for r in spans)
 
 
-def test_warehouse_with_scan_order_ids_matches_row_counts(spark):
+def test_warehouse_matches_row_counts(spark):
     from tripdemand.plans import warehouse as job
     from tripdemand.session import scratch_path
     land = fx.landed(spark, SF_SMALL)
     paths = job.build_warehouse(spark, land.trips, scratch_path(spark, "wh-scan"), fx.FIXTURE_MONTHS,
-                                catalog.weather_hourly_df(spark, SF_SMALL), reproducible_ids=False)
+                                catalog.weather_hourly_df(spark, SF_SMALL))
     counts = {r.table: r.row_count for r in job.warehouse_row_counts(spark, paths).collect()}
     assert counts["fact_trips"] == catalog.clean_all_df(spark, SF_SMALL).count()
     assert counts["agg_hourly_demand"] == catalog.agg_hourly_df(spark, SF_SMALL).count()

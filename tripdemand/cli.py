@@ -28,8 +28,6 @@ def main(argv=None) -> None:
     ap.add_argument("--zones", help="zone lookup CSV (default: built-in 55 zones)")
     ap.add_argument("--master", help="Spark master (leave unset under spark-submit)")
     ap.add_argument("--cluster", action="store_true", help="large-cluster session settings")
-    ap.add_argument("--scan-order-ids", action="store_true",
-                    help="number trips in scan order (no sort, no staging write)")
     ap.add_argument("--model-cut", help="train before this date, test from it; fits and saves the model")
     ap.add_argument("--trees", type=int, default=ml.DEFAULT_PARAMS["n_trees"])
     args = ap.parse_args(argv)
@@ -37,8 +35,7 @@ def main(argv=None) -> None:
     spark = get_spark(args.master, cluster=args.cluster)
     weather = wx.explode_weather(spark.read.text(args.weather), "value")
     zones = read_zones(spark, args.zones) if args.zones else None
-    paths = build_warehouse(spark, args.raw, args.out, args.months, weather, zones,
-                            reproducible_ids=not args.scan_order_ids)
+    paths = build_warehouse(spark, args.raw, args.out, args.months, weather, zones)
     warehouse_row_counts(spark, paths).show(truncate=False)
 
     if args.model_cut:
@@ -47,10 +44,10 @@ def main(argv=None) -> None:
         model = ml.fit_demand(train, n_trees=args.trees)
         ml.save_model(model, f"{args.out.rstrip('/')}/model")
         pred = ml.predict_demand(model, test)
-        pred.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/ml_demand_predictions")
+        pred.drop("prediction_clipped").write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/ml_demand_predictions")
         (ml.regression_metrics(pred, train_rows=train.count())
          .write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/ml_model_metrics"))
-        (ml.feature_importance(model, spark)
+        (ml.feature_importance(model, spark).drop("label")
          .write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/ml_feature_importance"))
 
 

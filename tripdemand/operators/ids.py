@@ -5,7 +5,10 @@ Here the rows are range-partitioned by the order (Spark samples the keys, so
 every partition holds a similar share), each row is tagged with its partition
 and its position inside it, the tagged rows are checkpointed so those tags
 are fixed, and each partition's row count becomes an offset. The offset table
-has exactly one row per partition, a bound known before it is broadcast.
+has one row per partition; adaptive execution picks its join from that size.
+
+Rows of written files need none of this: ``file_row_numbers`` takes a row's
+number from its place in its file and the row counts of the files before.
 """
 
 from __future__ import annotations
@@ -23,11 +26,10 @@ _TIE = "_dense_tie"
 # monotonically_increasing_id() = partition index << 33 | position in partition
 _PART_SHIFT = 33
 _POS_MASK = (1 << _PART_SHIFT) - 1
-MAX_OFFSET_ROWS = 1_000_000
 
 
 def dense_row_numbers(df: DataFrame, order: Sequence[Column] | None, id_col: str,
-                      first: int = 1, stable_input: bool = False) -> DataFrame:
+                      first: int = 1) -> DataFrame:
     """Add ``id_col`` = first, first+1, ... following ``order``.
 
     Rows tied on every ``order`` key are exact copies for the result; they
@@ -38,19 +40,11 @@ def dense_row_numbers(df: DataFrame, order: Sequence[Column] | None, id_col: str
     no sort and no shuffle, one extra pass to count (like a single-node
     ``ROW_NUMBER() OVER ()``, whose order is unspecified). Use it when ids need
     to be dense and unique but not reproducible across loads.
-
-    ``stable_input=True`` (only with ``order=None``) declares that ``df``
-    yields the same partitions in the same order every time it is computed,
-    as a plain scan of written files does. Then nothing is checkpointed: one
-    pass counts rows per input split, the next numbers them, and a re-run
-    task re-reads the same split.
     """
     spark = df.sparkSession
     if order is None:
-        ordered = df.withColumn(_POS, F.monotonically_increasing_id())
-        if not stable_input:
-            checkpoint_dir(spark)
-            ordered = ordered.checkpoint(eager=True)
+        checkpoint_dir(spark)
+        ordered = df.withColumn(_POS, F.monotonically_increasing_id()).checkpoint(eager=True)
     else:
         checkpoint_dir(spark)
         ordered = (df.withColumn(_TIE, F.monotonically_increasing_id())
@@ -58,14 +52,28 @@ def dense_row_numbers(df: DataFrame, order: Sequence[Column] | None, id_col: str
                    .drop(_TIE)
                    .withColumn(_POS, F.monotonically_increasing_id())
                    .checkpoint(eager=True))
-    n_parts = ordered.rdd.getNumPartitions()
-    if n_parts > MAX_OFFSET_ROWS:
-        raise ValueError(f"{n_parts} partitions: offset table too large to broadcast")
     part = F.shiftright(F.col(_POS), _PART_SHIFT)
     counts = ordered.groupBy(part.alias(_PART)).agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition (<= n_parts rows), so a global running sum is cheap
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PART, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    out = (ordered.join(F.broadcast(offsets), part == F.col(_PART))
+    out = (ordered.join(offsets, part == F.col(_PART))
            .withColumn(id_col, F.col("_offset") + F.col(_POS).bitwiseAND(F.lit(_POS_MASK)) + first))
     return out.drop(_POS, _PART, "_offset")
+
+
+def file_row_numbers(files: DataFrame, order: Sequence[str], id_col: str, first: int = 1) -> DataFrame:
+    """Number the rows of a scan of written files: files by ``order`` and path, rows by place.
+
+    No sort and no staging copy of the rows: one pass counts rows per file (a
+    map-side aggregate), the running sum over one row per file gives each
+    file's offset, and a row adds its index in its file. Neither depends on
+    how the scan is split, so a re-run task repeats its numbers exactly.
+    """
+    placed = files.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    counts = placed.groupBy(*order, "_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(*order, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return (placed.join(offsets, "_file")
+            .withColumn(id_col, F.col("_offset") + F.col("_row") + first)
+            .drop("_file", "_row", "_offset"))

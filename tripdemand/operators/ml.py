@@ -15,11 +15,12 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripdemand.functions import exact_mean, round_half_away, round_half_even
 from tripdemand.operators.weather import demand_weather_defaults
+from tripdemand.session import checkpoint_dir
 
 # --- fixed values (must equal the reference's) --------------------------------
 FEATURE_COLS = (
@@ -42,6 +43,7 @@ FEATURE_LABELS = (
 )
 MODERN_CATEGORY = "Modern"
 MODEL_NAME = "GBTRegressor"
+ROWS_PER_PARTITION = 100_000
 DEFAULT_PARAMS = dict(n_trees=300, max_depth=6, learning_rate=0.05, subsample=0.8,
                       colsample=0.8, max_bins=256, seed=42)
 # scenario weather rules (interactive prediction): rain above 0.1 mm, snow
@@ -113,7 +115,8 @@ def demand_pipeline(n_trees: int = 300, max_depth: int = 6, learning_rate: float
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
                        maxIter=n_trees, maxDepth=max_depth, stepSize=learning_rate,
                        subsamplingRate=subsample, featureSubsetStrategy=str(colsample),
-                       maxBins=max_bins, seed=seed)
+                       maxBins=max_bins, seed=seed, cacheNodeIds=True, checkpointInterval=25,
+                       maxMemoryInMB=512)
     return Pipeline(stages=[assembler, gbt])
 
 
@@ -121,12 +124,21 @@ def fit_demand(train: DataFrame, **params) -> PipelineModel:
     """Fit the demand pipeline on feature rows (label ``trip_count``).
 
     Boosting makes many passes over the training rows; they are persisted
-    (memory, spilling to disk) for the fit so upstream stages run once. The
-    rows are hourly aggregates, bounded by calendar x zones x operators.
+    (memory, spilling to disk) for the fit so upstream stages run once, in
+    partitions of about ``ROWS_PER_PARTITION`` rows, since each tree level is a
+    job. The boosting lineage is cut every ``checkpointInterval`` trees.
     """
+    checkpoint_dir(train.sparkSession)
     rows = train.withColumn("trip_count", F.col("trip_count").cast("double")).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
+        partitions = max(1, -(-rows.count() // ROWS_PER_PARTITION))
+        if partitions < rows.rdd.getNumPartitions():
+            merged = rows.coalesce(partitions).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                return demand_pipeline(**params).fit(merged)
+            finally:
+                merged.unpersist()
         return demand_pipeline(**params).fit(rows)
     finally:
         rows.unpersist()
@@ -180,7 +192,6 @@ def feature_importance(model: PipelineModel, spark=None) -> DataFrame:
     The importance vector has one entry per feature (16) and comes from the
     model, not from data, so it is built on the driver.
     """
-    from pyspark.sql import SparkSession
     session = spark or SparkSession.getActiveSession()
     imps = model.stages[-1].featureImportances.toArray().tolist()
     labels = dict(FEATURE_LABELS)
@@ -194,11 +205,12 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def load_model(path: str) -> PipelineModel | None:
-    """Load a saved pipeline; ``None`` when it is missing or unreadable."""
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001 - any failure means "retrain"
+    """Load a saved pipeline; ``None`` when there is none. A model that cannot be read is an error."""
+    spark = SparkSession.getActiveSession()
+    stored = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not stored.getFileSystem(spark._jsc.hadoopConfiguration()).exists(stored):
         return None
+    return PipelineModel.load(path)
 
 
 def load_or_train(path: str, train: DataFrame, **params) -> PipelineModel:

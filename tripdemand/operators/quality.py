@@ -17,7 +17,6 @@ QUARTILES = (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
 # mean and standard deviation are floating sums whose last bits depend on the
 # order partial results merge in; they are reported at this many decimals
 MOMENT_PLACES = 6
-MAX_BROADCAST_ROWS = 1_000_000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -51,10 +50,7 @@ def exact_quartiles(df: DataFrame, columns: Sequence[str],
     ordered = (counts.orderBy("column", "value")
                .withColumn("_part", F.shiftright(F.monotonically_increasing_id(), 33))
                .checkpoint(eager=True))
-    # the offset tables below hold at most partitions x columns rows
-    bound = ordered.rdd.getNumPartitions() * len(columns)
-    if bound > MAX_BROADCAST_ROWS:
-        raise ValueError(f"{bound} partition offsets: too many to broadcast")
+    # partitions x columns rows; adaptive execution picks the join from that size
     part_tot = ordered.groupBy("_part", "column").agg(F.sum("n").alias("_pn"))
     before = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # one small table: each partition's starting rank and its column's total
@@ -63,7 +59,7 @@ def exact_quartiles(df: DataFrame, columns: Sequence[str],
                               F.sum("_pn").over(Window.partitionBy("column")).alias("_total"))
     running = Window.partitionBy("_part", "column").orderBy("value").rowsBetween(
         Window.unboundedPreceding, 0)
-    ranked = (ordered.join(F.broadcast(offsets), ["_part", "column"])
+    ranked = (ordered.join(offsets, ["_part", "column"])
               .withColumn("_end", F.col("_before") + F.sum("n").over(running))
               .withColumn("_start", F.col("_end") - F.col("n")))
     picks = []

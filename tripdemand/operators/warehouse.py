@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripdemand.functions import round_half_away
 from tripdemand.operators.cleaning import CLEAN_COLUMNS
-from tripdemand.operators.ids import dense_row_numbers
+from tripdemand.operators.ids import dense_row_numbers, file_row_numbers
 
 # Loading order: services in this order, then file month, as the loader
 # appends file by file.
@@ -58,21 +58,26 @@ def load_order(service_col: str = "service", month_col: str = "file_month") -> l
 
 
 def fact_trips(clean: DataFrame, first_id: int = 1, keep: tuple[str, ...] = (),
-               reproducible: bool = True, stable_input: bool = False) -> DataFrame:
+               reproducible: bool = True) -> DataFrame:
     """Clean trips of both services -> ``fact_trips`` with ids first_id..n.
 
     ``reproducible=True`` numbers trips in ``load_order`` (a range-partitioned
     sort), so a reload gives every trip the same id. ``False`` numbers them in
-    scan order with no sort, which is all a single-node loader guarantees;
-    add ``stable_input=True`` when ``clean`` is a plain scan of written files
-    to skip the staging checkpoint as well.
+    scan order with no sort, which is all a single-node loader guarantees.
+    Trips of a written clean zone are numbered by ``fact_of_files`` instead.
     """
     order = load_order() if reproducible else None
-    with_ids = dense_row_numbers(clean, order, "trip_id", first=first_id,
-                                 stable_input=stable_input and order is None)
+    with_ids = dense_row_numbers(clean, order, "trip_id", first=first_id)
     return to_fact_schema(with_ids, keep)
 
 
+def fact_of_files(clean_files: DataFrame, first_id: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A scan of the written clean zone -> ``fact_trips``: yellow first, then month, file and place in it."""
+    rank = F.when(F.col("service") == "yellow", 0).otherwise(1)
+    numbered = file_row_numbers(clean_files.withColumn("_rank", rank), ["_rank", "file_month"], "trip_id", first_id)
+    return to_fact_schema(numbered, keep)
+
+
 def max_trip_id(fact: DataFrame) -> DataFrame:
     """Highest id in an existing fact table (0 when empty): next load's offset - 1."""
     return fact.agg(F.coalesce(F.max("trip_id"), F.lit(0).cast("bigint")).alias("max_trip_id"))
@@ -82,8 +87,7 @@ def append_fact(fact: DataFrame, clean: DataFrame, keep: tuple[str, ...] = (),
                 reproducible: bool = True) -> DataFrame:
     """New fact rows for ``clean`` trips, numbered after the existing fact's ids.
 
-    The existing maximum is one scalar (a max aggregate, answered from Parquet
-    footers where possible); the returned rows are meant to be appended
+    The existing maximum is one scalar (a max aggregate over one column); the returned rows are meant to be appended
     (``write.mode("append")``) to the fact table.
     """
     offset = max_trip_id(fact).first()[0]

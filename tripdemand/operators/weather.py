@@ -53,7 +53,14 @@ def explode_weather(payloads: DataFrame, column: str = "payload") -> DataFrame:
     elements, ``inline`` to emit them; every payload is handled in the task
     that reads it.
     """
-    parsed = payloads.select(F.from_json(F.col(column), PAYLOAD_SCHEMA).alias("p"))
+    parsed = payloads.select(F.from_json(F.col(column), PAYLOAD_SCHEMA, {"mode": "FAILFAST"}).alias("p"), F.col(column).alias("_raw"))
+    hours = F.size("p.hourly.time")
+    whole = F.lit(True)
+    for name, _, _ in PAYLOAD_FIELDS:
+        whole = whole & (F.coalesce(F.size(f"p.hourly.{name}"), F.lit(-1)) == hours)
+    # a payload without its arrays, or with arrays of unequal length, must not vanish or shift
+    bad = F.raise_error(F.concat(F.lit("weather payload without hourly arrays of equal length: "), F.substring("_raw", 1, 200)))
+    parsed = parsed.select(F.when(F.coalesce(hours >= 0, F.lit(False)) & whole, F.col("p")).otherwise(bad).alias("p"))
     zipped = F.arrays_zip(F.col("p.hourly.time").alias("time"),
                           *[F.col(f"p.hourly.{src}").alias(dst) for src, dst, _ in PAYLOAD_FIELDS])
     return (parsed.select(F.inline(zipped))

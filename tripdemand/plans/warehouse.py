@@ -28,18 +28,19 @@ def _write(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 
 
 def build_warehouse(spark: SparkSession, raw_root: str, out_root: str, months: Sequence[str],
-                    weather_hourly: DataFrame, zone_lookup: DataFrame | None = None,
-                    reproducible_ids: bool = True) -> dict[str, str]:
+                    weather_hourly: DataFrame, zone_lookup: DataFrame | None = None) -> dict[str, str]:
     """Run the batch: returns table name -> written path.
 
     ``zone_lookup`` is the public zone CSV as a DataFrame (``read_zones``);
     without it the built-in 55-zone dimension is used.
 
-    ``reproducible_ids=True`` numbers trips in a fixed total order (one
-    range-partitioned sort plus a staging checkpoint). ``False`` numbers them
-    in the scan order of the written clean zone: no sort, no staging write,
-    one extra read of the clean files to count rows per split.
+    Exactly the requested months are loaded; if a file of one of them has not
+    landed, nothing is written. Trips are numbered by their place in the
+    written clean files: no sort, no staging copy, one extra count per file.
     """
+    missing = [f"{s} {m}" for s in src.SERVICES for m in sorted(set(months) - set(src.landed_months(spark, raw_root, s, months)))]
+    if missing:
+        raise FileNotFoundError(f"no landed file for {', '.join(missing)} under {raw_root}")
     out = out_root.rstrip("/")
     paths = {t: f"{out}/{t}" for t in TABLES + ("clean", "dim_weather")}
 
@@ -47,7 +48,7 @@ def build_warehouse(spark: SparkSession, raw_root: str, out_root: str, months: S
     clean = cleaning.union_clean(
         cleaning.clean_yellow(src.read_trips(spark, raw_root, "yellow", months)),
         cleaning.clean_hvfhv(src.read_trips(spark, raw_root, "fhvhv", months)))
-    src.write_clean(clean, paths["clean"])
+    src.write_clean(clean, paths["clean"], months)
 
     # 2. dimensions (small, fixed size)
     loc = (zones.dim_location(zone_lookup) if zone_lookup is not None
@@ -57,10 +58,8 @@ def build_warehouse(spark: SparkSession, raw_root: str, out_root: str, months: S
     _write(wx.build_dim_weather(weather_hourly), paths["dim_weather"])
 
     # 3. fact with dense ids, partitioned by landing month
-    clean_back = src.read_clean(spark, paths["clean"]).withColumn(
-        "file_month", F.col("file_month").cast("string"))
-    fact = warehouse.fact_trips(clean_back, keep=("file_month",), reproducible=reproducible_ids,
-                                stable_input=not reproducible_ids)
+    clean_back = src.read_clean(spark, paths["clean"], clean.schema, months)
+    fact = warehouse.fact_of_files(clean_back, keep=("file_month",))
     _write(fact, paths["fact_trips"], ["file_month"])
 
     # 4. aggregates from the written tables

@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoints that nothing refers to any more are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -94,6 +96,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written tables."""
     root = checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{root.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"

@@ -81,13 +81,12 @@ def read_trips(spark: SparkSession, root: str, service: str,
         pattern = base + "{" + ",".join(months) + "}.parquet"
     try:
         df = spark.read.schema(schema).parquet(pattern)
-    except AnalysisException:  # nothing landed for any requested month
-        return _empty(spark, schema)
-    df = df.withColumn("file_month",
-                       F.regexp_extract(F.col("_metadata.file_path"), FILE_MONTH_PATTERN, 1))
-    if months is not None:
-        df = df.filter(F.col("file_month").isin(months))
-    return df
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return _empty(spark, schema)  # nothing landed for any requested month
+    # listing has pruned the months; where the column is not used it costs nothing
+    return df.withColumn("file_month", F.regexp_extract(F.col("_metadata.file_path"), FILE_MONTH_PATTERN, 1))
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -119,17 +118,39 @@ def missing_months(spark: SparkSession, trips: DataFrame,
     return req.join(landed, ["service", "file_month"], "left_anti")
 
 
-def write_clean(df: DataFrame, path: str) -> None:
+def landed_months(spark: SparkSession, root: str, service: str, months: Iterable[str]) -> list[str]:
+    """Which of the months have a landed file, from file listings alone."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    found = []
+    for month in sorted(set(months)):
+        path = fs.Path(f"{root.rstrip('/')}/{trip_file_name(service, month)}")
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            found.append(month)
+    return found
+
+
+def write_clean(df: DataFrame, path: str, months: Iterable[str] | None = None) -> None:
     """Write cleaned trips partitioned by service and file month.
 
-    Dynamic partition overwrite replaces only the months present in ``df``,
-    which is the warehouse equivalent of rewriting one clean file per month.
+    Dynamic partition overwrite replaces the months present in ``df``. Of the
+    requested ``months``, those of which a rerun keeps no rows are removed
+    first, so no rows of an earlier run survive.
     """
+    if months is not None:
+        spark = df.sparkSession
+        fs = spark._jvm.org.apache.hadoop.fs
+        for month in sorted(set(months)):
+            for service in SERVICES:
+                old = fs.Path(f"{path.rstrip('/')}/service={service}/file_month={month}")
+                old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
     (df.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("service", "file_month")
      .parquet(path))
 
 
-def read_clean(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_clean(spark: SparkSession, path: str, schema: T.StructType | None = None, months: Iterable[str] | None = None) -> DataFrame:
+    """The clean zone, or the requested months of it (whole folders are pruned)."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    clean = reader.parquet(path)
+    return clean if months is None else clean.filter(F.col("file_month").isin(sorted(set(months))))
