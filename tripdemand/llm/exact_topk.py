@@ -83,7 +83,7 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     if max(np.abs(a).max(initial=0), np.abs(b).max(initial=0)) <= EXACT and a.shape[1] <= 4096:
         return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
     wide = a.astype(object) @ b.T.astype(object)
-    return np.clip(wide, -(2**63), 2**63 - 1).astype(np.int64)
+    return np.clip(wide, 1 - 2**63, 2**63 - 1).astype(np.int64)
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
