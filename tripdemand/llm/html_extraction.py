@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripdemand.llm.stored import on_workers, stored
+from tripdemand.llm.stored import on_workers, stored, written
 from tripdemand.llm.text_arrays import U64, chunks, mix, strings
 
 #: A class needs this many pages, and half of its host's, and this many tokens.
@@ -312,6 +312,7 @@ def deduce_templates(pages: DataFrame, url_col: str, html_col: str) -> DataFrame
     source = pages.select(F.xxhash64(*pages.columns).alias("page"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     found = source.mapInArrow(run, "host string, kind int, token long, pages long, vector long, chars long")
     tokens = found.groupBy("host", "kind", "token").agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("chars").alias("chars"))
+    tokens = written(tokens, "tokens")  # read for several things; parsed once
     host = tokens.groupBy("host").agg(
         F.max(F.when(F.col("kind") == 2, F.col("pages"))).alias("n_pages"),
         F.max(F.when(F.col("kind") == 1, F.col("chars"))).alias("most"))
