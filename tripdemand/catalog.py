@@ -19,6 +19,7 @@ from tripdemand import fixtures as fx
 from tripdemand.operators import aggregates, cleaning, ml, quality, reports, warehouse
 from tripdemand.operators import weather as wx
 from tripdemand.oracle.fixture_sql import with_ctes
+from tripdemand.plans import model as model_job
 from tripdemand.plans import warehouse as job
 from tripdemand.session import scratch_path
 from tripdemand.sources import trips as src
@@ -58,8 +59,8 @@ def reven(x: str, places: int) -> str:
 # --- building blocks (lazy DataFrames over the landed fixture) ----------------
 # Base plans are built once per session and shared by the queries above them,
 # the way an application builds its DataFrames once. Only lazy plans are
-# shared: each query still executes its whole plan (nothing is cached), and
-# anything that runs a job while being built (the fact with ids) is not shared.
+# shared: each query still executes its whole plan over the landed files or the
+# warehouse built from them once a session.
 
 _PLANS: dict[tuple, DataFrame] = {}
 
@@ -107,31 +108,44 @@ def clean_all_df(spark, sf_dir):
     return cleaning.union_clean(clean_yellow_df(spark, sf_dir), clean_fhvhv_df(spark, sf_dir))
 
 
+_WAREHOUSES: dict[tuple, str] = {}
+
+
+def warehouse_root(spark, sf_dir):
+    """The session's warehouse, built once from the landed files; facts and reports read it."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _WAREHOUSES:
+        root = scratch_path(spark, "warehouse")
+        job.build_warehouse(spark, fx.landed(spark, sf_dir).trips, root, fx.FIXTURE_MONTHS, weather_hourly_df(spark, sf_dir))
+        _WAREHOUSES[key] = root
+    return _WAREHOUSES[key]
+
+
+@_per_session
 def fact_df(spark, sf_dir):
-    return warehouse.fact_trips(clean_all_df(spark, sf_dir))
+    """The loaded fact with its ids and file months."""
+    return job.read_table(spark, warehouse_root(spark, sf_dir), "fact_trips", folder=True)
 
 
 @_per_session
 def fact_rows_df(spark, sf_dir):
-    """Fact rows without ids (aggregates never read the id)."""
-    return warehouse.conform_fact(clean_all_df(spark, sf_dir))
+    """Rows of the loaded fact without ids, which follow the place in a file and differ between loads."""
+    return fact_df(spark, sf_dir).drop("trip_id", "file_month")
 
 
 @_per_session
 def dim_weather_df(spark, sf_dir):
-    return wx.build_dim_weather(weather_hourly_df(spark, sf_dir))
+    return job.read_table(spark, warehouse_root(spark, sf_dir), "dim_weather")
 
 
 @_per_session
 def agg_hourly_df(spark, sf_dir):
-    return aggregates.agg_hourly_demand(fact_rows_df(spark, sf_dir), zones.dim_operator(spark),
-                                        dim_weather_df(spark, sf_dir))
+    return job.read_table(spark, warehouse_root(spark, sf_dir), "agg_hourly_demand")
 
 
 @_per_session
 def agg_zone_df(spark, sf_dir):
-    return aggregates.agg_zone_demand(fact_rows_df(spark, sf_dir), zones.dim_operator(spark),
-                                      zones.builtin_dim_location(spark))
+    return job.read_table(spark, warehouse_root(spark, sf_dir), "agg_zone_demand")
 
 
 @_per_session
@@ -228,6 +242,11 @@ def q_read_trips(spark, sf_dir):
     return raw_yellow_df(spark, sf_dir)
 
 
+@register("read_trips_hvfhv", "SELECT * FROM raw_fhvhv")
+def q_read_trips_hvfhv(spark, sf_dir):
+    return raw_fhvhv_df(spark, sf_dir)
+
+
 # one month more than was landed
 _REQUESTED_MONTHS = fx.FIXTURE_MONTHS + ("2024-04",)
 
@@ -241,12 +260,8 @@ _REQUESTED_MONTHS = fx.FIXTURE_MONTHS + ("2024-04",)
                    UNION ALL SELECT 'fhvhv', file_month FROM raw_fhvhv) l
     WHERE l.service = s.service AND l.file_month = m.file_month)""")
 def q_missing_months(spark, sf_dir):
-    root = fx.landed(spark, sf_dir).trips
-    landed = (src.read_trips(spark, root, "yellow").select(F.lit("yellow").alias("service"), "file_month")
-              .unionByName(src.read_trips(spark, root, "fhvhv")
-                           .select(F.lit("fhvhv").alias("service"), "file_month")))
     requested = [(s, m) for s in src.SERVICES for m in _REQUESTED_MONTHS]
-    return src.missing_months(spark, landed, requested)
+    return src.missing_months(spark, fx.landed(spark, sf_dir).trips, requested)
 
 
 @register("clean_roundtrip", "SELECT * FROM clean_all")
@@ -388,14 +403,14 @@ def q_zone_profile_category(spark, sf_dir):
 # --- 2.3 joins ----------------------------------------------------------------------
 
 @register("fact_operator_join", """
-  SELECT f.*, o.operator_id, o.operator_name, o.taxi_type, o.category
+  SELECT f.* EXCLUDE (trip_id), o.operator_id, o.operator_name, o.taxi_type, o.category
   FROM fact_trips f JOIN dim_operator o USING (operator_code)""")
 def q_fact_operator_join(spark, sf_dir):
-    return warehouse.fact_operator_join(fact_df(spark, sf_dir), zones.dim_operator(spark))
+    return warehouse.fact_operator_join(fact_rows_df(spark, sf_dir), zones.dim_operator(spark))
 
 
 @register("fact_weather_join", """
-  SELECT f.trip_id, CAST(f.pickup_datetime AS DATE) AS date,
+  SELECT f.operator_code, f.PULocationID, f.pickup_datetime, CAST(f.pickup_datetime AS DATE) AS date,
          CAST(hour(f.pickup_datetime) AS INTEGER) AS hour,
          COALESCE(w.temperature, 0.0::DOUBLE) AS temperature,
          COALESCE(w.precipitation, 0.0::DOUBLE) AS precipitation,
@@ -404,13 +419,14 @@ def q_fact_operator_join(spark, sf_dir):
   FROM fact_trips f LEFT JOIN dim_weather w
     ON CAST(f.pickup_datetime AS DATE) = w.date AND hour(f.pickup_datetime) = w.hour""")
 def q_fact_weather_join(spark, sf_dir):
-    fact = fact_df(spark, sf_dir)
+    fact = fact_rows_df(spark, sf_dir)
     p = F.col("pickup_datetime")
-    keyed = fact.select("trip_id", F.to_date(p).alias("date"), F.hour(p).alias("hour"))
+    trip = ("operator_code", "PULocationID", "pickup_datetime")
+    keyed = fact.select(*trip, F.to_date(p).alias("date"), F.hour(p).alias("hour"))
     w = dim_weather_df(spark, sf_dir).select("date", "hour", "temperature", "precipitation",
                                              "windspeed", "is_rain", "is_snow")
     joined = keyed.join(w, ["date", "hour"], "left")
-    return joined.select("trip_id", "date", "hour",
+    return joined.select(*trip, "date", "hour",
                          *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("temperature", "precipitation", "windspeed")],
                          *[F.coalesce(c, F.lit(0)).alias(c) for c in ("is_rain", "is_snow")])
 
@@ -477,14 +493,52 @@ def q_scenario_grid(spark, sf_dir):
 
 @register("agg_hourly_demand", "SELECT * FROM agg_hourly_demand")
 def q_agg_hourly_demand(spark, sf_dir):
-    return agg_hourly_df(spark, sf_dir)
+    return aggregates.agg_hourly_demand(fact_rows_df(spark, sf_dir), zones.dim_operator(spark),
+                                        dim_weather_df(spark, sf_dir))
 
 
 @register("agg_zone_demand", "SELECT * FROM agg_zone_demand")
 def q_agg_zone_demand(spark, sf_dir):
+    return aggregates.agg_zone_demand(fact_rows_df(spark, sf_dir), zones.dim_operator(spark),
+                                      zones.builtin_dim_location(spark))
+
+
+# the aggregates as the warehouse holds them
+@register("warehouse_hourly", "SELECT * FROM agg_hourly_demand")
+def q_warehouse_hourly(spark, sf_dir):
+    return agg_hourly_df(spark, sf_dir)
+
+
+@register("warehouse_zone", "SELECT * FROM agg_zone_demand")
+def q_warehouse_zone(spark, sf_dir):
     return agg_zone_df(spark, sf_dir)
 
 
+_WAREHOUSE_SCHEMA = {
+    "fact_trips": (
+        "trip_id bigint", "operator_code string", "PULocationID int", "DOLocationID int", "pickup_datetime timestamp_ntz",
+        "dropoff_datetime timestamp_ntz", "trip_duration_min float", "trip_distance float", "fare_amount float", "tip_amount float",
+        "tolls_amount float", "congestion_surcharge float", "airport_fee float", "cbd_congestion_fee float", "total_amount float"),
+    "agg_hourly_demand": (
+        "date date", "hour int", "day_of_week int", "PULocationID int", "operator_id int", "taxi_type string", "category string",
+        "operator_name string", "trip_count bigint", "avg_fare double", "avg_total double", "avg_duration_min double",
+        "avg_distance double", "avg_tip double", "temperature double", "precipitation double", "windspeed double", "is_rain int", "is_snow int"),
+    "agg_zone_demand": (
+        "month timestamp_ntz", "PULocationID int", "zone_name string", "borough string", "taxi_type string", "category string",
+        "operator_name string", "trip_count bigint", "avg_fare double", "avg_distance double", "avg_duration_min double", "avg_tip double"),
+}
+
+
+@register("warehouse_schema", " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", {i} AS position, '{c.split()[0]}' AS \"column\", '{c.split()[1]}' AS type, "
+    f"COUNT({c.split()[0]}) AS non_null FROM {t}"
+    for t, cols in _WAREHOUSE_SCHEMA.items() for i, c in enumerate(cols)))
+def q_warehouse_schema(spark, sf_dir):
+    root = warehouse_root(spark, sf_dir)
+    reports_ = [quality.schema_report(job.read_table(spark, root, t)).select(F.lit(t).alias("table"), "*") for t in _WAREHOUSE_SCHEMA]
+    return functools.reduce(DataFrame.unionByName, reports_)
+
+
 @register("zone_profile", "SELECT * FROM zone_profile", ZP)
 def q_zone_profile(spark, sf_dir):
     return zone_profile_df(spark, sf_dir)
@@ -597,7 +651,7 @@ def q_weather_duplicates(spark, sf_dir):
 
 @register("dim_weather", "SELECT * FROM dim_weather")
 def q_dim_weather(spark, sf_dir):
-    return dim_weather_df(spark, sf_dir)
+    return wx.build_dim_weather(weather_hourly_df(spark, sf_dir))
 
 
 @register("actual_vs_predicted", f"""
@@ -699,9 +753,19 @@ def q_schema_report(spark, sf_dir):
 
 # --- 2.5 windows ---------------------------------------------------------------------
 
-@register("trip_id", "SELECT trip_id, operator_code, pickup_datetime FROM fact_trips")
+# Ids follow the place in the written files, so SQL states what they must satisfy: dense
+# and unique, yellow first, then month by month.
+_ID_BLOCKS_SQL = """
+  SELECT service, file_month, n AS trips, CAST(until - n + 1 AS BIGINT) AS first_id, CAST(until AS BIGINT) AS last_id, n AS ids, fare_cents
+  FROM (SELECT *, SUM(n) OVER (ORDER BY service DESC, file_month) AS until
+        FROM (SELECT service, file_month, COUNT(*) AS n,
+                     CAST(SUM(CAST(ROUND(CAST(CAST(fare_amount AS FLOAT) AS DOUBLE) * 100) AS BIGINT)) AS BIGINT) AS fare_cents
+              FROM clean_all GROUP BY 1, 2))"""
+
+
+@register("trip_id", _ID_BLOCKS_SQL)
 def q_trip_id(spark, sf_dir):
-    return fact_df(spark, sf_dir).select("trip_id", "operator_code", "pickup_datetime")
+    return warehouse.id_blocks(fact_df(spark, sf_dir))
 
 
 @register("operator_share", """
@@ -715,17 +779,21 @@ def q_operator_share(spark, sf_dir):
 
 # --- 2.6 sort, top-k, reshape ------------------------------------------------------------
 
-@register("fact_append", "SELECT * FROM fact_trips")
+@register("fact_append", _ID_BLOCKS_SQL)
 def q_fact_append(spark, sf_dir):
-    """Load yellow trips first, then append the other service after them."""
-    first = warehouse.fact_trips(clean_yellow_df(spark, sf_dir))
-    second = warehouse.append_fact(first, clean_fhvhv_df(spark, sf_dir))
-    return first.unionByName(second)
+    """Load yellow trips first, then append the other service's files after them."""
+    files = src.read_clean(spark, f"{warehouse_root(spark, sf_dir)}/clean", clean_all_df(spark, sf_dir).schema, fx.FIXTURE_MONTHS)
+    path = scratch_path(spark, "fact-append")
+    warehouse.fact_of_files(files.filter(F.col("service") == "yellow"), keep=("file_month",)).write.parquet(path)
+    more = warehouse.append_files(spark.read.parquet(path), files.filter(F.col("service") == "fhvhv"), keep=("file_month",))
+    more.write.mode("append").parquet(path)
+    return warehouse.id_blocks(spark.read.parquet(path))
 
 
-@register("fact_trips", "SELECT * FROM fact_trips")
+@register("fact_trips", "SELECT * EXCLUDE (trip_id) FROM fact_trips")
 def q_fact_trips(spark, sf_dir):
-    return fact_df(spark, sf_dir)
+    return warehouse.conform_fact(src.read_clean(
+        spark, f"{warehouse_root(spark, sf_dir)}/clean", clean_all_df(spark, sf_dir).schema, fx.FIXTURE_MONTHS))
 
 
 @register("top_zones", """
@@ -739,13 +807,14 @@ def q_top_zones(spark, sf_dir):
 
 
 @register("sample_rows", """
-  SELECT trip_id, operator_code, PULocationID, DOLocationID, pickup_datetime, trip_duration_min,
+  SELECT operator_code, PULocationID, DOLocationID, pickup_datetime, trip_duration_min,
          trip_distance, fare_amount, tip_amount, total_amount
-  FROM fact_trips ORDER BY trip_id LIMIT 5""")
+  FROM fact_trips ORDER BY pickup_datetime, operator_code, PULocationID, DOLocationID, trip_duration_min, trip_distance, fare_amount LIMIT 5""")
 def q_sample_rows(spark, sf_dir):
-    cols = ("trip_id", "operator_code", "PULocationID", "DOLocationID", "pickup_datetime",
+    cols = ("operator_code", "PULocationID", "DOLocationID", "pickup_datetime",
             "trip_duration_min", "trip_distance", "fare_amount", "tip_amount", "total_amount")
-    return quality.sample_rows(fact_df(spark, sf_dir), 5, cols, ["trip_id"])
+    order = ("pickup_datetime", "operator_code", "PULocationID", "DOLocationID", "trip_duration_min", "trip_distance", "fare_amount")
+    return quality.sample_rows(fact_df(spark, sf_dir), 5, cols, order)
 
 
 @register("zone_list", "SELECT DISTINCT PULocationID, zone_name FROM agg_zone_demand")
@@ -813,49 +882,108 @@ def q_regression_metrics(spark, sf_dir):
     return ml.regression_metrics(pred, model_name="baseline", train_rows=stats["n"])
 
 
-@register("fit_demand")
+# Boosted trees are no SQL; their oracles state what must hold of their results.
+_MODEL_CTES = {**_BASELINE_SQL, "n_train": "SELECT COUNT(*) AS n FROM train", "n_test": "SELECT COUNT(*) AS n FROM test"}
+_KEYS_SQL = "date, hour, day_of_week, PULocationID, category, operator_name, trip_count"
+
+
+def _well_formed(column="predicted"):
+    """Not negative, and equal to its half-even rounding to 0.1."""
+    p = F.col(column)
+    return ((p >= 0) & (p == F.bround(p, 1))).alias("well_formed")
+
+
+@register("fit_demand", """
+  SELECT 300 AS trees, 1.0::DOUBLE AS first_weight, 0.05::DOUBLE AS least_weight, true AS depth_within_6, 16 AS features, n AS train_rows
+  FROM n_train""", _MODEL_CTES)
 def q_fit_demand(spark, sf_dir):
+    """The ensemble that was fitted, in one row."""
     model, train, _ = _session_model(spark, sf_dir)
     gbt = model.stages[-1]
-    rows = [(i, float(w), int(t.numNodes), int(t.depth))
-            for i, (w, t) in enumerate(zip(gbt.treeWeights, gbt.trees))]
-    return spark.createDataFrame(rows, "tree int, weight double, nodes int, depth int")
+    weights = [float(w) for w in gbt.treeWeights]
+    return train.agg(F.count(F.lit(1)).alias("train_rows")).select(
+        F.lit(len(weights)).alias("trees"), F.lit(weights[0]).alias("first_weight"), F.lit(min(weights)).alias("least_weight"),
+        F.lit(all(t.depth <= 6 for t in gbt.trees)).alias("depth_within_6"), F.lit(gbt.numFeatures).alias("features"), "train_rows")
 
 
-@register("predict")
+@register("predict", f"SELECT {_KEYS_SQL}, true AS well_formed FROM test", _MODEL_CTES)
 def q_predict(spark, sf_dir):
+    """Every row of the test split, once, with a well-formed prediction."""
     model, _, test = _session_model(spark, sf_dir)
-    return ml.predict_demand(model, test)
+    return ml.predict_demand(model, test).select(*ml.PREDICTION_KEYS, _well_formed())
 
 
-@register("feature_importance")
+@register("feature_importance", " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, '{label}' AS label, true AS is_share, true AS sums_to_one FROM n_train" for f, label in ml.FEATURE_LABELS), _MODEL_CTES)
 def q_feature_importance(spark, sf_dir):
     model, _, _ = _session_model(spark, sf_dir)
-    return ml.feature_importance(model, spark)
+    shares = ml.feature_importance(model, spark)
+    total = shares.agg(F.sum("importance")).first()[0]
+    return shares.select("feature", "label", F.col("importance").between(0, 1).alias("is_share"), F.lit(abs(total - 1) < 1e-6).alias("sums_to_one"))
 
 
-@register("model_metrics")
+@register("model_metrics", f"""
+  SELECT '{ml.MODEL_NAME}' AS model_name, n_train.n AS train_rows, n_test.n AS test_rows, true AS beats_baseline
+  FROM n_train, n_test""", _MODEL_CTES)
 def q_model_metrics(spark, sf_dir):
+    """Row counts of the fit, and whether its error is below the historical mean's."""
     model, train, test = _session_model(spark, sf_dir)
-    return ml.regression_metrics(ml.predict_demand(model, test), train_rows=train.count())
+    ours = ml.regression_metrics(ml.predict_demand(model, test), train_rows=train.count())
+    mean = ml.regression_metrics(baseline_df(spark, sf_dir)).first()["rmse"]
+    return ours.select("model_name", "train_rows", "test_rows", (F.col("rmse") < mean).alias("beats_baseline"))
 
 
-@register("actual_vs_predicted_model")
+@register("actual_vs_predicted_model", """
+  SELECT date, category, t.Tipe, CASE t.Tipe WHEN 'Aktual' THEN CAST(actual AS DOUBLE) END AS actual, true AS not_negative
+  FROM (SELECT date, category, SUM(trip_count) AS actual FROM test GROUP BY 1, 2), (VALUES ('Aktual'), ('Prediksi')) t(Tipe)""", _MODEL_CTES)
 def q_actual_vs_predicted_model(spark, sf_dir):
     model, _, test = _session_model(spark, sf_dir)
-    return reports.actual_vs_predicted(ml.predict_demand(model, test))
+    rows = reports.actual_vs_predicted(ml.predict_demand(model, test))
+    return rows.select("date", "category", "Tipe", F.when(F.col("Tipe") == "Aktual", F.col("trip_count")).alias("actual"),
+                       (F.col("trip_count") >= 0).alias("not_negative"))
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", f"SELECT {_KEYS_SQL}, true AS same FROM test", _MODEL_CTES)
 def q_model_roundtrip(spark, sf_dir):
+    """A saved and reloaded model predicts the same for every row."""
     model, _, test = _session_model(spark, sf_dir)
     path = scratch_path(spark, "model")
     ml.save_model(model, path)
-    return ml.predict_demand(ml.load_model(path), test)
+    again = ml.predict_demand(ml.load_model(path), test).withColumnRenamed("predicted", "again").drop("prediction_clipped")
+    return again.join(ml.predict_demand(model, test), list(ml.PREDICTION_KEYS)).select(
+        *ml.PREDICTION_KEYS, (F.col("again") == F.col("predicted")).alias("same"))
+
+
+@register("model_artifacts", """
+  SELECT * FROM (VALUES ('ml_demand_predictions', (SELECT n FROM n_test), 8), ('ml_feature_importance', 16, 2), ('ml_model_metrics', 1, 6))
+    t("table", row_count, columns)""", _MODEL_CTES)
+def q_model_artifacts(spark, sf_dir):
+    """The model's tables as the batch writes and the reports load them."""
+    model, _, _ = _session_model(spark, sf_dir)
+    root = scratch_path(spark, "model-tables")
+    model_job.build_model(spark, root, features_df(spark, sf_dir), fx.FIXTURE_CUT, model=model)
+    found = model_job.load_artifacts(spark, root)
+    counted = [found[t].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table"), "row_count", F.lit(len(found[t].columns)).alias("columns"))
+               for t in model_job.TABLES]
+    return functools.reduce(DataFrame.unionByName, counted)
 
 
-@register("score_scenarios")
+@register("score_scenarios", f"""
+  SELECT date, PULocationID, category, operator_name, CAST(h.range AS INTEGER) AS hour, true AS well_formed
+  FROM (SELECT DISTINCT date, PULocationID, category, operator_name FROM agg_hourly_demand WHERE date >= DATE '{fx.FIXTURE_CUT}'), range(24) h""")
 def q_score_scenarios(spark, sf_dir):
     model, _, _ = _session_model(spark, sf_dir)
     scen = ml.scenario_inputs(agg_hourly_df(spark, sf_dir), dim_weather_df(spark, sf_dir), fx.FIXTURE_CUT)
-    return ml.score_scenarios(model, ml.scenario_grid(scen))
+    scored = ml.score_scenarios(model, ml.scenario_grid(scen))
+    return scored.select("date", "PULocationID", "category", "operator_name", "hour", _well_formed())
+
+
+@register("score_single_hour", """
+  SELECT DISTINCT day_of_week, month, hour, PULocationID, category, operator_name, true AS not_negative FROM features""", FEAT)
+def q_score_single_hour(spark, sf_dir):
+    """Each weekday, month and hour asked of a zone and operator, in mild weather: the unrounded answer."""
+    model, _, _ = _session_model(spark, sf_dir)
+    asked = features_df(spark, sf_dir).select("day_of_week", "month", "hour", "PULocationID", "category", "operator_name").distinct()
+    mild = asked.withColumns({c: F.lit(float(v)) for c, v in ml.FEATURE_DEFAULTS[:3]})
+    scored = ml.score_scenarios(model, ml.scenario_grid(mild), rounded=False)
+    return scored.select("day_of_week", "month", "hour", "PULocationID", "category", "operator_name", (F.col("predicted") >= 0).alias("not_negative"))

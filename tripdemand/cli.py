@@ -35,21 +35,10 @@ def main(argv=None) -> None:
     spark = get_spark(args.master, cluster=args.cluster)
     weather = wx.explode_weather(spark.read.text(args.weather), "value")
     zones = read_zones(spark, args.zones) if args.zones else None
-    paths = build_warehouse(spark, args.raw, args.out, args.months, weather, zones)
+    paths = build_warehouse(spark, args.raw, args.out, args.months, weather, zones,
+                            model_cut=args.model_cut, n_trees=args.trees)
     warehouse_row_counts(spark, paths).show(truncate=False)
 
-    if args.model_cut:
-        hourly = ml.build_features(spark.read.parquet(paths["agg_hourly_demand"]))
-        train, test = ml.time_split(hourly, args.model_cut)
-        model = ml.fit_demand(train, n_trees=args.trees)
-        ml.save_model(model, f"{args.out.rstrip('/')}/model")
-        pred = ml.predict_demand(model, test)
-        pred.drop("prediction_clipped").write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/ml_demand_predictions")
-        (ml.regression_metrics(pred, train_rows=train.count())
-         .write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/ml_model_metrics"))
-        (ml.feature_importance(model, spark).drop("label")
-         .write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/ml_feature_importance"))
-
 
 if __name__ == "__main__":
     main()

@@ -31,6 +31,10 @@ FIXTURE_CUT = "2024-03-01"
 FIXTURE_TREND = ("2024-01-01", "2024-04-01")
 YELLOW_CODES = {"click": 1, "view": 2, "error": 6}
 FHVHV_CODES = {"purchase": "HV0003", "signup": "HV0005"}
+# days between the pickups of one file month and the next
+MONTH_SHIFT_DAYS = 28
+# hours since FIXTURE_START of the busiest hour, and its zone's place in the zone list
+HOT_HOUR, HOT_ZONE = 9 * 24 + 18, 30
 # one GeoJSON feature per zone id plus this id, which has no metrics
 GEO_EXTRA_ID = 1
 # ------------------------------------------------------------------------------
@@ -49,14 +53,21 @@ def _base(ev: DataFrame) -> DataFrame:
     eid, uid, value = F.col("event_id"), F.col("user_id"), F.col("value")
     k = F.regexp_extract("props", r"(\d+)", 1).cast("int")
     m = (eid % 3).cast("int")
-    pickup = F.timestamp_add("DAY", m * 30, F.col("ts"))
+    # of 32 events one keeps its hour and any zone, 12 share one hour and zone, 19 some of 4 hours and 3 zones
+    share, n = eid % 32, F.floor(eid / 32)
+    start_day = F.lit(FIXTURE_START.date().isoformat()).cast("date")
+    own = F.datediff(F.to_date("ts"), start_day).cast("long") * 24 + F.hour("ts")
+    busy = (n % 2 * 13 + 5) * 24 + 8 + F.floor(n / 2) % 2 * 10
+    hours = F.when(share == 0, own).when(share <= 12, F.lit(HOT_HOUR)).otherwise(busy)
+    pickup = F.timestamp_add("DAY", m * MONTH_SHIFT_DAYS, F.timestamp_add("HOUR", hours - own, F.col("ts")))
+    zone = F.when(share == 0, (uid * 3 + eid) % 55 + 1).when(share <= 12, F.lit(HOT_ZONE)).otherwise(F.floor(n / 4) % 3 * 10 + 10)
     return ev.select(
         "event_id", "event_type", "value",
         k.alias("k"),
         F.element_at(F.array(*[F.lit(x) for x in FIXTURE_MONTHS]), m + 1).alias("file_month"),
         pickup.alias("pickup"),
         F.when(eid % 10 == 0, uid % 265 + 1)
-         .otherwise(_zone((uid * 3 + eid) % 55 + 1)).cast("int").alias("pu"),
+         .otherwise(_zone(zone)).cast("int").alias("pu"),
         F.when(eid % 13 == 0, (uid * 5) % 265 + 1)
          .otherwise(_zone((uid + eid * 7) % 55 + 1)).cast("int").alias("do"),
     ).select(

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tripdemand.functions import exact_mean, round_half_away, round_half_even
 from tripdemand.operators.weather import demand_weather_defaults
-from tripdemand.session import checkpoint_dir
+from tripdemand.session import checkpoint_dir, path_exists
 
 # --- fixed values (must equal the reference's) --------------------------------
 FEATURE_COLS = (
@@ -115,7 +115,7 @@ def demand_pipeline(n_trees: int = 300, max_depth: int = 6, learning_rate: float
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
                        maxIter=n_trees, maxDepth=max_depth, stepSize=learning_rate,
                        subsamplingRate=subsample, featureSubsetStrategy=str(colsample),
-                       maxBins=max_bins, seed=seed, cacheNodeIds=True, checkpointInterval=25,
+                       maxBins=max_bins, seed=seed, checkpointInterval=25,
                        maxMemoryInMB=512)
     return Pipeline(stages=[assembler, gbt])
 
@@ -206,9 +206,7 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel | None:
     """Load a saved pipeline; ``None`` when there is none. A model that cannot be read is an error."""
-    spark = SparkSession.getActiveSession()
-    stored = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not stored.getFileSystem(spark._jsc.hadoopConfiguration()).exists(stored):
+    if not path_exists(SparkSession.getActiveSession(), path):
         return None
     return PipelineModel.load(path)
 
@@ -240,19 +238,22 @@ def scenario_inputs(demand: DataFrame, dim_weather: DataFrame, cut: str) -> Data
 
 
 def scenario_grid(scenarios: DataFrame) -> DataFrame:
-    """Scenario rows x 24 hours -> model features.
+    """Scenario rows -> model features.
 
-    Each scenario expands to its 24 hours with a generator (no join); rain
-    and snow follow the interactive rules (snow: cold and any precipitation).
+    A scenario has a date, or else day_of_week and month, and may name its hour;
+    without one it expands to all 24 hours with a generator (no join). Rain and
+    snow follow the interactive rules (snow: cold and any precipitation).
     """
     hs, hc = _cyclic(F.col("hour"), 24)
     ds, dc = _cyclic(F.col("day_of_week"), 7)
-    base = (scenarios
-            .withColumn("day_of_week", (F.dayofweek("date") - 1).cast("int"))
-            .withColumn("month", F.month("date"))
-            .withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23)))))
+    base, dated = scenarios, "date" in scenarios.columns
+    if dated:
+        base = (base.withColumn("day_of_week", (F.dayofweek("date") - 1).cast("int"))
+                .withColumn("month", F.month("date")))
+    if "hour" not in base.columns:
+        base = base.withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
     return base.select(
-        "date", "PULocationID", "category", "operator_name",
+        *(["date"] if dated else []), "PULocationID", "category", "operator_name",
         "hour", "day_of_week", "month",
         F.col("day_of_week").isin(0, 6).cast("int").alias("is_weekend"),
         (F.col("category") == MODERN_CATEGORY).cast("int").alias("category_enc"),
@@ -265,11 +266,12 @@ def scenario_grid(scenarios: DataFrame) -> DataFrame:
     )
 
 
-def score_scenarios(model: PipelineModel, grid: DataFrame) -> DataFrame:
-    """Predicted trips per scenario hour, clipped at zero and rounded to 0.1."""
-    scored = model.transform(grid)
-    return scored.select("date", "PULocationID", "category", "operator_name", "hour",
-                         round_half_even(clipped(F.col("prediction")), 1).alias("predicted"))
+def score_scenarios(model: PipelineModel, grid: DataFrame, rounded: bool = True) -> DataFrame:
+    """Predicted trips per scenario hour, clipped at zero; to 0.1 unless ``rounded`` is off."""
+    keys = ["date"] if "date" in grid.columns else ["day_of_week", "month"]
+    value = clipped(F.col("prediction"))
+    return model.transform(grid).select(*keys, "PULocationID", "category", "operator_name", "hour",
+                                        (round_half_even(value, 1) if rounded else value).alias("predicted"))
 
 
 def baseline_predictions(train: DataFrame, test: DataFrame,

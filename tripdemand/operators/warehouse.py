@@ -94,6 +94,23 @@ def append_fact(fact: DataFrame, clean: DataFrame, keep: tuple[str, ...] = (),
     return fact_trips(clean, first_id=int(offset) + 1, keep=keep, reproducible=reproducible)
 
 
+def append_files(fact: DataFrame, clean_files: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The same for a scan of written clean files: numbered by their place, without a sort."""
+    offset = max_trip_id(fact).first()[0]
+    return fact_of_files(clean_files, first_id=int(offset) + 1, keep=keep)
+
+
+def id_blocks(fact: DataFrame) -> DataFrame:
+    """Per service and file month: trips, first and last id, different ids, and fare cents.
+
+    What a load must satisfy: ids dense and unique, yellow first, then by month.
+    """
+    service = F.when(F.col("operator_code").startswith("HV"), "fhvhv").otherwise("yellow")
+    return fact.groupBy(service.alias("service"), F.col("file_month").cast("string").alias("file_month")).agg(
+        F.count(F.lit(1)).alias("trips"), F.min("trip_id").alias("first_id"), F.max("trip_id").alias("last_id"),
+        F.countDistinct("trip_id").alias("ids"), F.sum(F.round(F.col("fare_amount").cast("double") * 100).cast("long")).alias("fare_cents"))
+
+
 def fact_operator_join(fact: DataFrame, operators: DataFrame) -> DataFrame:
     """Trips joined to their operator (inner: unknown codes fall out).
 

@@ -29,7 +29,11 @@ CTES["fx_base"] = f"""
   SELECT event_id, event_type, value, user_id,
          CAST(regexp_extract(props, '(\\d+)', 1) AS INTEGER) AS k,
          CAST(event_id % 3 AS INTEGER) AS m,
-         ts + to_days(CAST(event_id % 3 AS INTEGER) * 30) AS pickup
+         ts + to_days(CAST(event_id % 3 AS INTEGER) * 28)
+            + to_hours(CASE WHEN event_id % 32 = 0 THEN 0
+                            ELSE CASE WHEN event_id % 32 <= 12 THEN 234
+                                      ELSE 24 * (5 + 13 * (event_id // 32 % 2)) + 8 + 10 * (event_id // 64 % 2) END
+                                 - datediff('hour', TIMESTAMP '2024-01-01 00:00:00', ts) END) AS pickup
   FROM events"""
 
 CTES["fx_rows"] = f"""
@@ -38,7 +42,9 @@ CTES["fx_rows"] = f"""
          pickup,
          pickup + to_milliseconds(CAST((k * 179 - 835) * 1000 + event_id % 1000 AS BIGINT)) AS dropoff,
          CAST(CASE WHEN event_id % 10 = 0 THEN user_id % 265 + 1
-                   ELSE {_Z}[(3 * user_id + event_id) % 55 + 1] END AS INTEGER) AS pu,
+                   WHEN event_id % 32 = 0 THEN {_Z}[(3 * user_id + event_id) % 55 + 1]
+                   WHEN event_id % 32 <= 12 THEN {_Z}[30]
+                   ELSE {_Z}[10 + 10 * (event_id // 128 % 3)] END AS INTEGER) AS pu,
          CAST(CASE WHEN event_id % 13 = 0 THEN (5 * user_id) % 265 + 1
                    ELSE {_Z}[(user_id + 7 * event_id) % 55 + 1] END AS INTEGER) AS do_,
          value - 1.0::DOUBLE AS fare,

@@ -12,11 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripdemand.operators import aggregates, cleaning, quality, warehouse
+from tripdemand.operators import aggregates, cleaning, ml, quality, warehouse
 from tripdemand.operators import weather as wx
+from tripdemand.plans import model
+from tripdemand.session import path_exists
 from tripdemand.sources import trips as src
 from tripdemand.sources import zones
 
+# column whose values name the folders of a table; not part of its rows
+FOLDERS = {"fact_trips": "file_month", "agg_hourly_demand": "month_key", "agg_zone_demand": "month_key"}
 TABLES = ("dim_location", "dim_operator", "fact_trips", "agg_hourly_demand", "agg_zone_demand")
 
 
@@ -28,7 +32,8 @@ def _write(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 
 
 def build_warehouse(spark: SparkSession, raw_root: str, out_root: str, months: Sequence[str],
-                    weather_hourly: DataFrame, zone_lookup: DataFrame | None = None) -> dict[str, str]:
+                    weather_hourly: DataFrame, zone_lookup: DataFrame | None = None,
+                    model_cut: str | None = None, **model_params) -> dict[str, str]:
     """Run the batch: returns table name -> written path.
 
     ``zone_lookup`` is the public zone CSV as a DataFrame (``read_zones``);
@@ -37,6 +42,9 @@ def build_warehouse(spark: SparkSession, raw_root: str, out_root: str, months: S
     Exactly the requested months are loaded; if a file of one of them has not
     landed, nothing is written. Trips are numbered by their place in the
     written clean files: no sort, no staging copy, one extra count per file.
+
+    With ``model_cut`` the demand model is fitted on the dates before it and its
+    tables are written beside the others (``plans.model``).
     """
     missing = [f"{s} {m}" for s in src.SERVICES for m in sorted(set(months) - set(src.landed_months(spark, raw_root, s, months)))]
     if missing:
@@ -65,13 +73,45 @@ def build_warehouse(spark: SparkSession, raw_root: str, out_root: str, months: S
     # 4. aggregates from the written tables
     fact = spark.read.parquet(paths["fact_trips"])
     ops = spark.read.parquet(paths["dim_operator"])
-    _write(aggregates.agg_hourly_demand(fact, ops, spark.read.parquet(paths["dim_weather"])),
-           paths["agg_hourly_demand"])
-    _write(aggregates.agg_zone_demand(fact, ops, spark.read.parquet(paths["dim_location"])),
-           paths["agg_zone_demand"], ["month"])
+    hourly = aggregates.agg_hourly_demand(fact, ops, spark.read.parquet(paths["dim_weather"]))
+    _write(hourly.withColumn("month_key", F.date_format("date", "yyyy-MM")), paths["agg_hourly_demand"], ["month_key"])
+    zone = aggregates.agg_zone_demand(fact, ops, spark.read.parquet(paths["dim_location"]))
+    _write(zone.withColumn("month_key", F.date_format("month", "yyyy-MM")), paths["agg_zone_demand"], ["month_key"])
+
+    # 5. the demand model, from the written aggregate
+    if model_cut:
+        features = ml.build_features(read_table(spark, out, "agg_hourly_demand"))
+        paths |= model.build_model(spark, out, features, model_cut, **model_params)
     return paths
 
 
+def read_table(spark: SparkSession, out_root: str, name: str, columns: Sequence[str] | None = None,
+               order: Sequence[str] | None = None, months: Sequence[str] | None = None, folder: bool = False) -> DataFrame:
+    """A table of a written warehouse: the named columns, in the named order of rows.
+
+    ``months`` (YYYY-MM) prunes whole folders of the tables that have them;
+    ``folder`` keeps the column that names the folders.
+    """
+    df = spark.read.parquet(f"{out_root.rstrip('/')}/{name}")
+    key = FOLDERS.get(name)
+    if months is not None:
+        if key is None:
+            raise ValueError(f"{name} has no folders by month")
+        df = df.filter(F.col(key).isin(list(months)))
+    if key is not None and not folder:
+        df = df.drop(key)
+    if columns is not None:
+        df = df.select(*columns)
+    return df if order is None else df.orderBy(*order)
+
+
+def read_weather(spark: SparkSession, out_root: str, payloads: str) -> DataFrame:
+    """``dim_weather`` of a warehouse, or where it was never written, the same rows from the payloads."""
+    if path_exists(spark, f"{out_root.rstrip('/')}/dim_weather"):
+        return read_table(spark, out_root, "dim_weather")
+    return wx.build_dim_weather(wx.explode_weather(spark.read.text(payloads), "value"))
+
+
 def warehouse_row_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Row count of each warehouse table (the pipeline's validation step)."""
     return quality.row_counts({t: spark.read.parquet(paths[t]) for t in TABLES})

@@ -93,6 +93,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever file system it names."""
+    stored = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return stored.getFileSystem(spark._jsc.hadoopConfiguration()).exists(stored)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written tables."""
     root = checkpoint_dir(spark)

@@ -79,14 +79,17 @@ def read_trips(spark: SparkSession, root: str, service: str,
         if not months:
             return _empty(spark, schema)
         pattern = base + "{" + ",".join(months) + "}.parquet"
+    # 64-bit integers read both widths that published files have; the cast back fails on overflow
+    wide = T.StructType([T.StructField(f.name, T.LongType() if f.dataType == T.IntegerType() else f.dataType) for f in schema])
     try:
-        df = spark.read.schema(schema).parquet(pattern)
+        df = spark.read.schema(wide).parquet(pattern)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return _empty(spark, schema)  # nothing landed for any requested month
     # listing has pruned the months; where the column is not used it costs nothing
-    return df.withColumn("file_month", F.regexp_extract(F.col("_metadata.file_path"), FILE_MONTH_PATTERN, 1))
+    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
+    return df.select(*typed, F.regexp_extract(F.col("_metadata.file_path"), FILE_MONTH_PATTERN, 1).alias("file_month"))
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -105,16 +108,21 @@ def write_trip_files(df: DataFrame, root: str, service: str, months: Iterable[st
          .write.mode("overwrite").parquet(f"{root.rstrip('/')}/{trip_file_name(service, month)}"))
 
 
-def missing_months(spark: SparkSession, trips: DataFrame,
-                   requested: Iterable[tuple[str, str]]) -> DataFrame:
-    """Requested (service, month) pairs with no landed rows.
+def missing_months(spark: SparkSession, root: str, requested: Iterable[tuple[str, str]]) -> DataFrame:
+    """Requested (service, month) pairs with no landed file.
 
-    ``trips`` must carry ``service`` and ``file_month``. The landed side is a
-    partial-aggregated distinct (services x months rows); the request list is
-    the small side of an anti join.
+    One row per file (its path, never its content) tells which months are there;
+    the request list is the other side of an anti join.
     """
     req = literal_frame(spark, list(requested), "service string, file_month string")
-    landed = trips.select("service", "file_month").distinct()
+    try:
+        files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*_tripdata_*.parquet").select("path")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return req  # nothing landed at all
+    part = lambda group: F.regexp_extract("path", r"([a-z]+)" + FILE_MONTH_PATTERN, group)
+    landed = files.select(part(1).alias("service"), part(2).alias("file_month")).distinct()
     return req.join(landed, ["service", "file_month"], "left_anti")
 
 
