@@ -2,7 +2,7 @@
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
 (default 8), BENCH_RUNS (default 3). Each query runs once to warm up, then
-BENCH_RUNS times; the median wall time is reported. Results are forced with
+BENCH_RUNS times; the median wall time is reported (the model fit: its only run). Results are forced with
 the ``noop`` sink, so the whole plan executes but nothing is collected.
 """
 
@@ -46,6 +46,9 @@ def main() -> None:
 
     times = {}
     for name in HEADLINE:
+        if name == "fit_demand":  # the session keeps its model, so the first run is the fit
+            times[name] = round(run(name), 3)
+            continue
         run(name)  # warm-up
         times[name] = round(statistics.median(run(name) for _ in range(runs)), 3)
     sf = os.path.basename(sf_dir).replace("sf", "")

@@ -2,14 +2,13 @@
 
 import contextlib
 import io
-import os
 
 import pytest
 
 from tripdemand import catalog
 from tripdemand import fixtures as fx
 from tripdemand.operators import cleaning, warehouse
-from tripdemand.session import scratch_path
+from tripdemand.session import path_exists, scratch_path
 from tripdemand.sources import trips as src
 from tests.conftest import SF_SMALL
 
@@ -58,7 +57,7 @@ def test_clean_filters_reach_the_parquet_scan(spark):
     # file-month filter prunes files: only the requested month's folder is read
     one = src.read_trips(spark, root, "yellow", ["2024-02"])
     assert {r[0] for r in one.select("file_month").distinct().collect()} == {"2024-02"}
-    assert os.path.isdir(os.path.join(root, "yellow_tripdata_2024-02.parquet"))
+    assert path_exists(spark, f"{root}/yellow_tripdata_2024-02.parquet")
 
 
 def test_trip_ids_use_no_unpartitioned_window_over_trips(spark):

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripdemand.operators.weather import weather_payload
-from tripdemand.session import scratch_path
+from tripdemand.session import path_exists, scratch_path
 from tripdemand.sources.trips import write_trip_files
 from tripdemand.sources.zones import ZONE_IDS, ZONE_ROWS
 
@@ -184,12 +184,6 @@ class Landing(NamedTuple):
 _LANDED: dict[tuple[str, str], Landing] = {}
 
 
-def _still_there(path: str) -> bool:
-    if "://" in path and not path.startswith("file:"):
-        return True  # shared storage: trust the session's own record
-    return os.path.isdir(path.replace("file:", "", 1))
-
-
 def landed(spark: SparkSession, sf_dir: str) -> Landing:
     """Land the derived trips and weather once per session and return the paths.
 
@@ -200,7 +194,7 @@ def landed(spark: SparkSession, sf_dir: str) -> Landing:
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     hit = _LANDED.get(key)
-    if hit is not None and _still_there(hit.trips):
+    if hit is not None and path_exists(spark, hit.trips):
         return hit
     root = scratch_path(spark, "landing")
     parts = spark.sparkContext.defaultParallelism

@@ -8,20 +8,22 @@ means the Spark re-plans are equivalent. Every query is ``WITH <ctes> SELECT``.
 
 from __future__ import annotations
 
-from tripdemand.fixtures import FIXTURE_MONTHS, GEO_EXTRA_ID
-from tripdemand.sources.zones import OPERATOR_ROWS, ZONE_IDS, ZONE_ROWS
+from tripdemand.oracle.constants import OPERATORS, ZONES
+
+FIXTURE_MONTHS = ("2024-01", "2024-02", "2024-03")
+GEO_EXTRA_ID = 1
 
 
 def _sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_Z = "[" + ", ".join(str(z) for z in ZONE_IDS) + "]"
+_Z = "[" + ", ".join(str(z) for z, *_ in sorted(ZONES)) + "]"
 _MONTHS = "[" + ", ".join(_sql_str(m) for m in FIXTURE_MONTHS) + "]"
 _ZONE_VALUES = ",\n    ".join(
-    f"({i}, {_sql_str(n)}, {_sql_str(b)}, {_sql_str(s)})" for i, n, b, s in ZONE_ROWS)
+    f"({i}, {_sql_str(n)}, {_sql_str(b)}, {_sql_str(s)})" for i, n, b, s in ZONES)
 _OP_VALUES = ",\n    ".join(
-    f"({i}, {_sql_str(c)}, {_sql_str(n)}, {_sql_str(t)}, {_sql_str(g)})" for i, c, n, t, g in OPERATOR_ROWS)
+    f"({i}, {_sql_str(c)}, {_sql_str(n)}, {_sql_str(t)}, {_sql_str(g)})" for i, c, n, t, g in OPERATORS)
 
 CTES = {}
 
