@@ -31,15 +31,16 @@ def landed_stream(spark: SparkSession, root: str, service: str,
 
 
 def clean_new_files(spark: SparkSession, root: str, service: str, clean_root: str,
-                    checkpoint: str) -> int:
+                    checkpoint: str, max_files_per_trigger: int | None = None) -> int:
     """Clean every landed file of ``service`` not yet processed; returns rows read.
 
     Runs to completion (``availableNow``) and stops, so it can be scheduled
     like the batch job it replaces. Each service is its own query with its
     own sink folder (``clean_root/<service>``) and its own ``checkpoint``,
     both on shared storage: a file sink keeps one commit log per folder.
+    ``max_files_per_trigger`` cuts a backlog into micro-batches.
     """
-    cleaned = _CLEANERS[service](landed_stream(spark, root, service))
+    cleaned = _CLEANERS[service](landed_stream(spark, root, service, max_files_per_trigger))
     query = (cleaned.writeStream.format("parquet")
              .option("checkpointLocation", checkpoint)
              .partitionBy("file_month")
