@@ -191,6 +191,19 @@ def test_template_of_pages_without_semantic_elements(spark):
     assert X.extract_main_text(pages.limit(0)).collect() == []
 
 
+def test_template_text_inside_articles_and_slots_around_them(spark):
+    rows = []
+    for i in range(8):
+        own = f"<p>Paragraph {i} of its own.</p><p>Another one, {i * i} words.</p>"
+        article = f"<article><div class=a><h1>Title {i}</h1></div><div class=b><p>Read our terms before use</p>{own}</div></article>" if i else f"<article class=other><p>Only</p>{own}</article>"
+        around = f"<div class=col><p>Lead {i}</p>{article}</div>" if i < 7 else f"<div class=col>{article}</div>"
+        rows.append((i, f"http://a.example/{i}", f"<html><body><div class=top><p>Brand</p></div>{around}</body></html>"))
+    got = {r.page_id: r.text.split("\n\n") for r in X.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(1, 7):
+        assert got[i] == [f"Title {i}", f"Paragraph {i} of its own.", f"Another one, {i * i} words."]
+    assert got[0] == ["Lead 0", "Only", "Paragraph 0 of its own.", "Another one, 0 words."]
+
+
 # packing ----------------------------------------------------------------------
 
 

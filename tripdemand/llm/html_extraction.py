@@ -6,17 +6,20 @@ equally often in every page of the host have the same *occurrence vector* and fo
 equivalence class. A class is valid if it has enough members and pages. Its elements are
 template structure, its texts template text, and they nest by their paths: a class whose
 elements lie below an element of another class fills a slot of it. What remains between
-template tokens is slot content.
+template tokens is slot content: the slot of a block of text is the innermost template
+element around it that is on the page once, and is no text block itself. Elements that
+repeat on a page, of a nested class or of none, belong to the slot around them.
 
 Vectors are never gathered: each page adds to a token's fingerprint a 64-bit hash of
 (page, count) by exclusive or, so equal vectors give equal fingerprints whatever the number
 of pages, and a host with a third of all pages is a map-side aggregate like any other.
 
-The main slot of a page is its article (or main element); on pages without one, the slot
-below which the host's pages hold most text outside links and template text. Menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left
-out by element, role and class name wherever they are, template text and link lists outside
-articles too.
+The text of a page is what its content slots hold but for template text. Articles (or main
+elements) only pick among the slots: those with text of theirs are content, and of a slot as
+wide as the page what the articles hold; on pages without one, the slot below which the
+host's pages hold most text outside links. Menus, headers, footers, sidebars, notices,
+adverts, forms, scripts, styles and reader comments are left out by element, role and class
+name wherever they are, link lists outside articles too.
 
 Character references are decoded, white space within a block becomes one space, blocks are
 joined by an empty line. Null or empty html gives the empty text. Rows are independent but
@@ -42,7 +45,7 @@ from tripdemand.llm.text_arrays import U64, chunks, mix, strings
 
 #: A class needs this many pages, and half of its host's, and this many tokens.
 LEAST_PAGES, LEAST_TOKENS = 3, 3
-#: Hosts (a root and some template texts each) that may be broadcast; beyond it they are joined by shuffling.
+#: Hosts (a root and some template tokens each) that may be broadcast; beyond it they are joined by shuffling.
 BROADCAST_HOSTS = 100_000
 CHUNK_BYTES = 4 << 20
 
@@ -57,9 +60,14 @@ RAW = frozenset("script style title textarea noscript iframe xmp template".split
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+#: Containers that tell nothing of a text's part in the page.
+PAGE_WIDE = frozenset(("html", "body"))
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 PARAGRAPH = frozenset(("p",))
 SCOPES = frozenset("ul ol dl table article main section div body".split())
+#: Blocks that hold running text or its parts; all other blocks are containers, which may be slots.
+TEXT_BLOCKS = frozenset(
+    "address blockquote dd dl dt figcaption figure h1 h2 h3 h4 h5 h6 hr li ol p pre summary table tbody td tfoot th thead tr ul".split())
 
 # what is never main text, by element, role, and word of a class or id
 SIDE_ELEMENTS = frozenset("aside audio button canvas dialog footer form head iframe menu nav noscript object script select style svg template textarea title video".split())
@@ -75,12 +83,12 @@ CONTENT_WORDS = (frozenset(("article", "post", "entry", "story", "main", "page")
 
 
 class Block:
-    """A stretch of text: its path, whether it is beside the main text, the main elements it is in, and its text."""
+    """A stretch of text: its path, the paths of the containers around it, whether it is beside the main text, the main elements it is in, and its text."""
 
-    __slots__ = ("path", "side", "mains", "text", "linked")
+    __slots__ = ("path", "around", "side", "mains", "text", "linked")
 
-    def __init__(self, path: tuple[str, ...], side: bool, mains: tuple[int, ...], text: str, linked: int) -> None:
-        self.path, self.side, self.mains, self.text, self.linked = path, side, mains, text, linked
+    def __init__(self, path: tuple[str, ...], around: tuple[tuple[str, ...], ...], side: bool, mains: tuple[int, ...], text: str, linked: int) -> None:
+        self.path, self.around, self.side, self.mains, self.text, self.linked = path, around, side, mains, text, linked
 
 
 def _words(value: str) -> list[str]:
@@ -132,15 +140,15 @@ def described(name: str, raw: str, in_main: bool) -> tuple[str, bool, str | None
 
 
 class Open:
-    """An open element: its paths (of all elements, of blocks), whether it is beside the main text, its main elements."""
+    """An open element: its paths (of all elements, of blocks), those of the containers up to it, whether it is beside the main text, its main elements."""
 
-    __slots__ = ("name", "path", "blocks", "side", "mains")
+    __slots__ = ("name", "path", "blocks", "around", "side", "mains")
 
-    def __init__(self, name: str, path: tuple[str, ...], blocks: tuple[str, ...], side: bool, mains: tuple[int, ...]) -> None:
-        self.name, self.path, self.blocks, self.side, self.mains = name, path, blocks, side, mains
+    def __init__(self, name: str, path: tuple[str, ...], blocks: tuple[str, ...], around: tuple[tuple[str, ...], ...], side: bool, mains: tuple[int, ...]) -> None:
+        self.name, self.path, self.blocks, self.around, self.side, self.mains = name, path, blocks, around, side, mains
 
 
-OUTSIDE = Open("", (), (), False, ())
+OUTSIDE = Open("", (), (), (), False, ())
 
 
 def parse(page: str) -> tuple[list[tuple[str, ...]], list[Block], list[str]]:
@@ -157,7 +165,7 @@ def parse(page: str) -> tuple[list[tuple[str, ...]], list[Block], list[str]]:
         text = " ".join("".join(parts).split())
         if text:
             top = stack[-1] if stack else OUTSIDE
-            blocks.append(Block(top.blocks, top.side, top.mains, text, linked))
+            blocks.append(Block(top.blocks, top.around, top.side, top.mains, text, linked))
         parts.clear()
         linked = 0
 
@@ -222,7 +230,8 @@ def parse(page: str) -> tuple[list[tuple[str, ...]], list[Block], list[str]]:
             inside = (*inside, len(mains))
             mains.append(kind)
         path = (*top.path, label)
-        stack.append(Open(name, path, (*top.blocks, label) if name in BLOCK else top.blocks, side, inside))
+        around = (*top.around, path) if name in BLOCK and name not in TEXT_BLOCKS and name not in PAGE_WIDE else top.around
+        stack.append(Open(name, path, (*top.blocks, label) if name in BLOCK else top.blocks, around, side, inside))
         elements.append(path)
         links += name == "a"
         if name in RAW:  # no markup inside
@@ -266,29 +275,50 @@ def page_tokens(page: str) -> tuple[Counter, Counter]:
     return tokens, below
 
 
+def slot_of(block: Block, once: set[int], template: frozenset[int]) -> int | None:
+    """The innermost template element around a block that is on its page once; None if the page is its slot."""
+    for path in reversed(block.around):
+        number = path_number(path) & ~1
+        if number in once and number in template:
+            return number
+    return None
+
+
 def main_blocks(page: str, root: int | None, template: frozenset[int]) -> list[str]:
-    """The blocks of the main text, given the host's main slot and template texts."""
-    _, blocks, mains = parse(page)
+    """The blocks of the main text, given the host's main slot and its template's elements and texts."""
+    elements, blocks, mains = parse(page)
     kept = [b for b in blocks if not b.side]
-    size = [0] * len(mains)
-    for b in kept:
-        for m in b.mains:
-            size[m] += len(b.text)
-    best = {kind: max((k for k, x in enumerate(mains) if x == kind and size[k]), key=lambda k: size[k], default=None) for kind in ("article", "main", "content")}
-    chosen = best["article"]
-    if best["main"] is not None and (chosen is None or size[chosen] < 0.5 * size[best["main"]]):
-        chosen = best["main"]
-    if chosen is None:
-        chosen = best["content"]
-    if chosen is not None:
-        return [b.text for b in kept if chosen in b.mains]
-    variable = [b for b in kept if text_number(b.path, b.text) not in template and not is_link_list(b)]
+    chosen = main_elements(kept, mains)
+    inside = [bool(chosen.intersection(b.mains)) for b in kept]
+    own = [text_number(b.path, b.text) not in template for b in kept]
+    if chosen:
+        if not any(i and o for i, o in zip(inside, own, strict=True)):  # the template is not all of an article
+            return [b.text for b, i in zip(kept, inside, strict=True) if i]
+        once = {n for n, c in Counter(path_number(e) & ~1 for e in elements).items() if c == 1} if template else set()
+        slots = [slot_of(b, once, template) for b in kept]
+        picked = {s for s, i, o in zip(slots, inside, own, strict=True) if i and o and s is not None}
+        return [b.text for b, s, i, o in zip(kept, slots, inside, own, strict=True) if o and (i or s in picked and not is_link_list(b))]
+    variable = [b for b, o in zip(kept, own, strict=True) if o and not is_link_list(b)]
     slot = [b for b in variable if root is not None and any(path_number(b.path[:k], "below") == root for k in range(1, len(b.path) + 1))]
     return [b.text for b in slot or variable]
 
 
+def main_elements(kept: list[Block], mains: list[str]) -> set[int]:
+    """The main elements that pick the content slots: the articles, or the main elements if these hold over twice their text."""
+    size: Counter = Counter()
+    held: dict[str, set[int]] = {}
+    for b in kept:
+        for m in b.mains:
+            held.setdefault(mains[m], set()).add(m)
+        for kind in {mains[m] for m in b.mains}:
+            size[kind] += len(b.text)
+    if "main" in held and size["article"] < 0.5 * size["main"]:
+        return held["main"]
+    return held.get("article") or held.get("content") or set()
+
+
 def deduce_templates(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """(host, root, template): the main slot of each host, and the hashes of its template texts."""
+    """(host, root, template): the main slot of each host, and the numbers of its template's elements and texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "html", CHUNK_BYTES):
@@ -321,11 +351,11 @@ def deduce_templates(pages: DataFrame, url_col: str, html_col: str) -> DataFrame
     is_text = F.col("token").bitwiseAND(F.lit(1)) == 1
     classes = own.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("members"), F.count(F.when(~is_text, 1)).alias("elements"))
     valid = classes.where((F.col("members") >= LEAST_TOKENS) & (F.col("elements") > 0)).select("host", "vector")
-    texts = own.where(is_text).join(valid, ["host", "vector"], "left_semi").groupBy("host").agg(F.collect_list("token").alias("template"))
+    members = own.join(valid, ["host", "vector"], "left_semi").groupBy("host").agg(F.collect_list("token").alias("template"))
     # the deepest slot that holds most of the text: of all that hold 0.6 of the fullest, the one with the least
     slots = tokens.where("kind = 1").join(host, "host").where(F.col("chars") >= F.col("most") * 0.6)
     roots = slots.groupBy("host").agg(F.min_by("token", F.struct("chars", "token")).alias("root"))
-    return host.select("host").join(roots, "host", "left").join(texts, "host", "left")
+    return host.select("host").join(roots, "host", "left").join(members, "host", "left")
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
