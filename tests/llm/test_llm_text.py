@@ -204,6 +204,19 @@ def test_template_text_inside_articles_and_slots_around_them(spark):
     assert got[0] == ["Lead 0", "Only", "Paragraph 0 of its own.", "Another one, 0 words."]
 
 
+def test_all_content_slots_without_semantic_elements(spark):
+    rows, want = [], {}
+    for i in range(6):
+        long = " ".join(f"word{i}x{j}" for j in range(80))
+        html = f"""<html><body><div class=top><span>Brand</span></div><div class=links><a href=/{i}>Other page {i}</a><p><a href=/x>Third {i}</a></p></div>
+<div class=one><h1>Title {i}</h1><p>{long}</p><p>{long} more</p><h2>List {i}</h2><ul><li>first {i}<li>second {i}<li><a href=/s>source {i}</a></ul><blockquote>Quote {i}</blockquote>
+<pre>code {i}</pre><p class=last>End {i}</p><table><tr><td>cell {i}</table></div><div class=two><p>Second part {i}</p></div></body></html>"""
+        rows.append((i, "http://a.example/", html))
+        want[i] = [f"Title {i}", long, f"{long} more", f"List {i}", f"first {i}", f"second {i}", f"source {i}", f"Quote {i}", f"code {i}", f"End {i}", f"cell {i}", f"Second part {i}"]
+    got = {r.page_id: r.text.split("\n\n") for r in X.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
 # packing ----------------------------------------------------------------------
 
 

@@ -16,10 +16,10 @@ of pages, and a host with a third of all pages is a map-side aggregate like any
 
 The text of a page is what its content slots hold but for template text. Articles (or main
 elements) only pick among the slots: those with text of theirs are content, and of a slot as
-wide as the page what the articles hold; on pages without one, the slot below which the
-host's pages hold most text outside links. Menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and reader comments are left out by element, role and class
-name wherever they are, link lists outside articles too.
+wide as the page what the articles hold; on pages without one, every slot is content. Menus,
+headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are
+left out by element, role and class name wherever they are. Outside articles blocks that are
+links are menus if the container around them holds little else on the host's pages.
 
 Character references are decoded, white space within a block becomes one space, blocks are
 joined by an empty line. Null or empty html gives the empty text. Rows are independent but
@@ -45,7 +45,7 @@ from tripdemand.llm.text_arrays import U64, chunks, mix, strings
 
 #: A class needs this many pages, and half of its host's, and this many tokens.
 LEAST_PAGES, LEAST_TOKENS = 3, 3
-#: Hosts (a root and some template tokens each) that may be broadcast; beyond it they are joined by shuffling.
+#: Hosts (some menus and template tokens each) that may be broadcast; beyond it they are joined by shuffling.
 BROADCAST_HOSTS = 100_000
 CHUNK_BYTES = 4 << 20
 
@@ -262,17 +262,22 @@ def is_link_list(block: Block) -> bool:
     return block.linked > 0.8 * len(block.text.replace(" ", ""))
 
 
+def container_of(block: Block) -> int:
+    """The number of the innermost container around a block."""
+    return path_number(block.around[-1] if block.around else (), "container")
+
+
 def page_tokens(page: str) -> tuple[Counter, Counter]:
-    """How often each token occurs (elements even, texts odd numbers), and the characters of text below each path."""
+    """How often each token occurs (elements even, texts odd numbers), and for each container
+    ten times the characters of its links over 0.8 of all its characters."""
     elements, blocks, _ = parse(page)
     tokens = Counter(path_number(e) & ~1 for e in elements)
     tokens.update(text_number(b.path, b.text) for b in blocks)
-    below: Counter = Counter()
+    links: Counter = Counter()
     for b in blocks:
-        if not b.side and not is_link_list(b):
-            for k in range(1, len(b.path) + 1):
-                below[path_number(b.path[:k], "below")] += len(b.text)
-    return tokens, below
+        if not b.side:
+            links[container_of(b)] += 10 * b.linked - 8 * len(b.text.replace(" ", ""))
+    return tokens, links
 
 
 def slot_of(block: Block, once: set[int], template: frozenset[int]) -> int | None:
@@ -284,23 +289,22 @@ def slot_of(block: Block, once: set[int], template: frozenset[int]) -> int | Non
     return None
 
 
-def main_blocks(page: str, root: int | None, template: frozenset[int]) -> list[str]:
-    """The blocks of the main text, given the host's main slot and its template's elements and texts."""
+def main_blocks(page: str, menus: frozenset[int] | None, template: frozenset[int]) -> list[str]:
+    """The blocks of the main text, given the host's containers of links and its template's elements and texts."""
     elements, blocks, mains = parse(page)
     kept = [b for b in blocks if not b.side]
     chosen = main_elements(kept, mains)
     inside = [bool(chosen.intersection(b.mains)) for b in kept]
     own = [text_number(b.path, b.text) not in template for b in kept]
+    in_menu = [is_link_list(b) and (not b.around or container_of(b) in (menus or ())) for b in kept]
     if chosen:
         if not any(i and o for i, o in zip(inside, own, strict=True)):  # the template is not all of an article
             return [b.text for b, i in zip(kept, inside, strict=True) if i]
         once = {n for n, c in Counter(path_number(e) & ~1 for e in elements).items() if c == 1} if template else set()
         slots = [slot_of(b, once, template) for b in kept]
         picked = {s for s, i, o in zip(slots, inside, own, strict=True) if i and o and s is not None}
-        return [b.text for b, s, i, o in zip(kept, slots, inside, own, strict=True) if o and (i or s in picked and not is_link_list(b))]
-    variable = [b for b, o in zip(kept, own, strict=True) if o and not is_link_list(b)]
-    slot = [b for b in variable if root is not None and any(path_number(b.path[:k], "below") == root for k in range(1, len(b.path) + 1))]
-    return [b.text for b in slot or variable]
+        return [b.text for b, s, i, o, m in zip(kept, slots, inside, own, in_menu, strict=True) if o and (i or s in picked and not m)]
+    return [b.text for b, o, m in zip(kept, own, in_menu, strict=True) if o and not m]
 
 
 def main_elements(kept: list[Block], mains: list[str]) -> set[int]:
@@ -318,7 +322,7 @@ def main_elements(kept: list[Block], mains: list[str]) -> set[int]:
 
 
 def deduce_templates(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """(host, root, template): the main slot of each host, and the numbers of its template's elements and texts."""
+    """(host, menus, template): the containers of links of each host, and the numbers of its template's elements and texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "html", CHUNK_BYTES):
@@ -326,9 +330,9 @@ def deduce_templates(pages: DataFrame, url_col: str, html_col: str) -> DataFrame
             seen: dict[tuple[str, int, int], list[int]] = {}
             for url, page, mark in zip(strings(batch.column("url")), strings(batch.column("html")), marks, strict=True):
                 host = host_of(url)
-                tokens, below = page_tokens(page or "")
+                tokens, links = page_tokens(page or "")
                 prints = mix(mark + np.fromiter(tokens.values(), U64, len(tokens))).view(np.int64).tolist()
-                rows = [(0, t, p, 0) for t, p in zip(tokens, prints, strict=True)] + [(1, t, 0, n) for t, n in below.items()] + [(2, 0, 0, 0)]
+                rows = [(0, t, p, 0) for t, p in zip(tokens, prints, strict=True)] + [(1, t, 0, n) for t, n in links.items()] + [(2, 0, 0, 0)]
                 for kind, token, p, n in rows:
                     row = seen.setdefault((host, kind, token), [0, 0, 0])
                     row[0] += 1
@@ -337,25 +341,21 @@ def deduce_templates(pages: DataFrame, url_col: str, html_col: str) -> DataFrame
             keys = list(seen)
             cols = [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.int32(), pa.int64()))]
             cols += [pa.array([seen[k][i] for k in keys], pa.int64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays(cols, ["host", "kind", "token", "pages", "vector", "chars"])
+            yield pa.RecordBatch.from_arrays(cols, ["host", "kind", "token", "pages", "vector", "links"])
 
     source = pages.select(F.xxhash64(*pages.columns).alias("page"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    found = source.mapInArrow(run, "host string, kind int, token long, pages long, vector long, chars long")
-    tokens = found.groupBy("host", "kind", "token").agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("chars").alias("chars"))
+    found = source.mapInArrow(run, "host string, kind int, token long, pages long, vector long, links long")
+    tokens = found.groupBy("host", "kind", "token").agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("links").alias("links"))
     tokens = written(tokens, "tokens")  # read for several things; parsed once
-    host = tokens.groupBy("host").agg(
-        F.max(F.when(F.col("kind") == 2, F.col("pages"))).alias("n_pages"),
-        F.max(F.when(F.col("kind") == 1, F.col("chars"))).alias("most"))
+    host = tokens.where("kind = 2").select("host", F.col("pages").alias("n_pages"))
     # valid classes: the same vector, in half of the pages, with some structure
     own = tokens.where("kind = 0").join(host, "host").where((F.col("pages") >= LEAST_PAGES) & (F.col("pages") * 2 >= F.col("n_pages")))
     is_text = F.col("token").bitwiseAND(F.lit(1)) == 1
     classes = own.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("members"), F.count(F.when(~is_text, 1)).alias("elements"))
     valid = classes.where((F.col("members") >= LEAST_TOKENS) & (F.col("elements") > 0)).select("host", "vector")
     members = own.join(valid, ["host", "vector"], "left_semi").groupBy("host").agg(F.collect_list("token").alias("template"))
-    # the deepest slot that holds most of the text: of all that hold 0.6 of the fullest, the one with the least
-    slots = tokens.where("kind = 1").join(host, "host").where(F.col("chars") >= F.col("most") * 0.6)
-    roots = slots.groupBy("host").agg(F.min_by("token", F.struct("chars", "token")).alias("root"))
-    return host.select("host").join(roots, "host", "left").join(members, "host", "left")
+    menus = tokens.where("kind = 1 and links > 0").groupBy("host").agg(F.collect_list("token").alias("menus"))
+    return host.select("host").join(menus, "host", "left").join(members, "host", "left")
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -369,11 +369,11 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "html", CHUNK_BYTES):
-            out = [main_blocks(p or "", r, frozenset(t or ())) for p, r, t in zip(strings(batch.column("html")), batch.column("root").to_pylist(), batch.column("template").to_pylist(), strict=True)]
+            out = [main_blocks(p or "", frozenset(m or ()), frozenset(t or ())) for p, m, t in zip(strings(batch.column("html")), batch.column("menus").to_pylist(), batch.column("template").to_pylist(), strict=True)]
             texts = ["\n\n".join(b) for b in out]
             cols = [batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array([len(b) for b in out], pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, ["id", "url", "text", "n_chars", "n_blocks"])
 
     id_type, url_type = (source.schema[c].dataType.simpleString() for c in ("id", "url"))
-    out = source.select("id", "url", "html", "root", "template").mapInArrow(run, f"id {id_type}, url {url_type}, text string, n_chars long, n_blocks long")
+    out = source.select("id", "url", "html", "menus", "template").mapInArrow(run, f"id {id_type}, url {url_type}, text string, n_chars long, n_blocks long")
     return out.withColumnsRenamed({"id": id_col, "url": url_col})
