@@ -217,6 +217,18 @@ def test_all_content_slots_without_semantic_elements(spark):
     assert got == want
 
 
+def test_copies_are_no_template(spark):
+    copy = "<p>All pages of this host</p><div class=x><h1>Same</h1><p>are copies</p><p>of one another</p></div>"
+    rows = [(i, f"http://a.example/{i}", f"<html><body><script>track({i})</script><!-- {i} -->{copy}</body></html>") for i in range(5)]
+    rows += [(10 + i, f"http://b.example/{i}", f"<html><body><div class=k><div class=l>{copy}</div></div></body></html>") for i in range(4)]
+    rows += [(20 + i, f"http://b.example/q{i}", f"<html><body><p>Own text {i}</p></body></html>") for i in range(4)]
+    rows += [(30 + i, f"http://c.example/{i}", f"<html><body><div class=x><p>Always the same</p></div>{f'<div><p>Text {i}</p></div>' * (i > 0)}</body></html>") for i in range(5)]
+    got = {r.page_id: r.text.split("\n\n") for r in X.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == ["All pages of this host", "Same", "are copies", "of one another"] for i in (0, 1, 2, 3, 4, 10, 11, 12, 13))
+    assert all(got[20 + i] == [f"Own text {i}"] for i in range(4))
+    assert got[30] == ["Always the same"] and all(got[30 + i] == [f"Text {i}"] for i in range(1, 5))
+
+
 # packing ----------------------------------------------------------------------
 
 

@@ -10,6 +10,9 @@ template tokens is slot content: the slot of a block of text is the innermost te
 element around it that is on the page once, and is no text block itself. Elements that
 repeat on a page, of a nested class or of none, belong to the slot around them.
 
+Copies say nothing about a template: pages of a host whose texts are equal but for tags,
+scripts, styles and comments count as one page of it.
+
 Vectors are never gathered: each page adds to a token's fingerprint a 64-bit hash of
 (page, count) by exclusive or, so equal vectors give equal fingerprints whatever the number
 of pages, and a host with a third of all pages is a map-side aggregate like any other.
@@ -18,7 +21,8 @@ The text of a page is what its content slots hold but for template text. Article
 elements) only pick among the slots: those with text of theirs are content, and of a slot as
 wide as the page what the articles hold; on pages without one, every slot is content. Menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are
-left out by element, role and class name wherever they are. Outside articles blocks that are
+left out by element, role and class name wherever they are. A page (or its article) whose
+text is all template text keeps it. Outside articles blocks that are
 links are menus if the container around them holds little else on the host's pages.
 
 Character references are decoded, white space within a block becomes one space, blocks are
@@ -37,7 +41,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripdemand.llm.stored import on_workers, stored, written
@@ -126,6 +130,8 @@ def _main_kind(name: str, attrs: dict[str, str]) -> str | None:
     return None
 
 
+#: What copies of a text may differ in (Java's syntax).
+UNSEEN = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1|<[^>]*>"
 #: Attributes that say something about an element's part in the page.
 TELLING = re.compile(r"class|id|role|hidden|style|itemprop", re.IGNORECASE)
 
@@ -253,9 +259,8 @@ def text_number(path: tuple[str, ...], text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8, key=key).digest(), "little", signed=True) | 1
 
 
-def host_of(url: str | None) -> str:
-    m = re.match(r"\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", url or "")
-    return m[1].rpartition("@")[2].lower() if m else ""
+def host_of(url: Column) -> Column:
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#]*@)?([^/?#@]*)", 1))
 
 
 def is_link_list(block: Block) -> bool:
@@ -304,7 +309,9 @@ def main_blocks(page: str, menus: frozenset[int] | None, template: frozenset[int
         slots = [slot_of(b, once, template) for b in kept]
         picked = {s for s, i, o in zip(slots, inside, own, strict=True) if i and o and s is not None}
         return [b.text for b, s, i, o, m in zip(kept, slots, inside, own, in_menu, strict=True) if o and (i or s in picked and not m)]
-    return [b.text for b, o, m in zip(kept, own, in_menu, strict=True) if o and not m]
+    content = [(b, o) for b, o, m in zip(kept, own, in_menu, strict=True) if not m]
+    some = any(o for _, o in content)  # else the template is all of the page
+    return [b.text for b, o in content if o or not some]
 
 
 def main_elements(kept: list[Block], mains: list[str]) -> set[int]:
@@ -321,6 +328,19 @@ def main_elements(kept: list[Block], mains: list[str]) -> set[int]:
     return held.get("article") or held.get("content") or set()
 
 
+def distinct_contents(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    """(host, page, html): each text of a host once, with a number; of copies the smallest html."""
+    page = F.coalesce(F.col(html_col), F.lit(""))
+    text = F.regexp_replace(F.regexp_replace(page, UNSEEN, " "), r"[\s<>]+", " ")
+    source = pages.select(host_of(F.col(url_col)).alias("host"), F.unhex(F.md5(text.cast("binary"))).alias("digest"), page.alias("html"))
+    key = ["host", "digest"]
+    copied = stored(source.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key))
+    # pages without a copy, nearly all, are not shuffled
+    once = source.join(copied, key, "left_anti")
+    copies = source.join(copied, key, "left_semi").groupBy(*key).agg(F.min("html").alias("html"))
+    return once.select(*key, "html").unionAll(copies.select(*key, "html")).select("host", F.xxhash64(*key).alias("page"), "html")
+
+
 def deduce_templates(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     """(host, menus, template): the containers of links of each host, and the numbers of its template's elements and texts."""
 
@@ -328,8 +348,7 @@ def deduce_templates(pages: DataFrame, url_col: str, html_col: str) -> DataFrame
         for batch in chunks(batches, "html", CHUNK_BYTES):
             marks = mix(batch.column("page").to_numpy().view(U64))
             seen: dict[tuple[str, int, int], list[int]] = {}
-            for url, page, mark in zip(strings(batch.column("url")), strings(batch.column("html")), marks, strict=True):
-                host = host_of(url)
+            for host, page, mark in zip(strings(batch.column("host")), strings(batch.column("html")), marks, strict=True):
                 tokens, links = page_tokens(page or "")
                 prints = mix(mark + np.fromiter(tokens.values(), U64, len(tokens))).view(np.int64).tolist()
                 rows = [(0, t, p, 0) for t, p in zip(tokens, prints, strict=True)] + [(1, t, 0, n) for t, n in links.items()] + [(2, 0, 0, 0)]
@@ -343,8 +362,7 @@ def deduce_templates(pages: DataFrame, url_col: str, html_col: str) -> DataFrame
             cols += [pa.array([seen[k][i] for k in keys], pa.int64()) for i in range(3)]
             yield pa.RecordBatch.from_arrays(cols, ["host", "kind", "token", "pages", "vector", "links"])
 
-    source = pages.select(F.xxhash64(*pages.columns).alias("page"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    found = source.mapInArrow(run, "host string, kind int, token long, pages long, vector long, links long")
+    found = distinct_contents(pages, url_col, html_col).mapInArrow(run, "host string, kind int, token long, pages long, vector long, links long")
     tokens = found.groupBy("host", "kind", "token").agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("links").alias("links"))
     tokens = written(tokens, "tokens")  # read for several things; parsed once
     host = tokens.where("kind = 2").select("host", F.col("pages").alias("n_pages"))
@@ -364,8 +382,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     templates = stored(deduce_templates(pages, url_col, html_col))
     if templates.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS:
         templates = F.broadcast(templates)
-    named = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#]*@)?([^/?#@]*)", 1))
-    source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).withColumn("host", named).join(templates, "host", "left")
+    source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).withColumn("host", host_of(F.col("url"))).join(templates, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "html", CHUNK_BYTES):
