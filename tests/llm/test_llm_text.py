@@ -174,6 +174,21 @@ def test_article_without_its_surroundings():
     assert X.main_blocks('<p title="a>b">x</p><p title="open>y', None, frozenset())[0] == "x"
 
 
+@pytest.mark.parametrize("wrapper", ['div class="right-sidebar"', 'div id="modal-root"', 'form id="aspnetForm"', 'div class="widget"><div class="share"'])
+def test_names_around_an_article_are_layout(wrapper):
+    page = f"<html><body><p>Top</p><{wrapper}><nav>Menu</nav><article><p>The whole text.</p><div class=share>Share</div><form>Mail</form></article></div></form></body></html>"
+    assert X.main_blocks(page, None, frozenset()) == ["The whole text."]
+    assert X.main_blocks(f"<article><p>a</p></article><{wrapper}><article><p>a teaser, longer than the text</p></article>", None, frozenset()) == ["a"]
+    assert X.main_blocks("<div><p>a</p></div><section id=comments><article><p>a reply, longer than the text</p></article></section>", None, frozenset()) == ["a"]
+
+
+def test_ids_of_headings_and_sections_are_anchors():
+    parts = '<h2 id="related-work">A</h2><p>b</p><section id="discussion"><h2 id="search-results">C</h2><p>d</p></section><h3 id="social-media-impact">E</h3><h2 id="comments">F</h2>'
+    article = f'<article>{parts}<section id="comments"><p>First!</p></section><section class="related"><p>More</p></section></article>'
+    assert X.main_blocks(PAGE.format(article=article), None, frozenset()) == ["A", "b", "C", "d", "E", "F"]
+    assert X.main_blocks('<div class=x><h2 id="related-work">A</h2><p>b</p><ul id=menu><li>c</ul><h3 id="comments">Comments</h3></div>', None, frozenset()) == ["A", "b"]
+
+
 def test_template_of_pages_without_semantic_elements(spark):
     rows = []
     for i in range(12):

@@ -22,7 +22,9 @@ elements) only pick among the slots: those with text of theirs are content, and
 wide as the page what the articles hold; on pages without one, every slot is content. Menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are
 left out by element, role and class name wherever they are. A page (or its article) whose
-text is all template text keeps it. Outside articles blocks that are
+text is all template text keeps it. A name or a form around an article (or main element) with
+most of the page's text is layout, unless it names reader comments; ids of headings, and
+of sections of an article, are anchors and tell nothing. Outside articles blocks that are
 links are menus if the container around them holds little else on the host's pages.
 
 Character references are decoded, white space within a block becomes one space, blocks are
@@ -49,7 +51,7 @@ from tripdemand.llm.text_arrays import U64, chunks, mix, strings
 
 #: A class needs this many pages, and half of its host's, and this many tokens.
 LEAST_PAGES, LEAST_TOKENS = 3, 3
-#: Hosts (some menus and template tokens each) that may be broadcast; beyond it they are joined by shuffling.
+#: Hosts (some menus and template tokens each), and texts with copies, that may be broadcast; beyond it they are joined by shuffling.
 BROADCAST_HOSTS = 100_000
 CHUNK_BYTES = 4 << 20
 
@@ -80,6 +82,11 @@ SIDE_WORDS = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer discussion disqus footer gdpr "
     "login masthead menu modal nav navbar navigation newsletter notice notification pager pagination paywall popup promo promoted promotion recommended related replies "
     "reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget".split())
+#: Of these, what is never a name of the layout around main text; and the ids of such threads.
+THREAD_WORDS = frozenset("comment comments discussion disqus related recommended replies reply respond".split())
+THREAD_IDS = frozenset("comments comment-list disqus_thread replies respond".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+NO_SIDE, LAYOUT, SIDE = 0, 1, 2
 HEADER_WORDS = frozenset(("header", "head"))
 NEGATING = frozenset(("has", "no", "with", "without"))
 MAIN_ROLES = frozenset(("main", "article"))
@@ -87,32 +94,42 @@ CONTENT_WORDS = (frozenset(("article", "post", "entry", "story", "main", "page")
 
 
 class Block:
-    """A stretch of text: its path, the paths of the containers around it, whether it is beside the main text, the main elements it is in, and its text."""
+    """A stretch of text: its path, the paths of the containers around it, whether it is beside the main text, in a main element within a name of the layout, the main elements it is in, and its text."""
 
-    __slots__ = ("path", "around", "side", "mains", "text", "linked")
+    __slots__ = ("path", "around", "side", "wrapped", "mains", "text", "linked")
 
-    def __init__(self, path: tuple[str, ...], around: tuple[tuple[str, ...], ...], side: bool, mains: tuple[int, ...], text: str, linked: int) -> None:
-        self.path, self.around, self.side, self.mains, self.text, self.linked = path, around, side, mains, text, linked
+    def __init__(self, path: tuple[str, ...], around: tuple[tuple[str, ...], ...], side: bool, wrapped: bool, mains: tuple[int, ...], text: str, linked: int) -> None:
+        self.path, self.around, self.side, self.wrapped, self.mains, self.text, self.linked = path, around, side, wrapped, mains, text, linked
 
 
 def _words(value: str) -> list[str]:
     return [w.lower() for w in WORD.findall(value)]
 
 
-def _is_side(name: str, attrs: dict[str, str], in_main: bool) -> bool:
+def _side(name: str, attrs: dict[str, str], in_main: bool) -> int:
+    """Whether an element is beside the main text: SIDE, LAYOUT if only unless it is around main text, or NO_SIDE."""
     if name in ("html", "body", "main"):
-        return False
-    if name in SIDE_ELEMENTS or name == "header" and not in_main:
-        return True
-    if attrs.get("role", "").lower() in SIDE_ROLES or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
-        return True
+        return NO_SIDE
+    role = attrs.get("role", "").lower()
+    if name in SIDE_ELEMENTS and name != "form" or name == "header" and not in_main:
+        return SIDE
+    if role in SIDE_ROLES and role != "form" or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
+        return SIDE
     if re.search(r"display\s*:\s*none", attrs.get("style", ""), re.IGNORECASE):
-        return True
-    for label in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+        return SIDE
+    side = LAYOUT if name == "form" or role == "form" else NO_SIDE
+    classes, ids = attrs.get("class", "").split(), attrs.get("id", "").split()
+    if name in HEADINGS or in_main and (name == "section" or "section" in classes):  # anchors
+        ids = [x for x in ids if x.lower() in THREAD_IDS and not (in_main and name in HEADINGS)]
+    for label in (*classes, *ids):
         words = _words(label)
-        if not NEGATING.intersection(words) and (SIDE_WORDS.intersection(words) or not in_main and HEADER_WORDS.intersection(words)):
-            return True
-    return False
+        if NEGATING.intersection(words):
+            continue
+        if THREAD_WORDS.intersection(words):
+            return SIDE
+        if SIDE_WORDS.intersection(words) or not in_main and HEADER_WORDS.intersection(words):
+            side = LAYOUT
+    return side
 
 
 def _main_kind(name: str, attrs: dict[str, str]) -> str | None:
@@ -137,24 +154,24 @@ TELLING = re.compile(r"class|id|role|hidden|style|itemprop", re.IGNORECASE)
 
 
 @lru_cache(1 << 14)
-def described(name: str, raw: str, in_main: bool) -> tuple[str, bool, str | None]:
+def described(name: str, raw: str, in_main: bool) -> tuple[str, int, str | None]:
     """An element's label in paths, whether it is beside the main text, and its kind of main element."""
     attrs = {k.lower(): html.unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(raw)} if raw else {}
     label = name + "".join(f".{w}" for w in sorted(attrs.get("class", "").split()))
-    side = _is_side(name, attrs, in_main)
+    side = _side(name, attrs, in_main)
     return label, side, None if side else _main_kind(name, attrs)
 
 
 class Open:
-    """An open element: its paths (of all elements, of blocks), those of the containers up to it, whether it is beside the main text, its main elements."""
+    """An open element: its paths (of all elements, of blocks), those of the containers up to it, whether it is beside the main text, in a main element within a name of the layout, its main elements."""
 
-    __slots__ = ("name", "path", "blocks", "around", "side", "mains")
+    __slots__ = ("name", "path", "blocks", "around", "side", "wrapped", "mains")
 
-    def __init__(self, name: str, path: tuple[str, ...], blocks: tuple[str, ...], around: tuple[tuple[str, ...], ...], side: bool, mains: tuple[int, ...]) -> None:
-        self.name, self.path, self.blocks, self.around, self.side, self.mains = name, path, blocks, around, side, mains
+    def __init__(self, name: str, path: tuple[str, ...], blocks: tuple[str, ...], around: tuple[tuple[str, ...], ...], side: int, wrapped: bool, mains: tuple[int, ...]) -> None:
+        self.name, self.path, self.blocks, self.around, self.side, self.wrapped, self.mains = name, path, blocks, around, side, wrapped, mains
 
 
-OUTSIDE = Open("", (), (), (), False, ())
+OUTSIDE = Open("", (), (), (), NO_SIDE, False, ())
 
 
 def parse(page: str) -> tuple[list[tuple[str, ...]], list[Block], list[str]]:
@@ -171,7 +188,7 @@ def parse(page: str) -> tuple[list[tuple[str, ...]], list[Block], list[str]]:
         text = " ".join("".join(parts).split())
         if text:
             top = stack[-1] if stack else OUTSIDE
-            blocks.append(Block(top.blocks, top.around, top.side, top.mains, text, linked))
+            blocks.append(Block(top.blocks, top.around, top.side > NO_SIDE, top.wrapped, top.mains, text, linked))
         parts.clear()
         linked = 0
 
@@ -230,23 +247,37 @@ def parse(page: str) -> tuple[list[tuple[str, ...]], list[Block], list[str]]:
         raw = m["attrs"] if m["name"] else m["attrs2"]
         top = stack[-1] if stack else OUTSIDE
         label, side, kind = described(name, raw if raw and TELLING.search(raw) else "", bool(top.mains))
-        side = side or top.side
+        side = max(side, top.side)
         inside = top.mains
+        wrapped = top.wrapped
+        if side == LAYOUT and kind in MAIN_ROLES:  # which names around it are layout is known at the end of the page
+            side, wrapped = NO_SIDE, True
         if kind and not side:
             inside = (*inside, len(mains))
             mains.append(kind)
         path = (*top.path, label)
         around = (*top.around, path) if name in BLOCK and name not in TEXT_BLOCKS and name not in PAGE_WIDE else top.around
-        stack.append(Open(name, path, (*top.blocks, label) if name in BLOCK else top.blocks, around, side, inside))
+        stack.append(Open(name, path, (*top.blocks, label) if name in BLOCK else top.blocks, around, side, wrapped, inside))
         elements.append(path)
         links += name == "a"
         if name in RAW:  # no markup inside
             end = re.compile(f"</{re.escape(name)}", re.IGNORECASE).search(page, at)
             at = end.start() if end else size
     flush()
+    settle(blocks)
     return elements, blocks, mains
 
 
+def settle(blocks: list[Block]) -> None:
+    """Main elements within layout or side names: they are main if no other is and they hold most of the text, else beside it."""
+    wrapped = [b for b in blocks if b.wrapped and not b.side]
+    if wrapped:
+        free = [b for b in blocks if not b.wrapped and not b.side]
+        if any(b.mains for b in free) or sum(len(b.text) - b.linked for b in wrapped) <= sum(len(b.text) - b.linked for b in free):
+            for b in wrapped:
+                b.side = True
+
+
 @lru_cache(1 << 14)
 def path_number(path: tuple[str, ...], kind: str = "element") -> int:
     """A 64-bit number for a path."""
@@ -335,10 +366,15 @@ def distinct_contents(pages: DataFrame, url_col: str, html_col: str) -> DataFram
     source = pages.select(host_of(F.col(url_col)).alias("host"), F.unhex(F.md5(text.cast("binary"))).alias("digest"), page.alias("html"))
     key = ["host", "digest"]
     copied = stored(source.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key))
-    # pages without a copy, nearly all, are not shuffled
+    source = source.withColumn("page", F.xxhash64("host", "html"))
+    some = copied.limit(BROADCAST_HOSTS + 1).count()
+    if not some:
+        return source.select("host", "page", "html")
+    if some <= BROADCAST_HOSTS:  # then pages without a copy are not shuffled
+        copied = F.broadcast(copied)
     once = source.join(copied, key, "left_anti")
     copies = source.join(copied, key, "left_semi").groupBy(*key).agg(F.min("html").alias("html"))
-    return once.select(*key, "html").unionAll(copies.select(*key, "html")).select("host", F.xxhash64(*key).alias("page"), "html")
+    return once.select("host", "page", "html").unionAll(copies.select("host", F.xxhash64("host", "html").alias("page"), "html"))
 
 
 def deduce_templates(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
