@@ -264,6 +264,18 @@ def test_repeated_passages(spark):
     assert B.repeated_documents(docs(spark, [])).collect() == []
 
 
+def test_copies_of_short_documents(spark, tmp_path):
+    from tripdemand.llm import queries
+
+    two = next(t for t in (prose(k, 14)[:95] for k in range(200)) if len(naive_cuts(t.encode())) == 2)
+    cut = naive_cuts(two.encode())[1]
+    rows = [(1, "short"), (2, "short"), (2, "short"), (3, two), (4, two), (5, "alone"), (6, two[:cut] + "é" * 9), (7, prose(9, 80)), (8, prose(9, 80)), (9, ""), (10, None), (None, "short")]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.n_passages, r.n_repeated, r.n_removed, r.passages) for r in queries.QUERIES["op5_substring_dedup"](spark, str(tmp_path)).collect()}
+    assert got.pop(7)[2] == 0 and got.pop(8)[2] >= B.LEAST_RUN
+    assert got == {1: (1, 5, 0, "0:5"), 2: (1, 5, 5, "0:5"), 3: (1, len(two), 0, f"0:{len(two)}"), 4: (1, len(two), len(two), f"0:{len(two)}")}
+
+
 # search -----------------------------------------------------------------------
 
 

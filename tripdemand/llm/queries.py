@@ -47,7 +47,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_documents(table(spark, sf_dir, "documents"))
+    return repeated_documents(table(spark, sf_dir, "documents"), whole=True)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ A run of consecutive chunks that each occur more than once in the corpus, of at
 ``LEAST_RUN`` bytes, is a repeated passage. The first occurrence of a chunk (smallest id,
 then position) is kept, the others are removed. The chunks at the two ends of a passage
 also hold bytes around it, so a run is up to about two chunks shorter than its passage.
+With ``whole`` a run that is all of a document is a passage whatever its length.
 
 Digest counts are combined map-side, and only chunks that occur twice are joined back,
 so a passage of a third of all documents is no single task's work. Null and empty texts
@@ -35,7 +36,7 @@ LEAST_RUN = 96
 GEAR_BITS = 32
 SEED = 9
 TEXT_BYTES = 512 << 10
-CHUNK = "id long, at int, len int, d1 long, d2 long"
+CHUNK = "id long, doc long, size int, at int, len int, d1 long, d2 long"
 
 
 def gear_hash(data: np.ndarray) -> np.ndarray:
@@ -82,8 +83,8 @@ def cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return at
 
 
-def find_chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The chunks of every document: id, at and len in bytes, digest."""
+def find_chunks(docs: DataFrame, id_col: str, text_col: str, short: int = 0) -> DataFrame:
+    """The chunks of every document: id, a number and the bytes of its text (0 from ``short`` bytes on), at and len in bytes, digest."""
 
     on_workers(docs.sparkSession)
 
@@ -96,33 +97,46 @@ def find_chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             end = np.append(at[1:], len(data))
             doc = np.searchsorted(starts, at, "right") - 1
             d = [RangeHash(data, base).of(at, end).view(np.int64) for base in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)]
-            cols = [batch.column("id").to_numpy()[doc], (at - starts[doc]).astype(np.int32), (end - at).astype(np.int32), *d]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["id", "at", "len", "d1", "d2"])
+            text = RangeHash(data, 0x9E3779B97F4A7C15).of(starts[:-1], starts[1:]).view(np.int64)
+            size = np.diff(starts)
+            few = size < short
+            cols = [batch.column("id").to_numpy()[doc], np.where(few, text, 0)[doc], np.where(few, size, 0)[doc].astype(np.int32), (at - starts[doc]).astype(np.int32), (end - at).astype(np.int32), *d]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["id", "doc", "size", "at", "len", "d1", "d2"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
     return source.mapInArrow(run, CHUNK)
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_run: int = LEAST_RUN) -> DataFrame:
-    """The repeated passages: id, start, end (bytes), n_chunks, n_removed (bytes of the chunks not kept here)."""
-    found = find_chunks(docs, id_col, text_col)
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_run: int = LEAST_RUN, whole: bool = False) -> DataFrame:
+    """The repeated passages: id, start, end (bytes), n_chunks, n_removed (bytes of the chunks not kept here).
+
+    ``whole``: runs of all chunks of a text are passages even if shorter than ``least_run``.
+    """
+    found = find_chunks(docs, id_col, text_col, least_run if whole else 0)
     # half of the digest is enough to leave out what occurs once
     maybe = found.select("d1", "id", "at").groupBy("d1").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("d1")
-    several = written(found.join(maybe, "d1", "left_semi").select("id", "at", "len", "d1", "d2"), "chunks")
+    several = written(found.join(maybe, "d1", "left_semi").select(*found.columns), "chunks")
     first = several.groupBy("d1", "d2").agg(F.min(F.struct("id", "at")).alias("first"), F.max(F.struct("id", "at")).alias("last")).where("first < last")
-    each = several.join(first.select("d1", "d2", "first"), ["d1", "d2"]).select("id", "at", "len", (F.struct("id", "at") != F.col("first")).alias("gone")).distinct()
+    parts = several.join(first.select("d1", "d2", "first"), ["d1", "d2"]).select("id", "doc", "size", "at", "len", (F.struct("id", "at") != F.col("first")).alias("gone"))
+    each = parts.select("id", "at", "len", "gone").distinct()
     by_place = Window.partitionBy("id").orderBy("at", "len")
     new = F.coalesce(F.lag(F.col("at") + F.col("len")).over(by_place) != F.col("at"), F.lit(True))
     runs = each.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
     passages = runs.groupBy("id", "run").agg(
         F.min("at").alias("start"), F.max(F.col("at") + F.col("len")).alias("end"), F.count(F.lit(1)).alias("n_chunks"),
         F.sum(F.when(F.col("gone"), F.col("len")).otherwise(0)).alias("n_removed"))
-    return passages.where(F.col("end") - F.col("start") >= least_run).select(F.col("id").alias(id_col), "start", "end", "n_chunks", "n_removed")
+    found_runs = passages.where(F.col("end") - F.col("start") >= least_run).select("id", "start", "end", "n_chunks", "n_removed")
+    if whole:
+        short = parts.where("size > 0").distinct().groupBy("id", "doc").agg(
+            F.lit(0).alias("start"), F.max("size").alias("end"), F.count(F.lit(1)).alias("n_chunks"),
+            F.sum(F.when(F.col("gone"), F.col("len")).otherwise(0)).alias("n_removed"), F.sum("len").alias("held"))
+        found_runs = found_runs.unionAll(short.where(F.col("held") == F.col("end")).select(*found_runs.columns))
+    return found_runs.withColumnRenamed("id", id_col)
 
 
-def repeated_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_run: int = LEAST_RUN) -> DataFrame:
+def repeated_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_run: int = LEAST_RUN, whole: bool = False) -> DataFrame:
     """One row per document with repeated passages: id, n_passages, n_repeated and n_removed (bytes), passages (``start:end``, comma-joined)."""
-    by = repeated_passages(docs, id_col, text_col, least_run).groupBy(id_col)
+    by = repeated_passages(docs, id_col, text_col, least_run, whole).groupBy(id_col)
     spans = F.array_sort(F.collect_list(F.struct("start", "end")))
     shown = F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
     return by.agg(F.count(F.lit(1)).alias("n_passages"), F.sum(F.col("end") - F.col("start")).alias("n_repeated"), F.sum("n_removed").alias("n_removed"), shown.alias("passages"))
