@@ -101,6 +101,15 @@ def test_structure_is_confirmed():
     assert S.is_openssh_key(ssh) and not S.is_openssh_key(ssh[:-1])
 
 
+def test_unsecured_tokens_and_escaped_armour():
+    assert S.find_secrets("a eyJhbGciOiJub25lIn0.eyJhIjoxfQ. b") == [("jwt", 2, 33)]
+    good = base64.b64encode(RSA).decode()
+    armour = "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(good[i : i + 64] for i in range(0, len(good), 64)) + "\n-----END RSA PRIVATE KEY-----\n"
+    for text in (json.dumps({"private_key": armour}), json.dumps({"private_key": armour.replace("\n", "\r\n")}), json.dumps(json.dumps({"private_key": armour}))):
+        assert [(k, text[a:b][:11], text[a:b][-9:]) for k, a, b in S.find_secrets(text) if k == "key"] == [("key", "-----BEGIN ", " KEY-----")]
+    assert "key" not in {s[0] for s in S.find_secrets(json.dumps(armour.replace(good[-12:], "")))}
+
+
 def test_scan_and_redaction(spark):
     texts = ["", None, "plain", "token = 'abcdef12' and " + JWT, "token = 'abcdef12' and " + JWT, "z" * 200_000 + " secret=abcdef"]
     got = {r.doc_id: r for r in S.scan_secrets(docs(spark, texts)).collect()}

@@ -35,11 +35,15 @@ BASE_KINDS = KINDS[:3]
 ASSIGN = re.compile(r"""(?i:(?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 WORDS = ("passw", "secret", "token", "api")  # one of them is in every assignment, in lower case
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
-#: Every access id, hexadecimal run, signed token and encoded key holds such a run.
+#: Every access id, hexadecimal run and encoded key without armour holds such a run.
 LONG = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 HEX_LONG = re.compile(r"[0-9a-f]{24,}")
+#: Every signed token begins so.
+TOKEN_START = re.compile(r"ey[A-Za-z0-9_-]{8,}\.")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[nrt])+)-----END \1-----")
+#: What armoured text is broken by: white space, in strings of source text or JSON escaped.
+BREAKS = re.compile(r"\\+[nrt]|\s+")
 RUN = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 CHUNK_BYTES = 8 << 20
 
@@ -148,12 +152,13 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
     low = text.lower()
     if any(w in low for w in WORDS):
         spans += [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[1]) >= 6]
+    if TOKEN_START.search(text):
+        spans += [("jwt", *m.span()) for m in TOKEN.finditer(text) if is_signed_token(m[0])]
+    armoured = [m for m in ARMOUR.finditer(text) if is_key(BREAKS.sub("", m[2]))] if "PRIVATE KEY-----" in text else []
+    spans += [("key", *m.span()) for m in armoured]
     if LONG.search(text):
         spans += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
         spans += [("hex", *m.span()) for m in HEX_LONG.finditer(text)]
-        spans += [("jwt", *m.span()) for m in TOKEN.finditer(text) if is_signed_token(m[0])]
-        armoured = [m for m in ARMOUR.finditer(text) if is_key(re.sub(r"\s+", "", m[2]))]
-        spans += [("key", *m.span()) for m in armoured]
         spans += [("key", *m.span()) for m in RUN.finditer(text) if not any(a.start() < m.end() and m.start() < a.end() for a in armoured) and is_key(m[0])]
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
