@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tripdemand.llm.decontamination import without_contaminated
 from tripdemand.llm.language_id import UNDETERMINED, fit_prototypes, predict_language
-from tripdemand.llm.ngram_join import one_of_each_class
+from tripdemand.llm.ngram_join import one_row_of_each_class
 from tripdemand.llm.queries import table, tokenizer
 from tripdemand.llm.secret_scan import redact_secrets
 from tripdemand.llm.sentencepiece_codec import encode_documents
@@ -32,8 +32,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return one_of_each_class(docs)
+    """One document row of each group of near duplicates."""
+    return one_row_of_each_class(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -153,6 +153,16 @@ def test_repeated_ids_have_a_defined_class(spark):
     assert len(rows) == 6 and len({(r.doc_id, r.class_id) for r in rows}) == 4
 
 
+def test_one_row_of_each_class_of_the_pipeline(spark):
+    import corpus_pipeline
+
+    a, b, c, d = (prose(k, 40) for k in range(1, 5))
+    pairs = [(1, a), (1, a), (2, a), (None, a), (3, b), (3, c), (4, a), (4, d), (None, d), (None, "own words"), (None, "own words"), (5, "!!"), (5, "!!"), (6, None), (7, c + " more")]
+    got = sorted((r.doc_id or 0, r.text or "") for r in corpus_pipeline.near_duplicates(spark, docs(spark, pairs), "").collect())
+    assert got == sorted([(1, a), (3, b), (3, c), (4, d), (0, "own words"), (5, "!!"), (5, "!!"), (6, "")])
+    assert corpus_pipeline.near_duplicates(spark, docs(spark, pairs), "").columns == docs(spark, []).columns
+
+
 def test_pruning_keeps_what_can_reach_the_threshold():
     least = N.fewest_agreements(0.8, N.TOLERANCE)
     assert list(least) == sorted(least) and all(0 < m < 0.8 * N.STEP * (i + 1) for i, m in enumerate(least))

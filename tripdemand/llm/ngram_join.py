@@ -197,7 +197,8 @@ def _meet(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
                 edges.append((ids[p], ids[q]))
     some = np.flatnonzero(links)
     out = [(int(ids[x]), None, int(links[x])) for x in some] + [(int(x), int(y), 0) for x, y in edges]
-    return pd.DataFrame(out, columns=["a", "b", "n"]).astype({"a": "Int64", "b": "Int64", "n": "Int64"})
+    # column by column: a frame of rows would turn ids beside nulls into floats, exact to 2**53 only
+    return pd.DataFrame({c: pd.array([r[k] for r in out], dtype="Int64") for k, c in enumerate(("a", "b", "n"))})
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -266,3 +267,25 @@ def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     gone = near_duplicate_classes(docs, id_col, text_col, threshold).where(F.col(id_col) != F.col("class_id")).select(F.col(id_col).cast("long").alias("_gone_id")).distinct()
     return docs.join(gone, docs[id_col].cast("long") == gone["_gone_id"], "left_anti")
+
+
+def one_row_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents without near duplicates: of each class of texts one row, that with the smallest id, null last.
+
+    Texts are the nodes, by a 63-bit number, so ids may repeat, have several texts or be null.
+    Rows of one id go by their other columns; texts without words stay.
+    """
+    node, row = F.xxhash64(text_col).bitwiseAND(F.lit(2**63 - 1)), F.xxhash64(*docs.columns)
+    worded = docs.where(F.col(text_col).rlike(r"[A-Za-z0-9\x{80}-\x{10FFFF}]"))
+    texts = worded.select(node.alias("_node"), F.col(text_col).alias("_text"))
+    classes = near_duplicate_classes(texts, "_node", "_text", threshold).select("_node", F.col("class_id").alias("_class")).distinct()
+    ranks = worded.select(node.alias("_node"), F.struct(F.col(id_col).isNull().alias("no"), F.col(id_col).alias("id"), row.alias("row")).alias("rank"))
+    classed = stored(ranks.groupBy("_node", "rank").agg(F.count(F.lit(1)).alias("n")).join(classes, "_node"))
+    first = classed.groupBy("_class").agg(F.min("rank").alias("first"))
+    keys = ["_node", "_row"]
+    gone = classed.join(first, "_class").where(F.col("rank") != F.col("first")).select("_node", F.col("rank.row").alias("_row"))
+    kept = docs.withColumns({"_node": node, "_row": row}).join(gone, keys, "left_anti")
+    equal = classed.join(first, "_class").where((F.col("rank") == F.col("first")) & (F.col("n") > 1)).select("_node", F.col("rank.row").alias("_row"))
+    if not equal.isEmpty():  # rows equal in all columns
+        kept = kept.join(equal, keys, "left_anti").unionByName(kept.join(equal, keys, "left_semi").dropDuplicates(keys))
+    return kept.select(*docs.columns)
