@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripdemand.llm.decontamination import contaminated_documents
 from tripdemand.llm.exact_topk import exact_topk
 from tripdemand.llm.html_extraction import extract_main_text
 from tripdemand.llm.language_id import fit_prototypes, predict_language
+from tripdemand.llm.manifest_oracles import MERKLE, MIXING, RUNS
+from tripdemand.llm.merkle_manifest import merkle_proofs
 from tripdemand.llm.ngram_join import near_duplicate_classes
+from tripdemand.llm.periodic_runs import periodic_runs, with_repeated_tail
 from tripdemand.llm.secret_scan import scan_secrets
 from tripdemand.llm.sentencepiece_codec import encode_documents
+from tripdemand.llm.source_mixing import repetitions
 from tripdemand.llm.substring_chunks import repeated_documents
 from tripdemand.llm.suffix_dedup import remove_repeated
 from tripdemand.llm.token_packing import pack_documents
@@ -76,6 +80,28 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(docs, labels, prototypes, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+def checksum(number: Column) -> Column:
+    """The unsigned crc32 of a whole number's decimal digits."""
+    return F.crc32(number.cast("string").cast("binary"))
+
+
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", with_repeated_tail(F.col("text"), checksum(F.col("doc_id"))).alias("text"))
+    return periodic_runs(docs, [F.col("doc_id")])
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.when(checksum(F.col("doc_id")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle_proofs(docs, ["doc_id", "source", "lang", "n_chars", "text"], [F.col("doc_id")], {"text": tampered})
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = repetitions(table(spark, sf_dir, "documents"), [F.col("doc_id")])
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1,
     "op2_html_extraction": op2,
@@ -87,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8,
     "op9_exact_topk": op9,
     "op10_language_id": op10,
+    "op11_periodic_runs": op11,
+    "op12_merkle_manifest": op12,
+    "op13_source_mixing": op13,
 }
 
 _WORDS = r"regexp_extract_all(lower({}), '[a-z0-9\x{{80}}-\x{{10FFFF}}]+')"
@@ -129,4 +158,7 @@ ORACLE: dict[str, str] = {
                    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
              r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_periodic_runs": RUNS,
+    "op12_merkle_manifest": MERKLE,
+    "op13_source_mixing": MIXING,
 }
