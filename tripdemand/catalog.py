@@ -21,6 +21,7 @@ from tripdemand.operators import weather as wx
 from tripdemand.oracle.fixture_sql import with_ctes
 from tripdemand.plans import model as model_job
 from tripdemand.plans import warehouse as job
+from tripdemand.plans.reports import report_bundle
 from tripdemand.session import scratch_path
 from tripdemand.sources import trips as src
 from tripdemand.sources import zones
@@ -619,6 +620,84 @@ def q_hour_fare(spark, sf_dir):
     return reports.hour_fare(hourly_profile_df(spark, sf_dir))
 
 
+_DAY_LABELS_SQL = "[" + ", ".join(f"'{d}'" for d in reports.DAY_LABELS) + "]"
+_ROW_ORDER_SQL = "[" + ", ".join(f"'{d}'" for d in reports.HEATMAP_ROW_ORDER) + "]"
+
+
+# section -> its keys and values, of the bundle of one month
+_BUNDLE = {
+    "zone_profile": (("zone_name", "operator_name"), ("trip_count", "avg_fare", "avg_duration_min")),
+    "hourly_profile": (("hour", "operator_name"), ("trip_count", "avg_tip", "avg_distance")),
+    "kpis": ((), ("total_trips", "avg_fare", "active_zones")),
+    "zone_map_konvensional": (("PULocationID", "zone_name"), ("trip_count", "avg_fare", "avg_distance")),
+    "zone_map_modern": (("PULocationID", "zone_name"), ("trip_count", "avg_fare", "avg_distance")),
+    "top_zones": (("category", "zone_name"), ("trip_count", "rank")),
+    "market_share": (("category",), ("trip_count", "percent")),
+    "operator_volume": (("operator_name",), ("trip_count",)),
+    "hour_volume": (("hour", "category"), ("trip_count",)),
+    "demand_heatmap": (("day_label",), ("row_order", "8", "18")),
+    "operator_means": (("operator_name",), ("avg_fare", "avg_tip", "avg_distance")),
+    "hour_fare": (("hour", "category"), ("avg_fare",)),
+    "daily_profile": (("date", "operator_name"), ("trip_count", "avg_fare", "avg_tip")),
+    "daily_trend": (("date", "category"), ("trip_count",)),
+}
+_BUNDLE_MONTH = f"{fx.FIXTURE_MONTHS[1]}-01"
+
+
+def _bundle_row(keys, values, text, number, null):
+    """Two keys as text and three values as doubles, nulls where a section has fewer."""
+    keys = [text(k) for k in keys] + [null("VARCHAR")] * (2 - len(keys))
+    return keys + [number(v) for v in values] + [null("DOUBLE")] * (3 - len(values))
+
+
+def _bundle_sql():
+    m = "CAST(SUM(trip_count) AS BIGINT)"
+    weekday = f"{_DAY_LABELS_SQL}[day_of_week + 1]"
+    section = {
+        "zone_profile": "SELECT * FROM zp", "hourly_profile": "SELECT * FROM hp",
+        "kpis": f"SELECT {m} AS total_trips, {emean('avg_fare', 2)} AS avg_fare, COUNT(DISTINCT PULocationID) AS active_zones FROM zp",
+        "top_zones": f"""SELECT * FROM (SELECT category, zone_name, {m} AS trip_count, ROW_NUMBER() OVER (PARTITION BY category ORDER BY SUM(trip_count) DESC, zone_name) AS rank
+                         FROM zp GROUP BY 1, 2) WHERE rank <= 10""",
+        "market_share": f"SELECT category, {m} AS trip_count, SUM(trip_count) * 100.0::DOUBLE / SUM(SUM(trip_count)) OVER () AS percent FROM zp GROUP BY 1",
+        "operator_volume": f"SELECT operator_name, {m} AS trip_count FROM zp GROUP BY 1",
+        "hour_volume": f"SELECT hour, category, {m} AS trip_count FROM hp GROUP BY 1, 2",
+        "demand_heatmap": f"""SELECT {weekday} AS day_label, list_position({_ROW_ORDER_SQL}, {weekday}) - 1 AS row_order,
+                                     SUM(trip_count) FILTER (WHERE hour = 8) AS "8", SUM(trip_count) FILTER (WHERE hour = 18) AS "18" FROM hp GROUP BY day_of_week""",
+        "operator_means": f"SELECT operator_name, {', '.join(emean(c, 2) + ' AS ' + c for c in ('avg_fare', 'avg_tip', 'avg_distance'))} FROM zp GROUP BY 1",
+        "hour_fare": f"SELECT hour, category, {emean('avg_fare', 2)} AS avg_fare FROM hp GROUP BY 1, 2",
+        "daily_profile": f"""SELECT date, operator_name, {m} AS trip_count, {', '.join(f'ROUND({emean(c, 2)}, 2) AS {c}' for c in ('avg_fare', 'avg_tip'))}
+                             FROM agg_hourly_demand WHERE date_trunc('month', date) = DATE '{_BUNDLE_MONTH}' GROUP BY date, category, operator_name""",
+        "daily_trend": f"SELECT date, category, {m} AS trip_count FROM agg_hourly_demand WHERE date >= '{fx.FIXTURE_TREND[0]}' AND date < '{fx.FIXTURE_TREND[1]}' GROUP BY 1, 2",
+    }
+    for c in reports.CATEGORIES:
+        section[f"zone_map_{c.lower()}"] = f"""SELECT PULocationID, zone_name, {m} AS trip_count, {emean('avg_fare', 2)} AS avg_fare, {emean('avg_distance', 2)} AS avg_distance
+                                               FROM zp WHERE category = '{c}' GROUP BY 1, 2"""
+    parts = []
+    for name, (keys, values) in _BUNDLE.items():
+        cells = _bundle_row(keys, values, lambda k: f'CAST("{k}" AS VARCHAR)', lambda v: f'CAST("{v}" AS DOUBLE)', lambda t: f"CAST(NULL AS {t})")
+        parts.append(f"SELECT '{name}' AS section, {', '.join(f'{c} AS {n}' for c, n in zip(cells, _BUNDLE_COLUMNS, strict=True))} FROM ({section[name]})")
+    return " UNION ALL ".join(parts)
+
+
+_BUNDLE_COLUMNS = ("key1", "key2", "value1", "value2", "value3")
+_BUNDLE_PROFILES = {
+    "zp": ZP["zone_profile"].replace("FROM agg_zone_demand", f"FROM agg_zone_demand WHERE month = TIMESTAMP '{_BUNDLE_MONTH}'"),
+    "hp": HP["hourly_profile"].replace("FROM agg_hourly_demand", f"FROM agg_hourly_demand WHERE date_trunc('month', date) = DATE '{_BUNDLE_MONTH}'"),
+}
+
+
+@register("report_bundle", _bundle_sql(), _BUNDLE_PROFILES)
+def q_report_bundle(spark, sf_dir):
+    """Every section of the dashboard for one month, in one long table."""
+    bundle = report_bundle(agg_zone_df(spark, sf_dir), agg_hourly_df(spark, sf_dir), _BUNDLE_MONTH, trend_window=fx.FIXTURE_TREND)
+    parts = []
+    for name, (keys, values) in _BUNDLE.items():
+        cells = _bundle_row(keys, values, lambda k: F.col(f"`{k}`").cast("string"), lambda v: F.col(f"`{v}`").cast("double"),
+                            lambda t: F.lit(None).cast("string" if t == "VARCHAR" else "double"))
+        parts.append(bundle[name].select(F.lit(name).alias("section"), *[c.alias(n) for c, n in zip(cells, _BUNDLE_COLUMNS, strict=True)]))
+    return functools.reduce(DataFrame.unionAll, parts)
+
+
 _DAILY_WEATHER = {"weather_daily": f"""
   SELECT date,
          {reven(emean('temperature', 1), 1)} AS avg_temp,
@@ -664,6 +743,29 @@ def q_actual_vs_predicted(spark, sf_dir):
     return reports.actual_vs_predicted(baseline_df(spark, sf_dir))
 
 
+_DEMAND_KEYS = ("date", "hour", "PULocationID", "category", "operator_name", "trip_count", "avg_fare", "avg_total", "avg_duration_min", "avg_distance",
+                "avg_tip", "temperature", "is_rain")
+
+
+@register("agg_refresh", f"""
+  SELECT 'hourly' AS source, {", ".join(_DEMAND_KEYS)} FROM agg_hourly_demand
+  UNION ALL
+  SELECT 'zone', month, NULL, PULocationID, category, operator_name, trip_count, avg_fare, NULL, avg_duration_min, avg_distance, avg_tip, NULL, NULL
+  FROM agg_zone_demand""")
+def q_agg_refresh(spark, sf_dir):
+    """Both demand tables of a warehouse built from all months but the last and then given that one."""
+    root = scratch_path(spark, "warehouse-refresh")
+    trips, weather = fx.landed(spark, sf_dir).trips, weather_hourly_df(spark, sf_dir)
+    early = weather.where(F.to_date("datetime") < F.lit(fx.FIXTURE_CUT).cast("date"))
+    job.build_warehouse(spark, trips, root, fx.FIXTURE_MONTHS[:-1], early)
+    for _ in range(2):  # the second call finds nothing to do
+        job.append_months(spark, trips, root, fx.FIXTURE_MONTHS, weather)
+    hourly = job.read_table(spark, root, "agg_hourly_demand").select(F.lit("hourly").alias("source"), *_DEMAND_KEYS)
+    zone = job.read_table(spark, root, "agg_zone_demand").withColumnRenamed("month", "date")
+    empty = {c: F.lit(None).cast(hourly.schema[c].dataType) for c in _DEMAND_KEYS if c not in zone.columns}
+    return hourly.unionByName(zone.withColumns(empty).select(F.lit("zone").alias("source"), *_DEMAND_KEYS))
+
+
 @register("pipeline_row_counts", """
   SELECT * FROM (VALUES
     ('dim_location', (SELECT COUNT(*) FROM dim_location)),
@@ -781,19 +883,18 @@ def q_operator_share(spark, sf_dir):
 
 @register("fact_append", _ID_BLOCKS_SQL)
 def q_fact_append(spark, sf_dir):
-    """Load yellow trips first, then append the other service's files after them."""
-    files = src.read_clean(spark, f"{warehouse_root(spark, sf_dir)}/clean", clean_all_df(spark, sf_dir).schema, fx.FIXTURE_MONTHS)
-    path = scratch_path(spark, "fact-append")
-    warehouse.fact_of_files(files.filter(F.col("service") == "yellow"), keep=("file_month",)).write.parquet(path)
-    more = warehouse.append_files(spark.read.parquet(path), files.filter(F.col("service") == "fhvhv"), keep=("file_month",))
-    more.write.mode("append").parquet(path)
-    return warehouse.id_blocks(spark.read.parquet(path))
+    """Yellow trips first, then every file, then every file once more: the ledger lets each in once."""
+    files = src.read_clean(spark, f"{warehouse_root(spark, sf_dir)}/clean", months=fx.FIXTURE_MONTHS)
+    root = scratch_path(spark, "fact-append")
+    for load in (files.filter(F.col("service") == "yellow"), files, files):
+        job.load_fact(spark, root, load)
+    return warehouse.id_blocks(job.read_table(spark, root, "fact_trips", folder=True))
 
 
 @register("fact_trips", "SELECT * EXCLUDE (trip_id) FROM fact_trips")
 def q_fact_trips(spark, sf_dir):
-    return warehouse.conform_fact(src.read_clean(
-        spark, f"{warehouse_root(spark, sf_dir)}/clean", clean_all_df(spark, sf_dir).schema, fx.FIXTURE_MONTHS))
+    """Every column of the loaded fact but the id, whose blocks ``trip_id`` checks."""
+    return fact_rows_df(spark, sf_dir)
 
 
 @register("top_zones", """
@@ -829,10 +930,6 @@ def q_zone_id_by_name(spark, sf_dir):
     return reports.zone_id_by_name(reports.zone_list(agg_zone_df(spark, sf_dir)))
 
 
-_DAY_LABELS_SQL = "[" + ", ".join(f"'{d}'" for d in reports.DAY_LABELS) + "]"
-_ROW_ORDER_SQL = "[" + ", ".join(f"'{d}'" for d in reports.HEATMAP_ROW_ORDER) + "]"
-
-
 @register("demand_heatmap", f"""
   SELECT {_DAY_LABELS_SQL}[day_of_week + 1] AS day_label,
          CAST(list_position({_ROW_ORDER_SQL}, {_DAY_LABELS_SQL}[day_of_week + 1]) - 1 AS INTEGER) AS row_order,
@@ -894,16 +991,19 @@ def _well_formed(column="predicted"):
 
 
 @register("fit_demand", """
-  SELECT 300 AS trees, 1.0::DOUBLE AS first_weight, 0.05::DOUBLE AS least_weight, true AS depth_within_6, 16 AS features, n AS train_rows
+  SELECT 300 AS trees, true AS depth_within_6, true AS columns_within_13, true AS least_splits, 16 AS features, n AS train_rows,
+         n AS rows_of_mean, ROUND((SELECT AVG(CAST(trip_count AS DOUBLE)) FROM train), 4) AS mean
   FROM n_train""", _MODEL_CTES)
 def q_fit_demand(spark, sf_dir):
-    """The ensemble that was fitted, in one row."""
+    """The ensemble that was fitted, in one row: its size and limits, and tree 0, the mean."""
     model, train, _ = _session_model(spark, sf_dir)
-    gbt = model.stages[-1]
-    weights = [float(w) for w in gbt.treeWeights]
-    return train.agg(F.count(F.lit(1)).alias("train_rows")).select(
-        F.lit(len(weights)).alias("trees"), F.lit(weights[0]).alias("first_weight"), F.lit(min(weights)).alias("least_weight"),
-        F.lit(all(t.depth <= 6 for t in gbt.trees)).alias("depth_within_6"), F.lit(gbt.numFeatures).alias("features"), "train_rows")
+    per_tree = model.where("tree > 0").groupBy("tree").agg(
+        F.max("node").alias("last"), F.count_distinct("feature").alias("columns"), F.count("feature").alias("splits"), F.count(F.lit(1)).alias("nodes"))
+    shape = per_tree.agg(F.count(F.lit(1)).cast("int").alias("trees"), (F.max("last") < 2**7).alias("depth_within_6"),
+                         (F.max("columns") <= 13).alias("columns_within_13"), F.every(F.col("nodes") == 2 * F.col("splits") + 1).alias("least_splits"))
+    mean = model.where("tree = 0").select(F.col("row_count").alias("rows_of_mean"), F.round("value", 4).alias("mean"))
+    counted = train.agg(F.count(F.lit(1)).alias("train_rows"))
+    return shape.join(counted).join(mean).withColumn("features", F.lit(len(ml.FEATURE_COLS)))
 
 
 @register("predict", f"SELECT {_KEYS_SQL}, true AS well_formed FROM test", _MODEL_CTES)

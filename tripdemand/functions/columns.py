@@ -5,6 +5,8 @@ All of these are plain Spark SQL expressions (codegen'd, no Python at run time).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,7 +69,8 @@ def _sql_literal(value, dtype: T.DataType) -> str:
     if isinstance(dtype, T.StringType):
         return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return repr(float(value)) + "D"
+        value = float(value)
+        return repr(value) + "D" if math.isfinite(value) else f"CAST('{value}' AS DOUBLE)"
     return str(value)
 
 

@@ -9,6 +9,8 @@ instead of trips, and a hot key is absorbed by the map-side combine.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,23 +26,55 @@ _TRIP_MEANS = (
 )
 
 
+# what a group of trips is reduced to; adding up two groups' states gives the state of both
+_STATE = ("_trips", *(f"{kind}_{c}" for c, _ in _TRIP_MEANS for kind in ("_sum", "_n")))
+HOUR_KEYS = ("date", "hour", "PULocationID", "operator_code")
+ZONE_KEYS = ("month", "PULocationID", "operator_code")
+
+
+def trip_state(fact: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Trips, sums and non-null counts per (``keep``, date, hour, pickup zone, operator code).
+
+    Hourly and zone demand both follow from it, and states of different files add up, so new
+    files never need the old ones' trips again.
+    """
+    p = F.col("pickup_datetime")
+    trips = fact.select(*keep, F.to_date(p).alias("date"), F.hour(p).alias("hour"), "PULocationID", "operator_code", *[c for c, _ in _TRIP_MEANS])
+    return _reduced(trips, [*keep, *HOUR_KEYS])
+
+
+def _reduced(trips: DataFrame, keys: Sequence[str]) -> DataFrame:
+    sums = [x for c, _ in _TRIP_MEANS for x in (F.sum(F.col(c).cast("double")).alias(f"_sum_{c}"), F.count(c).alias(f"_n_{c}"))]
+    return trips.groupBy(*keys).agg(F.count(F.lit(1)).alias("_trips"), *sums)
+
+
+def _added(state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return state.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _STATE])
+
+
+def _means(state: DataFrame) -> DataFrame:
+    return state.select("*", *[(F.col(f"_sum_{c}") / F.col(f"_n_{c}")).alias(name) for c, name in _TRIP_MEANS])
+
+
 def agg_hourly_demand(fact: DataFrame, operators: DataFrame, dim_weather: DataFrame) -> DataFrame:
     """Trips per (date, hour, weekday, pickup zone, operator) with means and weather.
 
     Unknown operator codes drop out (inner join); hours without weather
     get 0 for every weather value.
     """
-    p = F.col("pickup_datetime")
+    return _hourly(trip_state(fact), operators, dim_weather)
+
+
+def hourly_of_state(state: DataFrame, operators: DataFrame, dim_weather: DataFrame) -> DataFrame:
+    """The same from the states of any number of files."""
+    return _hourly(_added(state, HOUR_KEYS), operators, dim_weather)
+
+
+def _hourly(state: DataFrame, operators: DataFrame, dim_weather: DataFrame) -> DataFrame:
     # weekday is a function of the date: derived after the shuffle, not keyed on
-    keys = ["date", "hour", "PULocationID", "operator_code"]
-    trips = (fact.select(F.to_date(p).alias("date"), F.hour(p).alias("hour"),
-                         "PULocationID", "operator_code", *[c for c, _ in _TRIP_MEANS])
-             .groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_trips"),
-                  *[F.avg(c).alias(name) for c, name in _TRIP_MEANS]))
     ops = F.broadcast(operators.select("operator_code", "operator_id", "taxi_type",
                                        "category", "operator_name"))
-    joined = (trips.join(ops, "operator_code", "inner")
+    joined = (_means(state).join(ops, "operator_code", "inner")
               .join(weather_by_hour(dim_weather), ["date", "hour"], "left"))
     w = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     return joined.select(
@@ -58,22 +92,23 @@ def agg_hourly_demand(fact: DataFrame, operators: DataFrame, dim_weather: DataFr
 
 def agg_zone_demand(fact: DataFrame, operators: DataFrame, locations: DataFrame) -> DataFrame:
     """Trips per (month, pickup zone, operator) with zone names and means."""
-    p = F.col("pickup_datetime")
-    trips = (fact.select(month_start(p).alias("month"), "PULocationID", "operator_code",
-                         "fare_amount", "trip_distance", "trip_duration_min", "tip_amount")
-             .groupBy("month", "PULocationID", "operator_code")
-             .agg(F.count(F.lit(1)).alias("trip_count"),
-                  F.avg("fare_amount").alias("avg_fare"),
-                  F.avg("trip_distance").alias("avg_distance"),
-                  F.avg("trip_duration_min").alias("avg_duration_min"),
-                  F.avg("tip_amount").alias("avg_tip")))
+    trips = fact.withColumn("month", month_start(F.col("pickup_datetime")))
+    return _zone(_reduced(trips, ZONE_KEYS), operators, locations)
+
+
+def zone_of_state(state: DataFrame, operators: DataFrame, locations: DataFrame) -> DataFrame:
+    """The same from the hourly states of any number of files."""
+    return _zone(_added(state.withColumn("month", month_start(F.col("date"))), ZONE_KEYS), operators, locations)
+
+
+def _zone(state: DataFrame, operators: DataFrame, locations: DataFrame) -> DataFrame:
     ops = F.broadcast(operators.select("operator_code", "taxi_type", "category", "operator_name"))
     locs = F.broadcast(locations.select(F.col("location_id").alias("PULocationID"),
                                         "zone_name", "borough"))
-    joined = trips.join(ops, "operator_code", "inner").join(locs, "PULocationID", "inner")
+    joined = _means(state).join(ops, "operator_code", "inner").join(locs, "PULocationID", "inner")
     return joined.select(
         "month", "PULocationID", "zone_name", "borough", "taxi_type", "category", "operator_name",
-        "trip_count",
+        F.col("_trips").alias("trip_count"),
         *[round_half_away(F.col(c), 2).alias(c)
           for c in ("avg_fare", "avg_distance", "avg_duration_min", "avg_tip")],
     )

@@ -1,66 +1,16 @@
-"""Dense row numbers over a total order, without a single-partition window.
+"""Dense row numbers of written files, without a single-partition window.
 
-``ROW_NUMBER() OVER (ORDER BY ...)`` with no partition key runs in one task.
-Here the rows are range-partitioned by the order (Spark samples the keys, so
-every partition holds a similar share), each row is tagged with its partition
-and its position inside it, the tagged rows are checkpointed so those tags
-are fixed, and each partition's row count becomes an offset. The offset table
-has one row per partition; adaptive execution picks its join from that size.
-
-Rows of written files need none of this: ``file_row_numbers`` takes a row's
-number from its place in its file and the row counts of the files before.
+``ROW_NUMBER() OVER (ORDER BY ...)`` with no partition key runs in one task. A row's number
+here is its place in its file and the row counts of the files before.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripdemand.session import checkpoint_dir
-
-_POS = "_dense_pos"
-_PART = "_dense_part"
-_TIE = "_dense_tie"
-# monotonically_increasing_id() = partition index << 33 | position in partition
-_PART_SHIFT = 33
-_POS_MASK = (1 << _PART_SHIFT) - 1
-
-
-def dense_row_numbers(df: DataFrame, order: Sequence[Column] | None, id_col: str,
-                      first: int = 1) -> DataFrame:
-    """Add ``id_col`` = first, first+1, ... following ``order``.
-
-    Rows tied on every ``order`` key are exact copies for the result; they
-    are further ordered by their scan position, so a heavy group of copies is
-    still spread over several range partitions instead of landing in one.
-
-    ``order=None`` numbers rows in their current partition order instead:
-    no sort and no shuffle, one extra pass to count (like a single-node
-    ``ROW_NUMBER() OVER ()``, whose order is unspecified). Use it when ids need
-    to be dense and unique but not reproducible across loads.
-    """
-    spark = df.sparkSession
-    if order is None:
-        checkpoint_dir(spark)
-        ordered = df.withColumn(_POS, F.monotonically_increasing_id()).checkpoint(eager=True)
-    else:
-        checkpoint_dir(spark)
-        ordered = (df.withColumn(_TIE, F.monotonically_increasing_id())
-                   .orderBy(*order, F.col(_TIE).asc())
-                   .drop(_TIE)
-                   .withColumn(_POS, F.monotonically_increasing_id())
-                   .checkpoint(eager=True))
-    part = F.shiftright(F.col(_POS), _PART_SHIFT)
-    counts = ordered.groupBy(part.alias(_PART)).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition (<= n_parts rows), so a global running sum is cheap
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PART, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    out = (ordered.join(offsets, part == F.col(_PART))
-           .withColumn(id_col, F.col("_offset") + F.col(_POS).bitwiseAND(F.lit(_POS_MASK)) + first))
-    return out.drop(_POS, _PART, "_offset")
-
 
 def file_row_numbers(files: DataFrame, order: Sequence[str], id_col: str, first: int = 1) -> DataFrame:
     """Number the rows of a scan of written files: files by ``order`` and path, rows by place.

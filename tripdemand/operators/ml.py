@@ -2,23 +2,19 @@
 
 Training data is the hourly aggregate (rows = date x hour x zone x operator,
 bounded by the calendar and the dimensions, not by trip volume). Features are
-column expressions; the model is a Spark ML ``Pipeline`` of
-``VectorAssembler`` and ``GBTRegressor``, so fitting and scoring run in the
-executors.
+column expressions; a model is a table of tree nodes (``operators.boosting``),
+so fitting and scoring run in the executors.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripdemand.functions import exact_mean, round_half_away, round_half_even
+from tripdemand.functions import exact_mean, literal_frame, round_half_away, round_half_even
+from tripdemand.operators import boosting
 from tripdemand.operators.weather import demand_weather_defaults
 from tripdemand.session import checkpoint_dir, path_exists
 
@@ -42,8 +38,7 @@ FEATURE_LABELS = (
     ("windspeed", "Kecepatan Angin (km/h)"), ("is_rain", "Hujan"), ("is_snow", "Salju"),
 )
 MODERN_CATEGORY = "Modern"
-MODEL_NAME = "GBTRegressor"
-ROWS_PER_PARTITION = 100_000
+MODEL_NAME = "boosted_trees"
 DEFAULT_PARAMS = dict(n_trees=300, max_depth=6, learning_rate=0.05, subsample=0.8,
                       colsample=0.8, max_bins=256, seed=42)
 # scenario weather rules (interactive prediction): rain above 0.1 mm, snow
@@ -52,6 +47,8 @@ SCENARIO_RAIN_MM = 0.1
 SCENARIO_SNOW_MAX_TEMP = 2.0
 # ------------------------------------------------------------------------------
 
+# what tells training rows apart
+ROW_KEY = ("date", "hour", "PULocationID", "category", "operator_name")
 PREDICTION_KEYS = ("date", "hour", "day_of_week", "PULocationID", "category",
                    "operator_name", "trip_count")
 
@@ -106,51 +103,23 @@ def time_split(df: DataFrame, cut: str) -> tuple[DataFrame, DataFrame]:
     return df.filter(F.col("date") < c), df.filter(F.col("date") >= c)
 
 
-def demand_pipeline(n_trees: int = 300, max_depth: int = 6, learning_rate: float = 0.05,
-                    subsample: float = 0.8, colsample: float = 0.8, max_bins: int = 256,
-                    seed: int = 42, label: str = "trip_count") -> Pipeline:
-    """Assembler + gradient-boosted regression trees with the reference's settings."""
-    assembler = VectorAssembler(inputCols=list(FEATURE_COLS), outputCol="features",
-                                handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
-                       maxIter=n_trees, maxDepth=max_depth, stepSize=learning_rate,
-                       subsamplingRate=subsample, featureSubsetStrategy=str(colsample),
-                       maxBins=max_bins, seed=seed, checkpointInterval=25,
-                       maxMemoryInMB=512)
-    return Pipeline(stages=[assembler, gbt])
+def fit_demand(train: DataFrame, **params) -> DataFrame:
+    """The nodes of trees fitted on feature rows (label ``trip_count``), computed and kept in the checkpoint folder.
 
-
-def fit_demand(train: DataFrame, **params) -> PipelineModel:
-    """Fit the demand pipeline on feature rows (label ``trip_count``).
-
-    Boosting makes many passes over the training rows; they are persisted
-    (memory, spilling to disk) for the fit so upstream stages run once, in
-    partitions of about ``ROWS_PER_PARTITION`` rows, since each tree level is a
-    job. The boosting lineage is cut every ``checkpointInterval`` trees.
+    Equal rows give equal trees, however they are partitioned (``operators.boosting``).
     """
     checkpoint_dir(train.sparkSession)
-    rows = train.withColumn("trip_count", F.col("trip_count").cast("double")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    try:
-        partitions = max(1, -(-rows.count() // ROWS_PER_PARTITION))
-        if partitions < rows.rdd.getNumPartitions():
-            merged = rows.coalesce(partitions).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                return demand_pipeline(**params).fit(merged)
-            finally:
-                merged.unpersist()
-        return demand_pipeline(**params).fit(rows)
-    finally:
-        rows.unpersist()
+    return boosting.fit_trees(train, ROW_KEY, FEATURE_COLS, "trip_count", **{**DEFAULT_PARAMS, **params}).checkpoint()
 
 
 def clipped(prediction: Column) -> Column:
     return F.greatest(F.lit(0.0), prediction)
 
 
-def predict_demand(model: PipelineModel, test: DataFrame) -> DataFrame:
+def predict_demand(model: DataFrame, test: DataFrame) -> DataFrame:
     """Score rows; keep the unrounded clipped value for metrics, store 0.1-rounded."""
-    scored = model.transform(test)
+    rows = test.select(*dict.fromkeys([*PREDICTION_KEYS, *FEATURE_COLS]))
+    scored = boosting.score_trees(rows, model)
     return scored.select(*PREDICTION_KEYS,
                          clipped(F.col("prediction")).alias("prediction_clipped"),
                          round_half_even(clipped(F.col("prediction")), 1).alias("predicted"))
@@ -186,32 +155,35 @@ def regression_metrics(pred: DataFrame, label: str = "trip_count",
     )
 
 
-def feature_importance(model: PipelineModel, spark=None) -> DataFrame:
-    """Feature importances of the fitted trees, largest first, with display labels.
+def feature_importance(model: DataFrame, spark: SparkSession | None = None) -> DataFrame:
+    """Each feature's share of the mean gains of splits, largest first, with display labels.
 
-    The importance vector has one entry per feature (16) and comes from the
-    model, not from data, so it is built on the driver.
+    The node table is bounded by the trees; features that never split have share 0.
     """
-    session = spark or SparkSession.getActiveSession()
-    imps = model.stages[-1].featureImportances.toArray().tolist()
-    labels = dict(FEATURE_LABELS)
-    rows = [(f, float(v), labels[f]) for f, v in zip(FEATURE_COLS, imps)]
-    df = session.createDataFrame(rows, "feature string, importance double, label string")
-    return df.orderBy(F.col("importance").desc(), "feature")
+    labels = literal_frame(spark or model.sparkSession, [(i, f, label) for i, (f, label) in enumerate(FEATURE_LABELS)], "place int, feature string, label string")
+    mean = F.coalesce("gain", F.lit(0.0))
+    # one row for each feature; summed in their order
+    whole = F.sum(mean).over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    shares = labels.join(boosting.gains(model), "feature", "left").withColumn("importance", F.when(whole > 0, mean / whole).otherwise(0.0))
+    return shares.select("feature", "importance", "label").orderBy(F.col("importance").desc(), "feature")
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: DataFrame, path: str) -> None:
+    model.write.mode("overwrite").parquet(path)
 
 
-def load_model(path: str) -> PipelineModel | None:
-    """Load a saved pipeline; ``None`` when there is none. A model that cannot be read is an error."""
-    if not path_exists(SparkSession.getActiveSession(), path):
+def load_model(path: str) -> DataFrame | None:
+    """Load saved nodes; ``None`` when there are none. A model that cannot be read is an error."""
+    spark = SparkSession.getActiveSession()
+    if not path_exists(spark, path):
         return None
-    return PipelineModel.load(path)
+    nodes = spark.read.parquet(path)
+    if missing := {c.split()[0] for c in boosting.NODES.split(", ")} - set(nodes.columns):
+        raise ValueError(f"{path} holds no model: {', '.join(sorted(missing))} missing")
+    return nodes
 
 
-def load_or_train(path: str, train: DataFrame, **params) -> PipelineModel:
+def load_or_train(path: str, train: DataFrame, **params) -> DataFrame:
     """Reuse the saved model, or fit and save one when it is absent."""
     model = load_model(path)
     if model is None:
@@ -266,11 +238,11 @@ def scenario_grid(scenarios: DataFrame) -> DataFrame:
     )
 
 
-def score_scenarios(model: PipelineModel, grid: DataFrame, rounded: bool = True) -> DataFrame:
+def score_scenarios(model: DataFrame, grid: DataFrame, rounded: bool = True) -> DataFrame:
     """Predicted trips per scenario hour, clipped at zero; to 0.1 unless ``rounded`` is off."""
     keys = ["date"] if "date" in grid.columns else ["day_of_week", "month"]
     value = clipped(F.col("prediction"))
-    return model.transform(grid).select(*keys, "PULocationID", "category", "operator_name", "hour",
+    return boosting.score_trees(grid, model).select(*keys, "PULocationID", "category", "operator_name", "hour",
                                         (round_half_even(value, 1) if rounded else value).alias("predicted"))
 
 

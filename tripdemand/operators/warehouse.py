@@ -6,11 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripdemand.functions import round_half_away
-from tripdemand.operators.cleaning import CLEAN_COLUMNS
-from tripdemand.operators.ids import dense_row_numbers, file_row_numbers
+from tripdemand.operators.ids import file_row_numbers
 
-# Loading order: services in this order, then file month, as the loader
-# appends file by file.
+# Loading order: services in this order, then file month, then file and place in it.
 SERVICE_ORDER = ("yellow", "fhvhv")
 
 FACT_TYPES = (
@@ -39,65 +37,49 @@ def to_fact_schema(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def conform_fact(clean: DataFrame) -> DataFrame:
-    """Clean trips in fact types, without ids: all that the aggregates read.
-
-    Aggregating never needs the id, so aggregate jobs over freshly cleaned
-    trips skip the id assignment (a global sort) entirely.
-    """
+    """Clean trips in fact types, without ids: all that the aggregates read."""
     return clean.select(*[F.col(n).cast(t).alias(n) for n, t in FACT_TYPES if n != "trip_id"])
 
 
-def load_order(service_col: str = "service", month_col: str = "file_month") -> list[Column]:
-    """Deterministic total order of clean trips for id assignment.
-
-    Service rank, then file month (the file-by-file append order), then every
-    trip column, so only exact copies tie.
-    """
-    rank = F.when(F.col(service_col) == SERVICE_ORDER[0], 0).otherwise(1)
-    return [rank.asc(), F.col(month_col).asc()] + [F.col(c).asc_nulls_first() for c in CLEAN_COLUMNS]
-
-
-def fact_trips(clean: DataFrame, first_id: int = 1, keep: tuple[str, ...] = (),
-               reproducible: bool = True) -> DataFrame:
-    """Clean trips of both services -> ``fact_trips`` with ids first_id..n.
-
-    ``reproducible=True`` numbers trips in ``load_order`` (a range-partitioned
-    sort), so a reload gives every trip the same id. ``False`` numbers them in
-    scan order with no sort, which is all a single-node loader guarantees.
-    Trips of a written clean zone are numbered by ``fact_of_files`` instead.
-    """
-    order = load_order() if reproducible else None
-    with_ids = dense_row_numbers(clean, order, "trip_id", first=first_id)
-    return to_fact_schema(with_ids, keep)
-
-
 def fact_of_files(clean_files: DataFrame, first_id: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
     """A scan of the written clean zone -> ``fact_trips``: yellow first, then month, file and place in it."""
-    rank = F.when(F.col("service") == "yellow", 0).otherwise(1)
-    numbered = file_row_numbers(clean_files.withColumn("_rank", rank), ["_rank", "file_month"], "trip_id", first_id)
+    numbered = file_row_numbers(clean_files.withColumn("_rank", _service_rank()), ["_rank", "file_month"], "trip_id", first_id)
     return to_fact_schema(numbered, keep)
 
 
+def _service_rank() -> Column:
+    return F.when(F.col("service") == SERVICE_ORDER[0], 0).otherwise(1)
+
+
 def max_trip_id(fact: DataFrame) -> DataFrame:
-    """Highest id in an existing fact table (0 when empty): next load's offset - 1."""
+    """Highest id in an existing fact table (0 when empty)."""
     return fact.agg(F.coalesce(F.max("trip_id"), F.lit(0).cast("bigint")).alias("max_trip_id"))
 
 
-def append_fact(fact: DataFrame, clean: DataFrame, keep: tuple[str, ...] = (),
-                reproducible: bool = True) -> DataFrame:
-    """New fact rows for ``clean`` trips, numbered after the existing fact's ids.
+def not_loaded(clean_files: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Clean trips of the (service, file month)s that the load ledger does not name.
 
-    The existing maximum is one scalar (a max aggregate over one column); the returned rows are meant to be appended
-    (``write.mode("append")``) to the fact table.
+    The ledger's keys, one for each loaded file month, become a filter on the clean zone's
+    folders: loaded ones are not opened, and rows keep their place in their files.
     """
-    offset = max_trip_id(fact).first()[0]
-    return fact_trips(clean, first_id=int(offset) + 1, keep=keep, reproducible=reproducible)
+    loaded: dict[str, list[str]] = {}
+    for r in ledger.select("service", "file_month").collect():
+        loaded.setdefault(r.service, []).append(r.file_month)
+    for service, months in sorted(loaded.items()):
+        clean_files = clean_files.filter((F.col("service") != service) | ~F.col("file_month").isin(sorted(months)))
+    return clean_files
+
+
+def next_trip_id(ledger: DataFrame) -> int:
+    """The id after the last one that the ledger has given out."""
+    return int(ledger.agg(F.coalesce(F.max(F.col("first_id") + F.col("row_count")), F.lit(1))).first()[0])
 
 
-def append_files(fact: DataFrame, clean_files: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The same for a scan of written clean files: numbered by their place, without a sort."""
-    offset = max_trip_id(fact).first()[0]
-    return fact_of_files(clean_files, first_id=int(offset) + 1, keep=keep)
+def ledger_rows(clean_files: DataFrame, first_id: int = 1) -> DataFrame:
+    """One row per (service, file month): its trips and the first id that ``fact_of_files`` gives them."""
+    counts = clean_files.groupBy("service", "file_month").agg(F.count(F.lit(1)).alias("row_count"))
+    before = Window.orderBy(_service_rank(), "file_month").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("service", "file_month", "row_count", (F.coalesce(F.sum("row_count").over(before), F.lit(0)) + first_id).alias("first_id"))
 
 
 def id_blocks(fact: DataFrame) -> DataFrame:

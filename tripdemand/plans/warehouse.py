@@ -1,8 +1,8 @@
 """Composite jobs: land -> clean -> star schema -> aggregates -> model.
 
-Each stage writes its output and the next stage reads it back, so lineage is
-cut at every table boundary: a lost executor recomputes at most one stage,
-and every table is reusable by the report and model jobs.
+The clean zone is published first, then all tables of the star schema in one commit
+(``sources.commits``): a failed batch leaves every table as it was. Each stage reads what
+the one before has written, so a lost executor costs at most one stage.
 """
 
 from __future__ import annotations
@@ -15,26 +15,32 @@ from pyspark.sql import functions as F
 from tripdemand.operators import aggregates, cleaning, ml, quality, warehouse
 from tripdemand.operators import weather as wx
 from tripdemand.plans import model
-from tripdemand.session import path_exists
+from tripdemand.sources import commits, zones
 from tripdemand.sources import trips as src
-from tripdemand.sources import zones
 
 # column whose values name the folders of a table; not part of its rows
 FOLDERS = {"fact_trips": "file_month", "agg_hourly_demand": "month_key", "agg_zone_demand": "month_key"}
 TABLES = ("dim_location", "dim_operator", "fact_trips", "agg_hourly_demand", "agg_zone_demand")
+#: Which (service, file month) is in the fact, with how many rows and from which id.
+LEDGER = "load_ledger"
+#: Mergeable sums per hour, zone and operator, in folders by pickup month and file month.
+STATE, STATE_FOLDERS = "trip_state", ("month_key", "file_month")
 
 
-def _write(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def clean_months(spark: SparkSession, raw_root: str, months: Sequence[str]) -> DataFrame:
+    """Both services' landed files of the months, cleaned; an error if one has not landed."""
+    missing = [f"{s} {m}" for s in src.SERVICES for m in sorted(set(months) - set(src.landed_months(spark, raw_root, s, months)))]
+    if missing:
+        raise FileNotFoundError(f"no landed file for {', '.join(missing)} under {raw_root}")
+    return cleaning.union_clean(
+        cleaning.clean_yellow(src.read_trips(spark, raw_root, "yellow", months)),
+        cleaning.clean_hvfhv(src.read_trips(spark, raw_root, "fhvhv", months)))
 
 
 def build_warehouse(spark: SparkSession, raw_root: str, out_root: str, months: Sequence[str],
                     weather_hourly: DataFrame, zone_lookup: DataFrame | None = None,
                     model_cut: str | None = None, **model_params) -> dict[str, str]:
-    """Run the batch: returns table name -> written path.
+    """Run the batch: returns table name -> the folder that now holds it.
 
     ``zone_lookup`` is the public zone CSV as a DataFrame (``read_zones``);
     without it the built-in 55-zone dimension is used.
@@ -46,37 +52,28 @@ def build_warehouse(spark: SparkSession, raw_root: str, out_root: str, months: S
     With ``model_cut`` the demand model is fitted on the dates before it and its
     tables are written beside the others (``plans.model``).
     """
-    missing = [f"{s} {m}" for s in src.SERVICES for m in sorted(set(months) - set(src.landed_months(spark, raw_root, s, months)))]
-    if missing:
-        raise FileNotFoundError(f"no landed file for {', '.join(missing)} under {raw_root}")
     out = out_root.rstrip("/")
-    paths = {t: f"{out}/{t}" for t in TABLES + ("clean", "dim_weather")}
 
     # 1. clean both services in one scan each, written per (service, month)
-    clean = cleaning.union_clean(
-        cleaning.clean_yellow(src.read_trips(spark, raw_root, "yellow", months)),
-        cleaning.clean_hvfhv(src.read_trips(spark, raw_root, "fhvhv", months)))
-    src.write_clean(clean, paths["clean"], months)
+    src.write_clean(clean_months(spark, raw_root, months), f"{out}/clean", months)
+    clean = src.read_clean(spark, f"{out}/clean", months=months)
 
-    # 2. dimensions (small, fixed size)
-    loc = (zones.dim_location(zone_lookup) if zone_lookup is not None
-           else zones.builtin_dim_location(spark))
-    _write(loc, paths["dim_location"])
-    _write(zones.dim_operator(spark), paths["dim_operator"])
-    _write(wx.build_dim_weather(weather_hourly), paths["dim_weather"])
+    # 2. dimensions (small, fixed size) and the weather
+    change = commits.Change(spark, out)
+    change.replace("dim_location", zones.dim_location(zone_lookup) if zone_lookup is not None else zones.builtin_dim_location(spark))
+    change.replace("dim_operator", zones.dim_operator(spark))
+    change.replace("dim_weather", wx.build_dim_weather(weather_hourly))
 
-    # 3. fact with dense ids, partitioned by landing month
-    clean_back = src.read_clean(spark, paths["clean"], clean.schema, months)
-    fact = warehouse.fact_of_files(clean_back, keep=("file_month",))
-    _write(fact, paths["fact_trips"], ["file_month"])
+    # 3. fact with dense ids, partitioned by landing month, and what was loaded
+    change.replace("fact_trips", warehouse.fact_of_files(clean, keep=("file_month",)), ["file_month"])
+    change.replace(LEDGER, warehouse.ledger_rows(clean))
 
     # 4. aggregates from the written tables
-    fact = spark.read.parquet(paths["fact_trips"])
-    ops = spark.read.parquet(paths["dim_operator"])
-    hourly = aggregates.agg_hourly_demand(fact, ops, spark.read.parquet(paths["dim_weather"]))
-    _write(hourly.withColumn("month_key", F.date_format("date", "yyyy-MM")), paths["agg_hourly_demand"], ["month_key"])
-    zone = aggregates.agg_zone_demand(fact, ops, spark.read.parquet(paths["dim_location"]))
-    _write(zone.withColumn("month_key", F.date_format("month", "yyyy-MM")), paths["agg_zone_demand"], ["month_key"])
+    change.replace(STATE, _state(change.staged("fact_trips")), STATE_FOLDERS)
+    for table, rows in _demand(change, change.staged(STATE)).items():
+        change.replace(table, rows, [FOLDERS[table]])
+    change.publish()
+    paths = {t: commits.table_path(spark, out, t) for t in (*TABLES, "dim_weather")} | {"clean": f"{out}/clean"}
 
     # 5. the demand model, from the written aggregate
     if model_cut:
@@ -85,6 +82,73 @@ def build_warehouse(spark: SparkSession, raw_root: str, out_root: str, months: S
     return paths
 
 
+def load_fact(spark: SparkSession, out_root: str, clean: DataFrame) -> int:
+    """Publish the clean files that the ledger of ``out_root`` does not name as fact rows; returns the first new id.
+
+    The same files again change nothing.
+    """
+    change = commits.Change(spark, out_root.rstrip("/"))
+    first = _append_fact(change, clean)
+    change.publish()
+    return first
+
+
+def _append_fact(change: commits.Change, clean: DataFrame) -> int:
+    first = 1
+    if LEDGER in change.tables:
+        ledger = change.staged(LEDGER)
+        clean, first = warehouse.not_loaded(clean, ledger), warehouse.next_trip_id(ledger)
+    change.append("fact_trips", warehouse.fact_of_files(clean, first, keep=("file_month",)), ["file_month"])
+    change.append(LEDGER, warehouse.ledger_rows(clean, first))
+    return first
+
+
+def append_months(spark: SparkSession, raw_root: str, out_root: str, months: Sequence[str],
+                  weather_hourly: DataFrame | None = None) -> list[str]:
+    """Load further months into a built warehouse; returns the months that were new.
+
+    Months that the ledger names for both services are left alone, so a repeated call changes
+    nothing, and one after a failure does what is left. New trips are numbered after the
+    ledger's last id. Only their files are read: they are added to the fact, their state to
+    the states, and the aggregates' folders of the pickup months they touch are made
+    again from the states. ``weather_hourly`` adds the hours that the weather does not have yet.
+    """
+    out = out_root.rstrip("/")
+    change = commits.Change(spark, out)
+    ledger = read_table(spark, out, LEDGER)
+    loaded = {(r.service, r.file_month) for r in ledger.select("service", "file_month").collect()}
+    new = [m for m in sorted(set(months)) if not all((s, m) in loaded for s in src.SERVICES)]
+    if not new:
+        return []
+    src.write_clean(clean_months(spark, raw_root, new), f"{out}/clean", new)
+    first = _append_fact(change, src.read_clean(spark, f"{out}/clean", months=new))
+    if weather_hourly is not None:
+        hours = wx.build_dim_weather(weather_hourly)
+        known = read_table(spark, out, "dim_weather").select("date", "hour").distinct()
+        change.append("dim_weather", hours.join(known, ["date", "hour"], "left_anti").select(*hours.columns))
+    added = _state(change.staged("fact_trips").where(F.col("file_month").isin(new) & (F.col("trip_id") >= first)))
+    change.append(STATE, added, STATE_FOLDERS)
+    # one row per pickup month that the new files touch
+    touched = [r[0] for r in change.staged(STATE).where(F.col("file_month").isin(new)).select("month_key").distinct().collect()]
+    for table, rows in _demand(change, change.staged(STATE).where(F.col("month_key").isin(touched))).items():
+        change.replace_parts(table, rows, [FOLDERS[table]])
+    change.publish()
+    return new
+
+
+def _state(fact: DataFrame) -> DataFrame:
+    return aggregates.trip_state(fact, ["file_month"]).withColumn("month_key", F.date_format("date", "yyyy-MM"))
+
+
+def _demand(change: commits.Change, state: DataFrame) -> dict[str, DataFrame]:
+    """Both demand tables of some states."""
+    ops = change.staged("dim_operator")
+    hourly = aggregates.hourly_of_state(state, ops, change.staged("dim_weather"))
+    zone = aggregates.zone_of_state(state, ops, change.staged("dim_location"))
+    return {"agg_hourly_demand": hourly.withColumn("month_key", F.date_format("date", "yyyy-MM")),
+            "agg_zone_demand": zone.withColumn("month_key", F.date_format("month", "yyyy-MM"))}
+
+
 def read_table(spark: SparkSession, out_root: str, name: str, columns: Sequence[str] | None = None,
                order: Sequence[str] | None = None, months: Sequence[str] | None = None, folder: bool = False) -> DataFrame:
     """A table of a written warehouse: the named columns, in the named order of rows.
@@ -92,7 +156,7 @@ def read_table(spark: SparkSession, out_root: str, name: str, columns: Sequence[
     ``months`` (YYYY-MM) prunes whole folders of the tables that have them;
     ``folder`` keeps the column that names the folders.
     """
-    df = spark.read.parquet(f"{out_root.rstrip('/')}/{name}")
+    df = commits.read_committed(spark, out_root, name)
     key = FOLDERS.get(name)
     if months is not None:
         if key is None:
@@ -107,7 +171,7 @@ def read_table(spark: SparkSession, out_root: str, name: str, columns: Sequence[
 
 def read_weather(spark: SparkSession, out_root: str, payloads: str) -> DataFrame:
     """``dim_weather`` of a warehouse, or where it was never written, the same rows from the payloads."""
-    if path_exists(spark, f"{out_root.rstrip('/')}/dim_weather"):
+    if commits.has_table(spark, out_root.rstrip("/"), "dim_weather"):
         return read_table(spark, out_root, "dim_weather")
     return wx.build_dim_weather(wx.explode_weather(spark.read.text(payloads), "value"))
 

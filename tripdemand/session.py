@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -38,7 +40,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
@@ -103,3 +104,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written tables."""
     root = checkpoint_dir(spark)
     return f"{root.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package: sent once a session, unless their path names it."""
+    sc = spark.sparkContext
+    package = Path(__file__).resolve().parent
+    if str(package.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_has_package", None):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"  # the driver's own copy; Spark sends it on
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._has_package = True

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from tripdemand.functions import literal_frame
+from tripdemand.sources import commits
 
 SERVICES = ("yellow", "fhvhv")
 FILE_MONTH_PATTERN = r"_tripdata_(\d{4}-\d{2})\.parquet"
@@ -137,28 +138,26 @@ def landed_months(spark: SparkSession, root: str, service: str, months: Iterable
     return found
 
 
+CLEAN = "trips"
+CLEAN_PARTS = ("service", "file_month")
+
+
 def write_clean(df: DataFrame, path: str, months: Iterable[str] | None = None) -> None:
-    """Write cleaned trips partitioned by service and file month.
+    """Write cleaned trips in folders by service and file month, and publish them at once.
 
-    Dynamic partition overwrite replaces the months present in ``df``. Of the
-    requested ``months``, those of which a rerun keeps no rows are removed
-    first, so no rows of an earlier run survive.
+    The months present in ``df`` are replaced, and of the requested ``months`` those of which
+    ``df`` has no rows are emptied; other months stay. Until the write is published every
+    reader sees the months as they were, and so it stays if the write fails.
     """
-    if months is not None:
-        spark = df.sparkSession
-        fs = spark._jvm.org.apache.hadoop.fs
-        for month in sorted(set(months)):
-            for service in SERVICES:
-                old = fs.Path(f"{path.rstrip('/')}/service={service}/file_month={month}")
-                old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
-    (df.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("service", "file_month")
-     .parquet(path))
+    change = commits.Change(df.sparkSession, path)
+    gone = [f"service={s}/file_month={m}" for s in SERVICES for m in sorted(set(months or ()))]
+    change.replace_parts(CLEAN, df, CLEAN_PARTS, gone)
+    change.publish()
 
 
 def read_clean(spark: SparkSession, path: str, schema: T.StructType | None = None, months: Iterable[str] | None = None) -> DataFrame:
-    """The clean zone, or the requested months of it (whole folders are pruned)."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    clean = reader.parquet(path)
+    """The published clean zone, or the requested months of it (whole folders are pruned), with the columns of ``schema``."""
+    clean = commits.read_committed(spark, path, CLEAN)
+    if schema is not None:
+        clean = clean.select(*(F.col(f.name).cast(f.dataType) for f in schema))
     return clean if months is None else clean.filter(F.col("file_month").isin(sorted(set(months))))
