@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-from pathlib import Path
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
+from tripdemand.session import checkpoint_dir, on_workers, scratch_path
 
-from tripdemand.session import checkpoint_dir, scratch_path
+__all__ = ["on_workers", "stored", "written"]
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -23,17 +20,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def on_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package: sent once a session, unless their path names it."""
-    sc = spark.sparkContext
-    package = Path(__file__).resolve().parents[1]
-    if str(package.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_has_package", None):
-        return
-    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"  # the driver's own copy; Spark sends it on
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in sorted(package.rglob("*.py")):
-            z.write(f, f.relative_to(package.parent))
-    sc.addPyFile(str(archive))
-    sc._has_package = True
