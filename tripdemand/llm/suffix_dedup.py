@@ -31,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +44,8 @@ SEED = 5
 #: Bytes of text handled at a time when sites are found; keeps the arrays in cache.
 SITE_BYTES = 256 << 10
 CHUNK_BYTES = 4 << 20
+#: Bytes of text cut at a time; each takes some sixteen bytes of counts.
+CUT_BYTES = 1 << 20
 #: Different spans in one suffix array, about.
 SPANS_PER_ARRAY = 8192
 SPANS_PER_ANCHOR = 20_000
@@ -156,8 +159,10 @@ def sort_directly(at: np.ndarray, words: np.ndarray, rest: np.ndarray, depth: in
     return order
 
 
-def suffix_array(sym: np.ndarray, words: np.ndarray, rest: np.ndarray, depth: int) -> np.ndarray:
-    """All suffixes of ``sym`` (0: separator) in the order of at least their first ``depth`` symbols.
+def suffix_array(sym: np.ndarray, words: np.ndarray, rest: np.ndarray, depth: int, asked: np.ndarray | None = None) -> np.ndarray:
+    """The suffixes of ``sym`` (0: separator) in the order of at least their first ``depth`` symbols.
+
+    With ``asked`` (which positions matter), those and the ones their places are induced from.
 
     Two stages. Suffixes smaller than their successors are sorted directly. Every other
     suffix starts with a symbol not below its successor's, so it comes later in the scan
@@ -166,22 +171,30 @@ def suffix_array(sym: np.ndarray, words: np.ndarray, rest: np.ndarray, depth: in
     step = np.append(np.sign(sym[1:].astype(np.int16) - sym[:-1]), -1)
     turn = np.flatnonzero(step)  # a run of equal symbols is decided where it ends
     smaller = step[turn[np.searchsorted(turn, np.arange(len(sym)))]] > 0
-    direct = sort_directly(np.flatnonzero(smaller), words, rest, depth)
+    if asked is None:
+        asked = np.ones(len(sym), bool)
+    # a suffix that is induced needs its successors, up to one that is sorted directly
+    need = asked.copy()
+    edge = np.flatnonzero(asked & ~np.append(asked[1:], False) & ~smaller)
+    sorted_ones = np.append(np.flatnonzero(smaller), len(sym) - 1)
+    need[ranges(edge + 1, sorted_ones[np.searchsorted(sorted_ones[:-1], edge)] - edge)] = True
+    direct = sort_directly(np.flatnonzero(smaller & need), words, rest, depth)
     heads = sym[direct]
     pending: dict[int, list[np.ndarray]] = {int(c): [] for c in np.flatnonzero(np.bincount(sym, minlength=256))}
-    pending[int(sym[-1])].append(np.array([len(sym) - 1]))
+    if need[-1]:
+        pending[int(sym[-1])].append(np.array([len(sym) - 1]))
     out = []
     for c in sorted(pending):
         own = np.concatenate([*pending[c], np.zeros(0, np.int64)])
         larger = [own]
         while len(own):  # runs of the same symbol induce within their bucket
             own = own[own > 0] - 1
-            own = own[(sym[own] == c) & ~smaller[own]]
+            own = own[(sym[own] == c) & ~smaller[own] & need[own]]
             larger.append(own)
         bucket = np.concatenate([*larger, direct[np.searchsorted(heads, c) : np.searchsorted(heads, c, "right")]])
         out.append(bucket)
         before = bucket[bucket > 0] - 1
-        before = before[sym[before] > c]
+        before = before[(sym[before] > c) & need[before]]
         to = sym[before]
         before = before[np.argsort(to, kind="stable")]
         sizes = np.bincount(to, minlength=256)
@@ -199,10 +212,10 @@ def repeated_windows(spans: list[bytes], windows: list[int], length: int = LENGT
     sym = np.frombuffer(b"\xff".join([*spans, b""]), np.uint8) + np.uint8(1)  # no byte of UTF-8 is 0xff
     rest = np.repeat(ends - 1, sizes + 1) - np.arange(len(sym))
     words = next_words(sym, rest)
-    order = suffix_array(sym, words, rest, length)
     is_window = np.zeros(len(sym), bool)
     counts = np.array(windows, np.int64)
     is_window[ranges(starts, counts)] = True
+    order = suffix_array(sym, words, rest, length, is_window)
     order = order[is_window[order]]
     # common prefixes of neighbours, eight symbols at a time, as far as a window
     a, b = order[:-1], order[1:]
@@ -250,16 +263,20 @@ def resolve_spans(spans: DataFrame, spans_per_anchor: int = SPANS_PER_ANCHOR) ->
 # documents --------------------------------------------------------------------
 
 
-def cut_out(data: bytes, marks: list[tuple[int, int, np.ndarray | None]], length: int = LENGTH) -> tuple[int, int, bytes]:
-    """(bytes removed, runs removed, bytes kept) for marks (first window, windows, repeated ones or None for all)."""
-    step = np.zeros(len(data) + 1, np.int32)
-    for lo, n, dup in marks:
-        at = lo + (np.arange(n) if dup is None else np.asarray(dup))
-        step[at] += 1
-        step[at + length] -= 1
-    gone = np.cumsum(step[:-1]) > 0
-    runs = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[:1].sum())
-    return int(gone.sum()), runs, np.frombuffer(data, np.uint8)[~gone].tobytes()
+def cut_out(data: np.ndarray, starts: np.ndarray, marks: pa.ListArray, length: int = LENGTH) -> np.ndarray:
+    """Which bytes of documents laid end to end are removed, for each document's marks
+    (first window, windows, the repeated ones or null for all)."""
+    doc = np.repeat(np.arange(len(marks)), pc.fill_null(pc.list_value_length(marks), 0).to_numpy(zero_copy_only=False))
+    mark = pc.list_flatten(marks)
+    lo = starts[doc] + mark.field("lo").to_numpy(zero_copy_only=False)
+    dup = mark.field("dup")
+    whole = pc.is_null(dup).to_numpy(zero_copy_only=False)
+    some = np.repeat(lo, pc.fill_null(pc.list_value_length(dup), 0).to_numpy(zero_copy_only=False)) + pc.list_flatten(dup).to_numpy(zero_copy_only=False)
+    n = mark.field("n").to_numpy(zero_copy_only=False)
+    # a window removes its bytes; a stretch of windows, all up to the last one's end
+    change = np.bincount(np.concatenate([lo[whole], some]).astype(np.int64), minlength=len(data) + 1)
+    change -= np.bincount(np.concatenate([(lo + n - 1 + length)[whole], some + length]).astype(np.int64), minlength=len(data) + 1)
+    return np.cumsum(change[:-1]) > 0
 
 
 RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -309,11 +326,17 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marks = shared.select("a", "g", "k1", "k2", "lo", "n").join(verdict, ["a", "g"]).groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "n", "dup")).alias("marks"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "data", CHUNK_BYTES):
-            rows = [cut_out(d, [(m["lo"], m["n"], m["dup"]) for m in own or ()]) for d, own in zip(strings(batch.column("data")), batch.column("marks").to_pylist(), strict=True)]
-            gone, runs, kept = zip(*rows, strict=True)
+        for batch in chunks(batches, "data", CUT_BYTES):
+            data, starts = _flat(batch.column("data"))
+            gone = cut_out(data, starts, batch.column("marks"))
+            head = gone & ~np.append(False, gone[:-1])
+            head[starts[:-1][np.diff(starts) > 0]] = gone[starts[:-1][np.diff(starts) > 0]]  # documents end runs
+            count = lambda x: np.diff(np.append(0, np.cumsum(x))[starts])
+            left = np.append(0, np.cumsum(~gone))[starts].tolist()
+            kept = data[~gone].tobytes()
+            kept = [kept[a:b] for a, b in zip(left, left[1:], strict=False)]
             cols = [
-                batch.column("id"), batch.column("n_bytes"), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()),
+                batch.column("id"), batch.column("n_bytes"), pa.array(count(gone), pa.int64()), pa.array(count(head), pa.int64()),
                 pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array([k if with_kept else None for k in kept], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(cols, ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
