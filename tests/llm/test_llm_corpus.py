@@ -290,24 +290,20 @@ def test_copies_of_short_documents(spark, tmp_path):
 
 
 def naive_topk(rows, k):
-    ints = {}
-    for i, v in rows:
-        if i is not None and v and all(x is not None and np.isfinite(x) for x in v):
-            q = [int(np.floor(256.0 * x)) for x in v]
-            ints[i] = min(ints.get(i, q), q)
+    ints = [(i, [int(np.floor(256.0 * x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q in sorted(ints):
+    for r, (q, u) in enumerate(ints):
         if q % 5 == 0:
-            best = sorted((-sum(a * b for a, b in zip(ints[q], v, strict=False)), i) for i, v in ints.items() if i != q)[:k]
-            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
-    return out
+            best = sorted((-sum(a * b for a, b in zip(u, v, strict=False)), i) for o, (i, v) in enumerate(ints) if o != r)[:k]
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    return sorted(out)
 
 
 @pytest.mark.parametrize("sizes", [(8192, 512), (7, 3)])
 def test_topk_equals_brute_force(spark, sizes):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.normal(size=9)]) for i in range(60)]
-    rows += [(60 + i, [0.5] * 9) for i in range(30)] + [(90, None), (91, []), (92, [1.0, None]), (93, [float("nan")] * 9), (94, [float("inf")] * 9), (None, [9.0] * 9), (95, [1.0, 2.0]), (3, rows[3][1]), (7, [0.0] * 9), (96, [-3.0] * 9), (100, [4000.0] * 9)]
+    rows += [(60 + i, [0.5] * 9) for i in range(30)] + [(90, None), (91, []), (92, [1.0, None]), (93, [float("nan")] * 9), (94, [float("inf")] * 9), (None, [9.0] * 9), (95, [1.0, 2.0]), (3, rows[3][1]), (5, rows[5][1]), (10, [1.0] * 9), (7, [0.0] * 9), (96, [-3.0] * 9), (100, [4000.0] * 9)]
     table = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<double>, score int, block int")
     got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in K.exact_topk(table, F.col("vec_id") % 5 == 0, vectors_per_block=sizes[0], queries_per_block=sizes[1]).collect())
     assert got == naive_topk(rows, 5)
@@ -318,8 +314,20 @@ def test_topk_with_few_or_no_candidates(spark):
     assert [tuple(r) for r in K.exact_topk(table, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 256 * 512)]
     assert K.exact_topk(table.where("vec_id = 0"), F.lit(True)).collect() == []
     assert K.exact_topk(table.limit(0), F.lit(True)).collect() == []
-    huge = spark.createDataFrame([(0, [1e15, 1e15]), (1, [-1e15, 0.0]), (2, [1e300, 0.0])], "vec_id long, embedding array<double>")
-    assert [r.vec_id for r in K.exact_topk(huge, F.col("vec_id") == 0).collect()] == [2, 1]
+
+
+def test_topk_of_empty_vectors_and_numbers_beyond_a_long(spark):
+    vectors = lambda *rows: spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    of_first = lambda t: [(r.vec_id, r.score) for r in K.exact_topk(t, F.col("vec_id") == 0).collect()]
+    assert of_first(vectors([], [])) == [(1, 0)]
+    assert of_first(vectors([-1.0], [], [1.0])) == [(1, 0), (2, -(256**2))]
+    # parts beyond a long whose sum fits: exact
+    big = [2.0**40, 2.0**40, 1.0]
+    assert of_first(vectors(big, [2.0**40, -(2.0**40), 3.0], [0.0, 0.0, 1.0])) == [(1, 3 * 256**2), (2, 256**2)]
+    with pytest.raises(Exception, match="a score does not fit a long"):
+        of_first(vectors(big, big))
+    with pytest.raises(Exception, match="a component does not fit a long"):
+        of_first(vectors([1.0], [1e300]))
 
 
 # pipeline ---------------------------------------------------------------------
@@ -379,6 +387,22 @@ def test_pipeline_of_no_rows(spark):
     assert out.collect() == []
 
 
+def test_pipeline_stages_keep_clashing_columns(spark):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    clashing = ("score", "lang_pred", "_text", "_node", "_row", "_node0", "row", "id", "k1", "_key", "spans", "odd name")
+    given = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60").withColumns({c: F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")) for c in clashing})
+    out = given
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, out, sf)
+        assert out.columns == given.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c}-{r.doc_id}" for r in rows for c in clashing), name
+        out = spark.createDataFrame(rows, out.schema)
+    assert corpus_pipeline.STAGES[-1][1](spark, out, sf).count() == len(rows)
+
+
 def test_queries_against_their_oracles(spark):
     import duckdb
 

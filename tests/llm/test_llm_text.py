@@ -52,17 +52,43 @@ def test_encoding_equals_the_library(spark):
         assert got[i].decoded_sha256 == hashlib.sha256(lib.decode(ids).encode()).hexdigest()
 
 
-def test_long_words_merge_like_short_ones():
+def merged_one_by_one(codec, sym):
+    """A word's pieces: the pair of smallest rank, leftmost first, is merged until none is left."""
+    while len(sym) > 1:
+        rank, at = codec._ranks(np.array(sym[:-1]), np.array(sym[1:]))
+        i = int(rank.argmin())
+        if rank[i] == C.NO_RANK:
+            break
+        sym = [*sym[:i], int(codec.merged[at[i]]), *sym[i + 2 :]]
+    return sym
+
+
+@pytest.mark.parametrize("rounds", [24, 0, 1])
+def test_long_words_merge_like_short_ones(monkeypatch, rounds):
+    monkeypatch.setattr(C, "ROUNDS", rounds)
     pieces, end = C.read_model(PIECES)
     codec = C.PieceCodec(pieces, end)
     words = ["▁" + w for w in random_texts(2, ("abcdeth", "theingre", "lo")) if " " not in w and w]
     flat, n = codec.merge_words(words)
     at = 0
     for w, k in zip(words, n, strict=True):
-        assert codec._merge_long(codec.symbol_of_code[[ord(c) for c in w]].tolist()) == flat[at : at + k].tolist()
+        assert merged_one_by_one(codec, codec.symbol_of_code[[ord(c) for c in w]].tolist()) == flat[at : at + k].tolist()
         at += k
 
 
+def test_very_long_words_equal_the_library():
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    codec = C.PieceCodec(*C.read_model(PIECES))
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(a) for _ in range(n)) for a in ("ab", "theingr", "aeioust", "éàü日本😀", "la", "0123456789abcdef") for n in (40, 300, 3000)]
+    texts += ["a" * 9999, "ha" * 3000, "abab" * 1000 + "c", "x " + "the" * 4000 + " y"]
+    ids, n = codec.encode(texts)
+    for t, own in zip(texts, np.split(ids, np.cumsum(n)[:-1]), strict=True):
+        assert own.tolist() == lib.encode(t, add_eos=True)
+
+
 def test_encoding_of_no_rows(spark):
     assert C.encode_documents(docs(spark, []), PIECES).collect() == []
 
@@ -303,3 +329,191 @@ def test_packing_round_trip(spark, group_tokens):
         ids = np.concatenate([parts[i][o] for o in sorted(parts[i])]).tolist()
         assert ids == [*encoding.encode_ordinary(t or ""), 50256]
     assert T.pack_documents(docs(spark, []), RANKS, public_tokenizers.PATTERN, 50256).collect() == []
+
+
+@pytest.mark.parametrize("rows_per_matrix", [1024, 7])
+def test_packed_matrices(spark, rows_per_matrix):
+    texts = ODD + random_texts(4) + ["long " * 5000]
+    packed = T.pack_documents(docs(spark, texts).repartition(3), RANKS, public_tokenizers.PATTERN, 50256, row_length=128)
+    rows = {r.pack_id: r for r in packed.collect()}
+    found = T.packed_matrices(packed, 50257, 128, rows_per_matrix).collect()
+    assert len({m.matrix for m in found}) == len(found) and sorted(p for m in found for p in m.pack_ids) == sorted(rows)
+    for m in found:
+        assert m.n_rows <= rows_per_matrix and m.width == 128
+        ids, positions = np.frombuffer(m.ids, np.uint16).reshape(m.n_rows, 128), np.frombuffer(m.positions, np.int32).reshape(m.n_rows, 128)
+        used, ends = np.frombuffer(m.n_tokens, np.int32), []
+        for i, p in enumerate(m.pack_ids):
+            r = rows[p]
+            assert ids[i].tobytes() == r.ids + np.full(128 - r.n_tokens, 50257, np.uint16).tobytes() and used[i] == r.n_tokens
+            assert positions[i, : used[i]].tobytes() == r.positions and not positions[i, used[i] :].any()
+            ends += [i * 128 + c for c in r.cu_seqlens[1:]] + [(i + 1) * 128] * (r.n_tokens < 128)
+        assert np.frombuffer(m.cu_seqlens, np.int32).tolist() == [0, *ends] and ends[-1] == m.n_rows * 128
+    assert T.packed_matrices(packed.limit(0), 50257, 128).collect() == []
+
+
+# Templates against brute force ----------------------------------------------------
+
+
+def plain_templates(rows):
+    """Host -> the numbers of the tokens of its valid classes, from whole occurrence vectors."""
+    hosts = {}
+    for url, page in rows:
+        hosts.setdefault(url.split("/")[2], []).append(page)
+    out = {}
+    for host, pages in hosts.items():
+        counts = [X.page_tokens(p)[0] for p in pages]
+        classes = {}
+        for token in set().union(*counts):
+            classes.setdefault(tuple(c[token] for c in counts), []).append(token)
+        valid = [(v, m) for v, m in classes.items() if len(m) >= X.LEAST_TOKENS and any(t % 2 == 0 for t in m)]
+        out[host] = {t for v, m in valid for t in m if sum(x > 0 for x in v) >= max(X.LEAST_PAGES, len(pages) / 2)}
+    return out
+
+
+def bare_page(rng, fixed, host):
+    """A page without any telling name: fixed texts of the host around an unknown number of paragraphs."""
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(6))
+    rows = "".join(f"<div><div>{' '.join(word() for _ in range(rng.randint(5, 30)))}</div></div>" for _ in range(rng.randint(1, 6)))
+    return f"<html><body><div><div>{fixed[0]}</div><div>{fixed[1]}</div></div><div>{rows}<div>{word()} {word()}</div></div><div><div>{fixed[2]} {host}</div></div></body></html>", rows
+
+
+def test_templates_equal_whole_occurrence_vectors(spark):
+    rng = random.Random(4)
+    rows, kept, fixed_texts = [], {}, {}
+    for h, n in (("one", 1), ("two", 2), ("three", 3), ("many", 40), ("hot", 160)):
+        fixed = fixed_texts[h] = [f"{h} menu of the site", f"{h} notice", f"{h} rights"]
+        for i in range(n):
+            page, body = bare_page(rng, fixed, h)
+            rows.append((f"https://{h}/{i}", page))
+            kept[f"https://{h}/{i}"] = body
+    pages = spark.createDataFrame([(i, u, p, 0, "x") for i, (u, p) in enumerate(rows)], "page_id long, url string, html string, template int, host string").repartition(6)
+    got = {r.host: set(r.template or ()) for r in X.deduce_templates(pages, "url", "html").collect()}
+    assert got == plain_templates(rows)
+    texts = {r.url: r.text for r in X.extract_main_text(pages).collect()}
+    for url, text in texts.items():
+        host = url.split("/")[2]
+        # the template alone tells the host's fixed texts from the rest
+        assert any(f in text for f in fixed_texts[host]) == (host in ("one", "two"))
+        assert all(p in text for p in kept[url].replace("<div>", "").split("</div></div>") if p)
+
+
+@pytest.mark.parametrize("element", ['h1 class="banner"', 'p class="social-science"', 'p class="copyright-law"', 'div id="discussion"', 'p id="search-results"',
+                                     'ul class="menu"', 'dl class="tags-explained"', 'blockquote class="comment-quote"', 'section id="related-work"', 'div class="sidebar-notes"'])
+def test_words_of_names_drop_nothing_from_an_article(element):
+    name = element.split()[0]
+    inner = {"ul": "<li>kept text</li>", "dl": "<dt>kept text</dt>"}.get(name, "kept text")
+    page = f"<html><body><nav>menu</nav><article><h2>Title</h2><p>{'words ' * 30}</p><{element}>{inner}</{name}></article><div class='comments'>reader</div></body></html>"
+    blocks = X.main_blocks(page, None, frozenset())
+    assert "kept text" in blocks and "menu" not in blocks and "reader" not in blocks
+
+
+@pytest.mark.parametrize("element", ['aside', 'nav', 'form', 'footer', 'div role="navigation"', 'div class="ad"', 'section class="comments"', 'div id="disqus_thread"', 'ul class="share-buttons"', 'div hidden'])
+def test_elements_roles_and_whole_names_leave_an_article(element):
+    name = element.split()[0]
+    inner = "<li>gone text</li>" if name == "ul" else "gone text"
+    page = f"<html><body><article><h2>Title</h2><p>{'words ' * 30}</p><{element}>{inner}</{name}></article></body></html>"
+    assert "gone text" not in " ".join(X.main_blocks(page, None, frozenset()))
+
+
+# Secrets and languages against brute force ------------------------------------------
+
+
+VALUE = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+
+
+def ascii_lower(c):
+    return chr(ord(c) + 32) if "A" <= c <= "Z" else c
+
+
+def plain_assign(text, i):
+    """The end of an assignment that starts at i, and its value, character by character."""
+    for word in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+        if "".join(map(ascii_lower, text[i : i + len(word)])) != word:
+            continue
+        j = i + len(word)
+        j += text[j : j + 1] in ('"', "'") and text[j : j + 1] != ""
+        while text[j : j + 1] == " ":
+            j += 1
+        if text[j : j + 1] not in (":", "=") or text[j : j + 1] == "":
+            continue
+        j += 1
+        while text[j : j + 1] == " ":
+            j += 1
+        j += text[j : j + 1] in ('"', "'") and text[j : j + 1] != ""
+        k = j
+        while k < len(text) and text[k] in VALUE:
+            k += 1
+        if k > j:
+            return k, text[j:k]
+    return None
+
+
+def plain_base(text):
+    spans, i = [], 0
+    while i < len(text or ""):
+        m = plain_assign(text, i)
+        if m:
+            spans += [(i, 0, f"assign:{i}:{m[0]}")] * (len(m[1]) >= 6)
+            i = m[0]
+        else:
+            i += 1
+    for order, kind, start, letters, least in ((1, "access", "AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 20), (2, "hex", "", set("0123456789abcdef"), 24)):
+        i = 0
+        while i < len(text or ""):
+            j = i + len(start)
+            while text.startswith(start, i) and j < len(text) and text[j] in letters:
+                j += 1
+            if text.startswith(start, i) and j > i + len(start):
+                spans += [(i, order, f"{kind}:{i}:{j}")] * (j - i >= least)
+                i = j
+            else:
+                i += 1
+    return [s for _, _, s in sorted(spans)]
+
+
+def test_base_spans_equal_a_plain_scan(spark):
+    rng = random.Random(8)
+    parts = ["password", "PassWD", "secret", "Token", "api_key", "APIKEY", "apı_key", "ſecret", '"', "'", " ", "  ", "\t", ":", "=", "==", "abc", "aB3+/_.=-", "x" * 7, "AKIA", "AKIAAKIA", "A1B2C3D4E5F6G7H8", "deadbeef0123456789abcdef", "0123456789ABCDEF", "é", "😀", "\n"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(1500)] + [None, "", "token=" + "a" * 50_000]
+    got = {r.doc_id: r for r in S.scan_secrets(docs(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        want = plain_base(t)
+        assert got[i].base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest(), t
+        assert [got[i][f"n_{k}"] for k in ("assign", "access", "hex")] == [sum(s.startswith(k) for s in want) for k in ("assign", "access", "hex")]
+        assert [s for s in got[i].spans.split(",") if s.split(":")[0] in ("assign", "access", "hex")] == want
+    assert list(S.scan_secrets(docs(spark, texts[:1])).columns[:6]) == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+
+
+def plain_vector(text, dim):
+    """The sum of the trigram vectors of a text, one trigram after the other."""
+    letters = " "
+    for c in text or "":
+        c = c.lower() if c.isalpha() and len(c.lower()) == 1 else c if c.isalpha() else " "
+        letters += c if c != " " or letters[-1] != " " else ""
+    letters += "" if letters[-1] == " " else " "
+    codes = [0 if c == " " else ord(c) for c in letters]
+    table = {c: L.letter_vectors(np.array([c]), dim, L.SEED)[0].astype(np.int64) for c in set(codes)}
+    out = np.zeros(dim, np.int64)
+    for a, b, c in zip(codes, codes[1:], codes[2:]):
+        if a or b or c:
+            out += np.roll(table[a], 2) * np.roll(table[b], 1) * table[c]
+    return out
+
+
+def test_predictions_equal_a_plain_nearest_prototype(spark):
+    rng = random.Random(6)
+    alphabet = {"aa": "abcde", "bb": "defgh", "cc": "éßaxyz"}
+    make = lambda k: " ".join("".join(rng.choice(alphabet[k]) for _ in range(rng.randint(1, 7))) for _ in range(rng.randint(1, 12)))
+    rows = [(i, make(k), k if i % 4 else None) for i, k in enumerate(rng.choices(list(alphabet), k=60))] + [(60, None, "aa"), (61, "12 !", "bb"), (62, "ABCDE Éa", None), (63, "zzz", None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels, prototypes = L.fit_prototypes(table)
+    want = {k: sum(plain_vector(t, L.DIMENSION) for _, t, lang in rows if lang == k and t) for k in alphabet}
+    assert labels == sorted(alphabet) and all((prototypes[i] == want[k]).all() for i, k in enumerate(labels))
+    for r in L.predict_language(table, labels, prototypes, [F.col("doc_id")]).collect():
+        v = plain_vector(rows[r.doc_id][1], L.DIMENSION)
+        if not v.any():
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        cos = {k: float(v @ p) / (float(v @ v) ** 0.5 * float(p @ p) ** 0.5) for k, p in want.items()}
+        best = max(sorted(cos), key=lambda k: cos[k])
+        assert r.lang_pred == best and r.score == pytest.approx(min(1, max(0, cos[best])), abs=1e-9)

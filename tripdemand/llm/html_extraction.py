@@ -23,8 +23,10 @@ wide as the page what the articles hold; on pages without one, every slot is con
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are
 left out by element, role and class name wherever they are. A page (or its article) whose
 text is all template text keeps it. A name or a form around an article (or main element) with
-most of the page's text is layout, unless it names reader comments; ids of headings, and
-of sections of an article, are anchors and tell nothing. Outside articles blocks that are
+most of the page's text is layout, unless it names reader comments; ids of headings are
+anchors and tell nothing. Inside an article (or main element) only elements, roles, the
+template and a few whole names of containers (``FOREIGN_NAMES``) tell; words of names
+do not. Outside articles blocks that are
 links are menus if the container around them holds little else on the host's pages.
 
 Character references are decoded, white space within a block becomes one space, blocks are
@@ -85,6 +87,11 @@ SIDE_WORDS = frozenset(
 #: Of these, what is never a name of the layout around main text; and the ids of such threads.
 THREAD_WORDS = frozenset("comment comments discussion disqus related recommended replies reply respond".split())
 THREAD_IDS = frozenset("comments comment-list disqus_thread replies respond".split())
+#: Whole names of containers that are no part of the article they stand in.
+CONTAINERS = frozenset("div ins ol section ul".split())
+FOREIGN_NAMES = THREAD_IDS | frozenset(
+    "ad ads adsbygoogle advert advertisement adverts breadcrumb breadcrumbs cookie-banner cookie-notice cookies navbar navigation newsletter newsletter-signup notice pagination promo "
+    "reader-comments related related-articles related-posts share share-buttons sharing sidebar signup social social-share sponsored sponsored-content subscribe toolbar widget".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NO_SIDE, LAYOUT, SIDE = 0, 1, 2
 HEADER_WORDS = frozenset(("header", "head"))
@@ -119,15 +126,17 @@ def _side(name: str, attrs: dict[str, str], in_main: bool) -> int:
         return SIDE
     side = LAYOUT if name == "form" or role == "form" else NO_SIDE
     classes, ids = attrs.get("class", "").split(), attrs.get("id", "").split()
-    if name in HEADINGS or in_main and (name == "section" or "section" in classes):  # anchors
-        ids = [x for x in ids if x.lower() in THREAD_IDS and not (in_main and name in HEADINGS)]
+    if in_main:  # words of names say too little there; only a container's whole name
+        return SIDE if name in CONTAINERS and FOREIGN_NAMES.intersection(x.lower() for x in (*classes, *ids)) else side
+    if name in HEADINGS:  # anchors
+        ids = [x for x in ids if x.lower() in THREAD_IDS]
     for label in (*classes, *ids):
         words = _words(label)
         if NEGATING.intersection(words):
             continue
         if THREAD_WORDS.intersection(words):
             return SIDE
-        if SIDE_WORDS.intersection(words) or not in_main and HEADER_WORDS.intersection(words):
+        if SIDE_WORDS.intersection(words) or HEADER_WORDS.intersection(words):
             side = LAYOUT
     return side
 
@@ -364,17 +373,17 @@ def distinct_contents(pages: DataFrame, url_col: str, html_col: str) -> DataFram
     page = F.coalesce(F.col(html_col), F.lit(""))
     text = F.regexp_replace(F.regexp_replace(page, UNSEEN, " "), r"[\s<>]+", " ")
     source = pages.select(host_of(F.col(url_col)).alias("host"), F.unhex(F.md5(text.cast("binary"))).alias("digest"), page.alias("html"))
+    source = written(source, "contents")  # the patterns run once; what follows reads the columns it needs
     key = ["host", "digest"]
     copied = stored(source.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key))
-    source = source.withColumn("page", F.xxhash64("host", "html"))
     some = copied.limit(BROADCAST_HOSTS + 1).count()
-    if not some:
-        return source.select("host", "page", "html")
     if some <= BROADCAST_HOSTS:  # then pages without a copy are not shuffled
         copied = F.broadcast(copied)
-    once = source.join(copied, key, "left_anti")
+    number = F.xxhash64("host", "html").alias("page")
+    if not some:
+        return source.select("host", number, "html")
     copies = source.join(copied, key, "left_semi").groupBy(*key).agg(F.min("html").alias("html"))
-    return once.select("host", "page", "html").unionAll(copies.select("host", F.xxhash64("host", "html").alias("page"), "html"))
+    return source.join(copied, key, "left_anti").select("host", number, "html").unionAll(copies.select("host", number, "html"))
 
 
 def deduce_templates(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
