@@ -30,11 +30,12 @@ from tripdemand.llm.text_arrays import chunks, ranges, strings
 SPACE = "▁"
 NO_RANK = np.int32(2**31 - 1)
 MAX_CODE = 0x110000
-#: Rounds after which the few words still merging (runs of thousands of letters) go on one by one.
+#: Rounds over whole words; what still merges then (words of dozens to thousands of letters) goes on by rank.
 ROUNDS = 24
 #: Words whose ids a worker keeps; beyond it the kept words are dropped and gathered anew.
-KEPT_WORDS = 400_000
-CHUNK_BYTES = 4 << 20
+KEPT_WORDS = 200_000
+#: Bytes of text handled at a time; ids, their decimals and the decoded bytes take some hundred bytes for each.
+CHUNK_BYTES = 1 << 20
 
 
 class PairTable:
@@ -159,11 +160,9 @@ class PieceCodec:
             stay[take + 1] = False
             sym, word = sym[stay], word[stay]
         if len(sym):
-            cuts = np.flatnonzero(np.diff(word)) + 1
-            for s, w in zip(np.split(sym, cuts), np.split(word, cuts), strict=True):
-                one = np.array(self._merge_long(s.tolist()), np.int32)
-                out_sym.append(one)
-                out_word.append(np.full(len(one), w[0], np.int32))
+            one, of = self._merge_by_rank(sym, word)
+            out_sym.append(one)
+            out_word.append(of)
         sym, word = np.concatenate([*out_sym, np.zeros(0, np.int32)]), np.concatenate([*out_word, np.zeros(0, np.int32)])
         order = np.argsort(word, kind="stable")
         sym, word = self._bytes_of_unknown(sym[order], word[order])
@@ -190,30 +189,77 @@ class PieceCodec:
         first = np.append(True, seg[take[1:]] != seg[take[:-1]])
         return take[first | ~early[seg[take]]]
 
-    def _merge_long(self, sym: list[int]) -> list[int]:
-        """One word by a heap of its pairs, smallest rank then leftmost."""
+    def _merge_by_rank(self, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same rounds for long words, of which each changes little: pairs wait under their ranks.
+
+        A round takes the smallest rank that waits, in all words, and looks up only the pairs
+        that its merges make. Each word still meets its pairs smallest rank first, from the left.
+        """
         n = len(sym)
-        nxt, prv = list(range(1, n)) + [-1], [-1, *range(n - 1)]
-        heap: list[tuple[int, int, int, int, int]] = []
-
-        def offer(i: list[int], j: list[int]) -> None:
-            if i:
-                rank, at = self._ranks(np.array([sym[x] for x in i], np.int64), np.array([sym[x] for x in j], np.int64))
-                for k in np.flatnonzero(rank != NO_RANK):
-                    heapq.heappush(heap, (int(rank[k]), i[k], sym[i[k]], sym[j[k]], int(self.merged[at[k]])))
-
-        offer(list(range(n - 1)), list(range(1, n)))
-        while heap:
-            _, i, a, b, new = heapq.heappop(heap)
-            j = nxt[i]
-            if sym[i] != a or j < 0 or sym[j] != b:
+        sym = sym.copy()
+        last, first = np.append(word[1:] != word[:-1], True), np.append(True, word[1:] != word[:-1])
+        nxt, prv = np.where(last, -1, np.arange(1, n + 1)), np.where(first, -1, np.arange(-1, n - 1))
+        rank, at = np.full(n, NO_RANK, np.int32), np.zeros(n, np.int32)
+        made, joined = np.zeros(n, np.int32), np.zeros(n, bool)  # of one round's merges
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def wait(i: np.ndarray) -> None:
+            rank[i], at[i] = NO_RANK, 0
+            i = i[nxt[i] >= 0]
+            rank[i], at[i] = self._ranks(sym[i], sym[nxt[i]])
+            i = i[rank[i] != NO_RANK]
+            i = i[np.argsort(rank[i], kind="stable")]
+            for part in np.split(i, np.flatnonzero(np.diff(rank[i])) + 1):
+                if len(part):
+                    put(int(rank[part[0]]), part)
+
+        def put(r: int, part: np.ndarray) -> None:
+            if r not in waiting:
+                waiting[r] = []
+                heapq.heappush(ranks, r)
+            waiting[r].append(part)
+
+        wait(np.arange(n))
+        while ranks:
+            r = heapq.heappop(ranks)
+            take = np.unique(np.concatenate(waiting.pop(r)))
+            take = take[(rank[take] == r) & (nxt[take] >= 0)]
+            if not len(take):
                 continue
-            sym[i], sym[j], nxt[i] = new, -1, nxt[j]
-            if nxt[i] >= 0:
-                prv[nxt[i]] = i
-            ends = [(x, y) for x, y in ((prv[i], i), (i, nxt[i])) if x >= 0 and y >= 0]
-            offer([x for x, _ in ends], [y for _, y in ends])
-        return [s for s in sym if s >= 0]
+            # of a run of overlapping pairs, every second one from the left
+            heads = np.append(True, nxt[take[:-1]] != take[1:])
+            in_run = np.arange(len(take)) - np.flatnonzero(heads)[np.cumsum(heads) - 1]
+            later = take[in_run % 2 == 1]
+            take = take[in_run % 2 == 0]
+            # where a merge makes a pair that goes before the next one, the word's others wait
+            new = self.merged[at[take]]
+            right, left = nxt[nxt[take]], prv[take]
+            made[take], joined[take] = new, True
+            end = nxt[take]
+            whole_left = (left >= 0) & joined[np.maximum(prv[np.maximum(left, 0)], 0)] & (prv[np.maximum(left, 0)] >= 0)
+            left_sym = np.where(whole_left, made[np.maximum(prv[np.maximum(left, 0)], 0)], sym[np.maximum(left, 0)])
+            joined[take] = False
+            low = np.full(len(take), NO_RANK, np.int32)
+            some = np.flatnonzero(left >= 0)
+            low[some] = self._ranks(left_sym[some], new[some])[0]
+            some = np.flatnonzero(right >= 0)
+            low[some] = np.minimum(low[some], self._ranks(new[some], sym[right[some]])[0])
+            lead = np.append(True, word[take[1:]] != word[take[:-1]])
+            group = np.cumsum(lead) - 1
+            early = np.bincount(group, weights=low <= r) > 0
+            go = lead | ~early[group]
+            later = np.concatenate([later, take[~go]])
+            take, new, right, end = take[go], new[go], right[go], end[go]
+            sym[take], rank[end], nxt[take] = new, NO_RANK, right
+            sym[end], nxt[end] = -1, -1
+            prv[right[right >= 0]] = take[right >= 0]
+            before = prv[take]
+            wait(np.unique(np.concatenate([take, before[before >= 0]])))
+            if len(later := later[rank[later] == r]):
+                put(r, later)
+        stay = sym >= 0
+        return sym[stay], word[stay]
 
     def _bytes_of_unknown(self, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         odd = np.flatnonzero(sym >= self.base)

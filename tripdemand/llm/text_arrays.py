@@ -47,6 +47,8 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Powers are kept for later arrays of up to this many bytes; those of longer ones are made for them alone.
+KEPT_POWERS = 1 << 20
 
 
 class RangeHash:
@@ -55,7 +57,9 @@ class RangeHash:
     def __init__(self, data: np.ndarray, base: int = 0x9E3779B97F4A7C15) -> None:
         have = _POWERS.get(base)
         if have is None or len(have[0]) <= len(data):
-            have = _POWERS[base] = powers(base, len(data) + 1), powers(pow(base, -1, 2**64), len(data) + 1)
+            have = powers(base, len(data) + 1), powers(pow(base, -1, 2**64), len(data) + 1)
+            if len(data) <= KEPT_POWERS:
+                _POWERS[base] = have
         self.back = have[1]
         self.sum = np.zeros(len(data) + 1, U64)
         # byte i weighs base ** i; the inverse powers move a range back to the start
