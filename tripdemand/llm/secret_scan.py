@@ -180,22 +180,23 @@ def redacted(text: str | None, spans: list[tuple[str, int, int]], mark: str) ->
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: the id column, n_<kind> (long) of each kind, base_sha256 (SHA-256 of
-    the base spans as ``kind:start:end``, comma-joined) and spans (all of them, joined likewise)."""
+    """One row per input row: the id column, n_<kind> (long) of each base kind, base_sha256 (SHA-256 of
+    the base spans as ``kind:start:end``, comma-joined), spans (all of them, joined likewise), and
+    n_<kind> of the kinds that are confirmed by structure."""
 
     on_workers(docs.sparkSession)
+    more = [k for k in KINDS if k not in BASE_KINDS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text", CHUNK_BYTES):
             found = [find_secrets(t) for t in strings(batch.column("text"))]
-            counts = [pa.array([sum(s[0] == k for s in f) for f in found], pa.int64()) for k in KINDS]
+            counts = {k: pa.array([sum(s[0] == k for s in f) for f in found], pa.int64()) for k in KINDS}
             base = [hashlib.sha256(listed([s for s in f if s[0] in BASE_KINDS]).encode()).hexdigest() for f in found]
-            cols = [batch.column("id"), *counts, pa.array(base), pa.array([listed(f) for f in found])]
-            yield pa.RecordBatch.from_arrays(cols, ["id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
+            cols = [batch.column("id"), *(counts[k] for k in BASE_KINDS), pa.array(base), pa.array([listed(f) for f in found]), *(counts[k] for k in more)]
+            yield pa.RecordBatch.from_arrays(cols, ["id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans", *(f"n_{k}" for k in more)])
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    counts = "".join(f"n_{k} long, " for k in KINDS)
-    schema = f"id {source.schema['id'].dataType.simpleString()}, {counts}base_sha256 string, spans string"
+    schema = f"id {source.schema['id'].dataType.simpleString()}, {''.join(f'n_{k} long, ' for k in BASE_KINDS)}base_sha256 string, spans string{''.join(f', n_{k} long' for k in more)}"
     return source.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
