@@ -151,12 +151,12 @@ ORACLE: dict[str, str] = {
         FROM documents d LEFT JOIN rep ON d.doc_id = rep.k LEFT JOIN cls ON r = cls.a LEFT JOIN links ON r = links.a
         WHERE d.doc_id IS NOT NULL""",
     "op9_exact_topk": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
-                   FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+                   FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
                      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-             s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
-                   FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
-             r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+             s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score, a.r AS query
+                   FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+             r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op11_periodic_runs": RUNS,
     "op12_merkle_manifest": MERKLE,
