@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripdemand.llm.stored import on_workers
 from tripdemand.llm.text_arrays import MIX_A, U64, chunks, mix, strings
@@ -157,5 +158,4 @@ def predict_language(docs: DataFrame, labels: list[str], prototypes: np.ndarray,
             yield pa.RecordBatch.from_arrays(cols, [*batch.schema.names[:-1], "lang_pred", "score"])
 
     source = docs.select(*keep, F.col(text_col).alias("_text"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
-    return source.mapInArrow(run, f"{kept}{', ' if kept else ''}lang_pred string, score double")
+    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))

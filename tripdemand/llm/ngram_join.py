@@ -275,17 +275,18 @@ def one_row_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Texts are the nodes, by a 63-bit number, so ids may repeat, have several texts or be null.
     Rows of one id go by their other columns; texts without words stay.
     """
-    node, row = F.xxhash64(text_col).bitwiseAND(F.lit(2**63 - 1)), F.xxhash64(*docs.columns)
-    worded = docs.where(F.col(text_col).rlike(r"[A-Za-z0-9\x{80}-\x{10FFFF}]"))
-    texts = worded.select(node.alias("_node"), F.col(text_col).alias("_text"))
-    classes = near_duplicate_classes(texts, "_node", "_text", threshold).select("_node", F.col("class_id").alias("_class")).distinct()
-    ranks = worded.select(node.alias("_node"), F.struct(F.col(id_col).isNull().alias("no"), F.col(id_col).alias("id"), row.alias("row")).alias("rank"))
-    classed = stored(ranks.groupBy("_node", "rank").agg(F.count(F.lit(1)).alias("n")).join(classes, "_node"))
+    at, of = (next(f"_{c}{i}" for i in range(len(docs.columns) + 1) if f"_{c}{i}" not in docs.columns) for c in ("node", "row"))  # names that no column has
+    node, row = F.xxhash64(F.col(f"`{text_col}`")).bitwiseAND(F.lit(2**63 - 1)), F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
+    worded = docs.where(F.col(f"`{text_col}`").rlike(r"[A-Za-z0-9\x{80}-\x{10FFFF}]"))
+    texts = worded.select(node.alias(at), F.col(f"`{text_col}`").alias("_text"))
+    classes = near_duplicate_classes(texts, at, "_text", threshold).select(at, F.col("class_id").alias("_class")).distinct()
+    ranks = worded.select(node.alias(at), F.struct(F.col(f"`{id_col}`").isNull().alias("no"), F.col(f"`{id_col}`").alias("id"), row.alias("row")).alias("rank"))
+    classed = stored(ranks.groupBy(at, "rank").agg(F.count(F.lit(1)).alias("n")).join(classes, at))
     first = classed.groupBy("_class").agg(F.min("rank").alias("first"))
-    keys = ["_node", "_row"]
-    gone = classed.join(first, "_class").where(F.col("rank") != F.col("first")).select("_node", F.col("rank.row").alias("_row"))
-    kept = docs.withColumns({"_node": node, "_row": row}).join(gone, keys, "left_anti")
-    equal = classed.join(first, "_class").where((F.col("rank") == F.col("first")) & (F.col("n") > 1)).select("_node", F.col("rank.row").alias("_row"))
+    keys = [at, of]
+    gone = classed.join(first, "_class").where(F.col("rank") != F.col("first")).select(at, F.col("rank.row").alias(of))
+    kept = docs.withColumns({at: node, of: row}).join(gone, keys, "left_anti")
+    equal = classed.join(first, "_class").where((F.col("rank") == F.col("first")) & (F.col("n") > 1)).select(at, F.col("rank.row").alias(of))
     if not equal.isEmpty():  # rows equal in all columns
         kept = kept.join(equal, keys, "left_anti").unionByName(kept.join(equal, keys, "left_semi").dropDuplicates(keys))
-    return kept.select(*docs.columns)
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))

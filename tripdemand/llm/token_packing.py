@@ -249,3 +249,48 @@ def read_row(row: pd.Series | object, kind: type = np.uint16) -> list[tuple[int
     ids = np.frombuffer(row["ids"], kind)
     cuts = row["cu_seqlens"]
     return [(d, o, ids[a:b]) for d, o, a, b in zip(row["doc_ids"], row["offsets"], cuts[:-1], cuts[1:], strict=True)]
+
+
+MATRIX = "matrix long, n_rows int, width int, ids binary, positions binary, cu_seqlens binary, n_tokens binary, pack_ids array<long>"
+
+
+def packed_matrices(packed: DataFrame, pad_id: int, row_length: int = ROW_LENGTH, rows_per_matrix: int = 1024, kind: type = np.uint16) -> DataFrame:
+    """Packed rows as matrices of ``row_length`` columns, ``rows_per_matrix`` rows each (a task's last one fewer).
+
+    ``ids`` is the matrix in row order, each row filled up with ``pad_id``; ``positions`` the
+    matrix of positions (int32), 0 where a segment starts and in the filling; ``n_tokens`` the
+    ids of each row before its filling; ``cu_seqlens`` the ends of all segments in the flattened
+    matrix (int32, from 0), the filling of a row a segment of its own, so that the last is the
+    matrix's size. No shuffle: each task cuts its own rows.
+    """
+
+    def matrix(number: int, rows: pa.Table) -> pa.RecordBatch:
+        n = rows.num_rows
+        ids, positions = np.full((n, row_length), pad_id, kind), np.zeros((n, row_length), np.int32)
+        used = rows.column("n_tokens").to_numpy()
+        ends = []
+        for i, (own, where, cuts) in enumerate(zip(*(rows.column(c).to_pylist() for c in ("ids", "positions", "cu_seqlens")), strict=True)):
+            ids[i, : used[i]] = np.frombuffer(own, kind)
+            positions[i, : used[i]] = np.frombuffer(where, np.int32)
+            ends += [i * row_length + c for c in cuts[1:]] + [(i + 1) * row_length] * int(used[i] < row_length)
+        data = [ids.tobytes(), positions.tobytes(), np.array([0, *ends], np.int32).tobytes(), used.astype(np.int32).tobytes()]
+        cols = [pa.array([number], pa.int64()), pa.array([n], pa.int32()), pa.array([row_length], pa.int32()), *(pa.array([d], pa.binary()) for d in data)]
+        return pa.RecordBatch.from_arrays([*cols, pa.array([rows.column("pack_id").to_pylist()], pa.list_(pa.int64()))], [c.split()[0] for c in MATRIX.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, task, number = [], 0, 0
+        for batch in batches:
+            while batch.num_rows:
+                task = batch.column("task")[0].as_py()
+                room = rows_per_matrix - sum(b.num_rows for b in held)
+                held.append(batch.slice(0, room))
+                batch = batch.slice(room)
+                if sum(b.num_rows for b in held) == rows_per_matrix:
+                    yield matrix((task << 32) + number, pa.Table.from_batches(held))
+                    held, number = [], number + 1
+        if held:
+            yield matrix((task << 32) + number, pa.Table.from_batches(held))
+
+    on_workers(packed.sparkSession)
+    source = packed.select("pack_id", "n_tokens", "ids", "positions", "cu_seqlens", F.spark_partition_id().alias("task"))
+    return source.mapInArrow(run, MATRIX)
