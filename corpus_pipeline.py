@@ -26,9 +26,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels, prototypes = fit_prototypes(docs)
     if not labels:  # nothing to learn from: only texts without letters can be told apart
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    predicted = predict_language(docs, labels, prototypes, [F.col(f"`{c}`") for c in docs.columns])
+    # the row goes as one column, so that none of its columns clashes with what is predicted
+    predicted = predict_language(docs, labels, prototypes, [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")])
     kept = predicted.where(F.col("lang_pred") != UNDETERMINED)
-    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    return kept.select(*(F.col("lang_pred").alias(c) if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
