@@ -21,6 +21,34 @@ def test_malformed_weather_fails(spark, payload):
         wx.explode_weather(spark.createDataFrame([(payload,)], "payload string")).collect()
 
 
+def test_payload_files_of_one_object_or_one_a_line(spark, tmp_path):
+    import json
+
+    days = [json.loads(r.payload) for r in wx.weather_payload(catalog.weather_hourly_df(spark, SF_SMALL)).collect()]
+    one = {"latitude": 40.7, "hourly": {k: [x for d in days for x in d["hourly"].get(k, [None] * len(d["hourly"]["time"]))] for k in ["time", *(f[0] for f in wx.PAYLOAD_FIELDS)]}}
+    texts = {"pretty": json.dumps(one, indent=2), "single": json.dumps(one), "lines": "\n".join(map(json.dumps, days)) + "\n\n"}
+    rows = {}
+    for name, text in texts.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "payload.json").write_text(text)
+        rows[name] = sorted(map(str, wx.explode_weather(wx.read_payloads(spark, str(tmp_path / name)), "value").collect()))
+    assert rows["pretty"] == rows["single"] == rows["lines"] and len(rows["lines"]) > 24
+    (tmp_path / "lines" / "more.json").write_text(texts["pretty"])  # both kinds in one folder
+    assert wx.read_payloads(spark, str(tmp_path / "lines")).count() == len(days) + 1
+    (tmp_path / "single" / "broken.json").write_text("{\n\"hourly\": ")
+    with pytest.raises(Exception, match="(?i)payload|malformed"):
+        wx.explode_weather(wx.read_payloads(spark, str(tmp_path / "single")), "value").collect()
+
+
+def test_measures_are_averaged_as_they_are(spark):
+    import datetime as dt
+
+    hours = spark.createDataFrame([(dt.date(2024, 1, 1), t, p) for t, p in ((12.34, 0.004), (12.34, 0.004), (12.38, 0.052))], "date date, temperature double, precipitation double")
+    day = hours.withColumns({"snowfall": F.lit(0.0), "is_rain": F.lit(0), "is_snow": F.lit(0)})
+    row = wx.weather_daily(day).first()
+    assert row.avg_temp == 12.4 and row.total_precip == 0.1  # 12.353..., 0.06
+
+
 def test_a_month_emptied_by_a_rerun_is_emptied(spark):
     path = scratch_path(spark, "rewrite")
     clean = catalog.clean_all_df(spark, SF_SMALL)

@@ -33,6 +33,17 @@ def test_clean_new_files_is_incremental(spark):
     assert final.exceptAll(expect).count() == 0 and expect.exceptAll(final).count() == 0
 
 
+def test_stream_reads_wide_integers_like_the_batch(spark):
+    root = scratch_path(spark, "stream-wide")
+    wide = fx.raw_yellow(spark, SF_SMALL).withColumns({c: F.col(c).cast("long") for c in ("VendorID", "PULocationID", "DOLocationID")})
+    src.write_trip_files(wide, root, "yellow", fx.FIXTURE_MONTHS[:1])
+    out = scratch_path(spark, "stream-wide-clean")
+    clean_new_files(spark, root, "yellow", out, scratch_path(spark, "stream-wide-ckpt"))
+    batch = catalog.cleaning.clean_yellow(src.read_trips(spark, root, "yellow", fx.FIXTURE_MONTHS[:1]))
+    got = read_incremental_clean(spark, out, ["yellow"]).select(*batch.columns)
+    assert got.count() == batch.count() > 0 and got.exceptAll(batch).count() == 0
+
+
 def test_command_line_batch(spark):
     from tripdemand.cli import main
     from tripdemand.session import scratch_path

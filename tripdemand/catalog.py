@@ -90,7 +90,7 @@ def raw_fhvhv_df(spark, sf_dir):
 
 @_per_session
 def weather_hourly_df(spark, sf_dir):
-    payloads = spark.read.text(fx.landed(spark, sf_dir).weather_payload)
+    payloads = wx.read_payloads(spark, fx.landed(spark, sf_dir).weather_payload)
     return wx.explode_weather(payloads, "value")
 
 
@@ -307,14 +307,20 @@ def q_zone_semi(spark, sf_dir):
     return cleaning.zone_semi(raw_yellow_df(spark, sf_dir), zones.builtin_dim_location(spark))
 
 
-_EXPLORE_SQL = """
-  SELECT *, datediff('minute', tpep_pickup_datetime, tpep_dropoff_datetime) AS trip_duration_min,
-         CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hour,
-         dayname(tpep_pickup_datetime) AS day_of_week
-  FROM raw_yellow
-  WHERE fare_amount > 0 AND trip_distance > 0 AND total_amount > 0
-    AND PULocationID IS NOT NULL AND DOLocationID IS NOT NULL
-    AND datediff('minute', tpep_pickup_datetime, tpep_dropoff_datetime) BETWEEN 1 AND 180"""
+# what the exploratory cleaner asks of a trip: measures above zero, ids that are there, and minutes in a range
+_EXPLORE_ABOVE_ZERO = ("fare_amount", "trip_distance", "total_amount")
+_EXPLORE_PRESENT = ("PULocationID", "DOLocationID")
+_EXPLORE_MINUTES = (1, 180)
+
+
+def _explore_sql():
+    pickup, dropoff = "tpep_pickup_datetime", "tpep_dropoff_datetime"
+    asked = [f"{c} > 0" for c in _EXPLORE_ABOVE_ZERO] + [f"{c} IS NOT NULL" for c in _EXPLORE_PRESENT] + ["m >= {} AND m <= {}".format(*_EXPLORE_MINUTES)]
+    return (f"SELECT t.* EXCLUDE (m), m AS trip_duration_min, CAST(hour({pickup}) AS INTEGER) AS hour, dayname({pickup}) AS day_of_week "
+            f"FROM (SELECT *, datediff('minute', {pickup}, {dropoff}) AS m FROM raw_yellow) t WHERE {' AND '.join(asked)}")
+
+
+_EXPLORE_SQL = _explore_sql()
 
 
 @register("explore_clean", _EXPLORE_SQL)
@@ -478,9 +484,9 @@ def q_orphan_operators(spark, sf_dir):
   FROM scenarios s CROSS JOIN (SELECT CAST(range AS INTEGER) AS hour FROM range(24)) h""",
           {"scenarios": f"""
   SELECT d.date, d.PULocationID, d.category, d.operator_name,
-         COALESCE({reven(emean('w.temperature', 1), 1)}, 15.0::DOUBLE) AS temperature,
-         COALESCE({reven(emean('w.precipitation', 2), 2)}, 0.0::DOUBLE) AS precipitation,
-         COALESCE({reven(emean('w.windspeed', 1), 1)}, 10.0::DOUBLE) AS windspeed
+         COALESCE({reven(emean('w.temperature', 6), 1)}, 15.0::DOUBLE) AS temperature,
+         COALESCE({reven(emean('w.precipitation', 6), 2)}, 0.0::DOUBLE) AS precipitation,
+         COALESCE({reven(emean('w.windspeed', 6), 1)}, 10.0::DOUBLE) AS windspeed
   FROM (SELECT DISTINCT date, PULocationID, category, operator_name FROM agg_hourly_demand
         WHERE date >= DATE '{fx.FIXTURE_CUT}') d
   LEFT JOIN dim_weather w ON w.date = d.date
@@ -700,10 +706,10 @@ def q_report_bundle(spark, sf_dir):
 
 _DAILY_WEATHER = {"weather_daily": f"""
   SELECT date,
-         {reven(emean('temperature', 1), 1)} AS avg_temp,
+         {reven(emean('temperature', 6), 1)} AS avg_temp,
          {reven('MAX(temperature)', 1)} AS max_temp,
          {reven('MIN(temperature)', 1)} AS min_temp,
-         {reven(ssum('precipitation', 2), 1)} AS total_precip,
+         {reven(ssum('precipitation', 6), 1)} AS total_precip,
          {reven('MAX(snowfall)', 1)} AS max_snowfall,
          MAX(is_rain) AS had_rain, MAX(is_snow) AS had_snow
   FROM dim_weather GROUP BY 1"""}
@@ -1084,6 +1090,6 @@ def q_score_single_hour(spark, sf_dir):
     """Each weekday, month and hour asked of a zone and operator, in mild weather: the unrounded answer."""
     model, _, _ = _session_model(spark, sf_dir)
     asked = features_df(spark, sf_dir).select("day_of_week", "month", "hour", "PULocationID", "category", "operator_name").distinct()
-    mild = asked.withColumns({c: F.lit(float(v)) for c, v in ml.FEATURE_DEFAULTS[:3]})
+    mild = asked.withColumns({c: F.lit(float(v)) for c, v in wx.WEATHER_DEFAULTS[:3]})
     scored = ml.score_scenarios(model, ml.scenario_grid(mild), rounded=False)
     return scored.select("day_of_week", "month", "hour", "PULocationID", "category", "operator_name", (F.col("predicted") >= 0).alias("not_negative"))

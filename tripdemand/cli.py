@@ -5,7 +5,7 @@
         [--zones s3://bucket/taxi_zone_lookup.csv] [--model-cut 2026-03-01]
 
 or ``python -m tripdemand.cli ...`` locally. ``--weather`` is a folder of JSON
-payloads (one object of parallel hourly arrays per line).
+payloads: files of one object of parallel hourly arrays, or of one a line.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
 
     spark = get_spark(args.master, cluster=args.cluster)
-    weather = wx.explode_weather(spark.read.text(args.weather), "value")
+    weather = wx.explode_weather(wx.read_payloads(spark, args.weather), "value")
     zones = read_zones(spark, args.zones) if args.zones else None
     paths = build_warehouse(spark, args.raw, args.out, args.months, weather, zones,
                             model_cut=args.model_cut, n_trees=args.trees)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tripdemand.functions import exact_mean, literal_frame, round_half_away, round_half_even
 from tripdemand.operators import boosting
-from tripdemand.operators.weather import demand_weather_defaults
+from tripdemand.operators.weather import MEASURE_PLACES, WEATHER_DEFAULTS, demand_weather_defaults
 from tripdemand.session import checkpoint_dir, path_exists
 
 # --- fixed values (must equal the reference's) --------------------------------
@@ -26,8 +26,6 @@ FEATURE_COLS = (
     "temperature", "precipitation", "windspeed", "is_rain", "is_snow",
 )
 OPERATOR_ENC = (("Creative Mobile Tech", 0), ("VeriFone", 1), ("Uber", 2), ("Lyft", 3))
-FEATURE_DEFAULTS = (("temperature", 15.0), ("precipitation", 0.0), ("windspeed", 10.0),
-                    ("is_rain", 0), ("is_snow", 0))
 FEATURE_LABELS = (
     ("hour", "Jam"), ("day_of_week", "Hari dalam Minggu"), ("month", "Bulan"),
     ("PULocationID", "ID Zona Pickup"), ("is_weekend", "Akhir Pekan"),
@@ -66,11 +64,10 @@ def _operator_enc(name: Column) -> Column:
 
 
 def build_features(df: DataFrame) -> DataFrame:
-    """Model features from hourly demand rows.
+    """Hourly demand rows with the model's inputs beside their own columns.
 
-    Needs date, hour, day_of_week, category, operator_name; weather columns
-    are optional: absent ones take the default, present ones are null-filled
-    with it. Unknown operators encode as -1.
+    Calendar, category and operator become numbers (an unknown operator -1).
+    Where a weather column is missing or null, it has its default.
     """
     hs, hc = _cyclic(F.col("hour"), 24)
     ds, dc = _cyclic(F.col("day_of_week"), 7)
@@ -81,7 +78,7 @@ def build_features(df: DataFrame) -> DataFrame:
         "category_enc": (F.col("category") == MODERN_CATEGORY).cast("int"),
         "operator_enc": _operator_enc(F.col("operator_name")),
     }
-    for name, default in FEATURE_DEFAULTS:
+    for name, default in WEATHER_DEFAULTS:
         lit = F.lit(default)
         cols[name] = F.coalesce(F.col(name), lit) if name in df.columns else lit
     return df.withColumns(cols)
@@ -200,13 +197,13 @@ def scenario_inputs(demand: DataFrame, dim_weather: DataFrame, cut: str) -> Data
     the weather is the day's mean temperature, precipitation and wind.
     """
     day_weather = dim_weather.groupBy("date").agg(
-        round_half_even(exact_mean(F.col("temperature"), 1), 1).alias("temperature"),
-        round_half_even(exact_mean(F.col("precipitation"), 2), 2).alias("precipitation"),
-        round_half_even(exact_mean(F.col("windspeed"), 1), 1).alias("windspeed"))
+        round_half_even(exact_mean(F.col("temperature"), MEASURE_PLACES), 1).alias("temperature"),
+        round_half_even(exact_mean(F.col("precipitation"), MEASURE_PLACES), 2).alias("precipitation"),
+        round_half_even(exact_mean(F.col("windspeed"), MEASURE_PLACES), 1).alias("windspeed"))
     scen = (demand.filter(F.col("date") >= F.lit(cut).cast("date"))
             .select("date", "PULocationID", "category", "operator_name").distinct())
     return scen.join(day_weather, "date", "left").na.fill(
-        {"temperature": 15.0, "precipitation": 0.0, "windspeed": 10.0})
+        {c: v for c, v in WEATHER_DEFAULTS if c in day_weather.columns})
 
 
 def scenario_grid(scenarios: DataFrame) -> DataFrame:

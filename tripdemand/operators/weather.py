@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripdemand.functions import exact_mean, round_half_even, scaled_sum
@@ -19,6 +19,8 @@ PAYLOAD_FIELDS = (
 PAYLOAD_SCHEMA = ("hourly struct<time: array<string>, "
                   + ", ".join(f"{src}: array<{t}>" for src, _, t in PAYLOAD_FIELDS) + ">")
 
+# decimals that raw measures are summed at; finer ones are rounded
+MEASURE_PLACES = 6
 RAIN_THRESHOLD_MM = 0.1
 FILLED_MEASURES = ("temperature", "feels_like", "precipitation", "snowfall", "windspeed")
 # Feature defaults when a trip hour has no weather row (fallback training path).
@@ -46,6 +48,18 @@ def weather_payload(hourly: DataFrame) -> DataFrame:
     return per_day.select(F.to_json(F.struct(F.struct(*arrays).alias("hourly"))).alias("payload"))
 
 
+def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """Payload texts (``value``) of files that hold one payload over any number of lines, or one a line.
+
+    A file is read as a whole: one payload covers a period of hours, a few megabytes for
+    many years. If the first line that is not blank is a whole JSON value, every line is a payload.
+    """
+    whole = spark.read.option("wholetext", True).text(path).where(F.trim(F.regexp_replace("value", r"\s+", " ")) != "")
+    first = F.regexp_extract("value", r"^\s*([^\r\n]*)", 1)
+    payloads = F.when(F.try_parse_json(first).isNotNull(), F.split("value", r"[\r\n]+")).otherwise(F.array("value"))
+    return whole.select(F.explode(payloads).alias("value")).where(F.trim("value") != "")
+
+
 def explode_weather(payloads: DataFrame, column: str = "payload") -> DataFrame:
     """JSON payloads of parallel arrays -> one row per hour.
 
@@ -87,14 +101,14 @@ def build_dim_weather(hourly: DataFrame) -> DataFrame:
 def weather_daily(dim_weather: DataFrame) -> DataFrame:
     """Daily weather summary, every value rounded half-even to one decimal.
 
-    Means and sums are exact over the 1- and 2-decimal measures, so the
+    Means and sums are exact over measures of up to six decimals, so the
     half-even rounding sees the same value on every run and engine.
     """
     daily = dim_weather.groupBy("date").agg(
-        exact_mean(F.col("temperature"), 1).alias("avg_temp"),
+        exact_mean(F.col("temperature"), MEASURE_PLACES).alias("avg_temp"),
         F.max("temperature").alias("max_temp"),
         F.min("temperature").alias("min_temp"),
-        scaled_sum(F.col("precipitation"), 2).alias("total_precip"),
+        scaled_sum(F.col("precipitation"), MEASURE_PLACES).alias("total_precip"),
         F.max("snowfall").alias("max_snowfall"),
         F.max("is_rain").alias("had_rain"),
         F.max("is_snow").alias("had_snow"),

@@ -69,9 +69,9 @@ class Change:
         self.number = numbers[-1] + 1 if numbers else 1
         self.tables = state(spark, self.root, numbers[-1]) if numbers else {}
 
-    def replace(self, table: str, df: DataFrame, by: Sequence[str] = ()) -> None:
-        """The table's rows become those of ``df``, in folders by the columns ``by``."""
-        self.tables[table] = {"schema": df.schema.json(), "folders": self._stage(table, df, by)}
+    def replace(self, table: str, df: DataFrame, by: Sequence[str] = (), **options: str) -> None:
+        """The table's rows become those of ``df``, in folders by the columns ``by``; ``options`` go to the writer."""
+        self.tables[table] = {"schema": df.schema.json(), "folders": self._stage(table, df, by, options)}
 
     def replace_parts(self, table: str, df: DataFrame, by: Sequence[str], gone: Iterable[str] = ()) -> None:
         """Parts that ``df`` has rows of are replaced, those of ``gone`` (``key=value/...``) removed, others stay."""
@@ -80,18 +80,19 @@ class Change:
         old = [f for f in self.tables.get(table, {}).get("folders", []) if _part(f) not in drop]
         self.tables[table] = {"schema": df.schema.json(), "folders": old + new}
 
-    def append(self, table: str, df: DataFrame, by: Sequence[str] = ()) -> None:
+    def append(self, table: str, df: DataFrame, by: Sequence[str] = (), **options: str) -> None:
         """The rows of ``df`` are added."""
         old = self.tables.get(table, {}).get("folders", [])
-        self.tables[table] = {"schema": df.schema.json(), "folders": old + self._stage(table, df, by)}
+        self.tables[table] = {"schema": df.schema.json(), "folders": old + self._stage(table, df, by, options)}
 
     def staged(self, table: str) -> DataFrame:
         """The table as it will be, for the steps of a change that build on each other."""
         return _read(self.spark, self.root, table, self.tables[table])
 
-    def _stage(self, table: str, df: DataFrame, by: Sequence[str]) -> list[str]:
+    def _stage(self, table: str, df: DataFrame, by: Sequence[str], options: dict[str, str] | None = None) -> list[str]:
         version = f"version=v{self.number}-{uuid.uuid4().hex[:8]}"
-        writer = df.write.partitionBy(*by) if by else df.write
+        writer = df.write.options(**(options or {}))
+        writer = writer.partitionBy(*by) if by else writer
         writer.parquet(f"{self.root}/{table}/{version}")
         folders = [version]
         for _ in by:

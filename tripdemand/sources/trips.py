@@ -61,6 +61,20 @@ def trip_file_name(service: str, month: str) -> str:
     return f"{service}_tripdata_{month}.parquet"
 
 
+def wide_schema(service: str) -> T.StructType:
+    """The service's columns as they are read: 64-bit integers take both widths that published files have."""
+    return T.StructType([T.StructField(f.name, T.LongType() if f.dataType == T.IntegerType() else f.dataType) for f in RAW_SCHEMAS[service]])
+
+
+def typed(files: DataFrame, service: str) -> DataFrame:
+    """Read files with the declared types (a value beyond them fails) and ``file_month``.
+
+    Where the column is not used it costs nothing.
+    """
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_SCHEMAS[service]]
+    return files.select(*columns, F.regexp_extract(F.col("_metadata.file_path"), FILE_MONTH_PATTERN, 1).alias("file_month"))
+
+
 def read_trips(spark: SparkSession, root: str, service: str,
                months: Iterable[str] | None = None) -> DataFrame:
     """All landed files of one service as one DataFrame, plus ``file_month``.
@@ -80,17 +94,13 @@ def read_trips(spark: SparkSession, root: str, service: str,
         if not months:
             return _empty(spark, schema)
         pattern = base + "{" + ",".join(months) + "}.parquet"
-    # 64-bit integers read both widths that published files have; the cast back fails on overflow
-    wide = T.StructType([T.StructField(f.name, T.LongType() if f.dataType == T.IntegerType() else f.dataType) for f in schema])
     try:
-        df = spark.read.schema(wide).parquet(pattern)
+        df = spark.read.schema(wide_schema(service)).parquet(pattern)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return _empty(spark, schema)  # nothing landed for any requested month
-    # listing has pruned the months; where the column is not used it costs nothing
-    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
-    return df.select(*typed, F.regexp_extract(F.col("_metadata.file_path"), FILE_MONTH_PATTERN, 1).alias("file_month"))
+    return typed(df, service)
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripdemand.operators import cleaning
-from tripdemand.sources.trips import FILE_MONTH_PATTERN, RAW_SCHEMAS
+from tripdemand.sources.trips import typed, wide_schema
 
 _CLEANERS = {"yellow": cleaning.clean_yellow, "fhvhv": cleaning.clean_hvfhv}
 
@@ -22,12 +22,10 @@ _CLEANERS = {"yellow": cleaning.clean_yellow, "fhvhv": cleaning.clean_hvfhv}
 def landed_stream(spark: SparkSession, root: str, service: str,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming view of one service's landed files, with ``file_month``."""
-    reader = spark.readStream.schema(RAW_SCHEMAS[service])
+    reader = spark.readStream.schema(wide_schema(service))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.parquet(f"{root.rstrip('/')}/{service}_tripdata_*.parquet")
-    return df.withColumn("file_month",
-                         F.regexp_extract(F.col("_metadata.file_path"), FILE_MONTH_PATTERN, 1))
+    return typed(reader.parquet(f"{root.rstrip('/')}/{service}_tripdata_*.parquet"), service)
 
 
 def clean_new_files(spark: SparkSession, root: str, service: str, clean_root: str,
