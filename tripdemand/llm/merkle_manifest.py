@@ -125,33 +125,32 @@ def merkle_proofs(docs: DataFrame, fields: list[str], keep: list[Column], altere
         *(c.alias(k) for c, k in zip(keep, kept, strict=True)), F.col(source_col).cast("string").alias("_source"), F.col(id_col).alias("_id"),
         leaf([F.col(f) for f in fields]).alias("digest"), leaf([altered.get(f, F.col(f)) for f in fields]).alias("_claim"),
     )
-    placed = places(rows, [F.col("_id").asc_nulls_first(), F.col("digest")], "_source")
-    sources = places(placed.groupBy("_source").agg(F.max("size").alias("_leaves")), [F.col("_source").asc_nulls_first()])
-    sources = written(sources.select(F.col("_source").alias("_name"), F.col("pos").alias("tree"), F.col("size").alias("_trees"), "_leaves"), "sources")
-    leaves = written(placed.join(sources, F.col("_source").eqNullSafe(F.col("_name"))).drop("_name", "_source", "_id", "_leaves").withColumn("level", F.lit(0)), "leaves")
+    placed = places(rows, [F.col("_id").asc_nulls_first(), F.col("digest")], "_source", "tree")
+    leaves = written(placed.drop("_source", "_id").withColumn("level", F.lit(0)), "leaves")
 
     low = forest(leaves.select(*_node_columns()), inner=False)
-    subroots = low.where("size = 1").join(sources.select("tree", "_trees"), "tree")
-    high = forest(subroots.select(F.lit(TOP).cast("long").alias("tree"), F.lit(0).alias("level"), F.col("tree").alias("pos"), F.col("_trees").alias("size"), "digest"), inner=True)
+    subroots = stored(low.where("size = 1").select("tree", "digest"))
+    trees = subroots.count()
+    high = forest(subroots.select(F.lit(TOP).cast("long").alias("tree"), F.lit(0).alias("level"), F.col("tree").alias("pos"), F.lit(trees).cast("long").alias("size"), "digest"), inner=True)
     nodes = low.union(high).select("tree", "level", "pos", "digest")
 
     block = F.floor(F.col("pos") / BLOCK).alias("block")
 
     def wants(part: pd.DataFrame) -> pd.DataFrame:
-        tree, size, trees, at = int(part.tree.iloc[0]), int(part["size"].iloc[0]), int(part._trees.iloc[0]), int(part.pos.iloc[0]) // BLOCK
+        tree, size, at = int(part.tree.iloc[0]), int(part["size"].iloc[0]), int(part.pos.iloc[0]) // BLOCK
         own = [(tree, level, pos) for level, pos in missing(part.pos.to_numpy(), size)]
         shared = [(TOP, level, pos) for level, pos in missing(np.array([tree]), trees)]
         return pd.DataFrame([(tree, at, *x) for x in own + shared], columns=["tree", "block", "of", "level", "pos"])
 
-    wanted = leaves.select("tree", "pos", "size", "_trees").groupBy("tree", block).applyInPandas(wants, "tree long, block long, of long, level int, pos long")
+    wanted = leaves.select("tree", "pos", "size").groupBy("tree", block).applyInPandas(wants, "tree long, block long, of long, level int, pos long")
     wanted = wanted.withColumn("salt", (F.xxhash64("tree", "block") % SALTS + SALTS) % SALTS)
     offered = nodes.select(F.col("tree").alias("of"), "level", "pos", "digest", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
     fetched = wanted.join(offered, ["of", "level", "pos", "salt"]).select("tree", "block", "of", "level", "pos", "digest")
 
     types = {f.name: f.dataType.simpleString() for f in leaves.schema.fields}
     result = ", ".join(f"{k} {types[k]}" for k in kept) + ", leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
-    grouped = leaves.select(*kept, "tree", "pos", "size", "_trees", "digest", "_claim", block).groupBy("tree", "block")
-    out = grouped.cogroup(fetched.groupBy("tree", "block")).applyInArrow(lambda part, got: expanded(part, got, kept), result)
+    grouped = leaves.select(*kept, "tree", "pos", "size", "digest", "_claim", block).groupBy("tree", "block")
+    out = grouped.cogroup(fetched.groupBy("tree", "block")).applyInArrow(lambda part, got: expanded(part, got, trees, kept), result)
     return out.select(*(F.col(k).alias(n) for k, n in zip(kept, names, strict=True)), *(F.col(c) for c in out.columns[len(kept) :]))
 
 
@@ -159,11 +158,11 @@ def _node_columns() -> list[Column]:
     return [F.col(c.split()[0]) for c in NODE.split(", ")]
 
 
-def expanded(part: pa.Table, got: pa.Table, kept: list[str]) -> pa.Table:
+def expanded(part: pa.Table, got: pa.Table, trees: int, kept: list[str]) -> pa.Table:
     """The results of one block of leaves: shared levels derived once, proofs spelled out for each leaf."""
     part = part.sort_by("pos")
     pos = part.column("pos").to_numpy()
-    tree, trees, size = (part.column(c)[0].as_py() for c in ("tree", "_trees", "size"))
+    tree, size = (part.column(c)[0].as_py() for c in ("tree", "size"))
     own = part.column("digest").to_pylist()
     known = {x[:3]: x[3] for x in zip(*(got.column(c).to_pylist() for c in ("of", "level", "pos", "digest")), strict=True)}
     known |= {(tree, 0, p): d for p, d in zip(pos.tolist(), own, strict=True)}

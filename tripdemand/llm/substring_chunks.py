@@ -117,7 +117,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     maybe = found.select("d1", "id", "at").groupBy("d1").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("d1")
     several = written(found.join(maybe, "d1", "left_semi").select(*found.columns), "chunks")
     first = several.groupBy("d1", "d2").agg(F.min(F.struct("id", "at")).alias("first"), F.max(F.struct("id", "at")).alias("last")).where("first < last")
-    parts = several.join(first.select("d1", "d2", "first"), ["d1", "d2"]).select("id", "doc", "size", "at", "len", (F.struct("id", "at") != F.col("first")).alias("gone"))
+    # written: a join of two plain shuffles, of which Spark splits what a hot digest has
+    first = written(first.select("d1", "d2", "first"), "firsts")
+    parts = several.join(first, ["d1", "d2"]).select("id", "doc", "size", "at", "len", (F.struct("id", "at") != F.col("first")).alias("gone"))
     each = parts.select("id", "at", "len", "gone").distinct()
     by_place = Window.partitionBy("id").orderBy("at", "len")
     new = F.coalesce(F.lag(F.col("at") + F.col("len")).over(by_place) != F.col("at"), F.lit(True))

@@ -322,7 +322,8 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dups = written(resolve_spans(spans, spans_per_anchor), "windows")
 
     verdict = equal.select("a", "g", "c").join(dups, ["a", "g"], "left").where("c > 1 or dup is not null")
-    verdict = verdict.select("a", "g", F.when(F.col("c") == 1, F.col("dup")).alias("dup"))
+    # written: a join of two plain shuffles, of which Spark splits what a hot span has
+    verdict = written(verdict.select("a", "g", F.when(F.col("c") == 1, F.col("dup")).alias("dup")), "verdicts")
     marks = shared.select("a", "g", "k1", "k2", "lo", "n").join(verdict, ["a", "g"]).groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "n", "dup")).alias("marks"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
