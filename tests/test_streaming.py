@@ -54,3 +54,17 @@ def test_command_line_batch(spark):
     assert spark.read.parquet(f"{out}/agg_hourly_demand").count() == catalog.agg_hourly_df(spark, SF_SMALL).count()
     assert spark.read.parquet(f"{out}/ml_model_metrics").count() == 1
     assert spark.read.parquet(f"{out}/ml_feature_importance").count() == 16
+
+
+def test_command_line_append(spark, capsys):
+    from tripdemand.cli import main
+    from tripdemand.plans.warehouse import read_table
+    land = fx.landed(spark, SF_SMALL)
+    out = scratch_path(spark, "cli-append")
+    given = ["--raw", land.trips, "--out", out, "--weather", land.weather_payload, "--months"]
+    main([*given, *fx.FIXTURE_MONTHS[:2]])
+    main([*given, *fx.FIXTURE_MONTHS, "--append"])
+    main([*given, *fx.FIXTURE_MONTHS, "--append"])
+    said = capsys.readouterr().out
+    assert f"new months: {fx.FIXTURE_MONTHS[2]}" in said and "new months: none" in said
+    assert read_table(spark, out, "agg_hourly_demand").exceptAll(catalog.agg_hourly_df(spark, SF_SMALL)).count() == 0

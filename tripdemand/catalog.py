@@ -299,14 +299,20 @@ def q_clean_hvfhv(spark, sf_dir):
     return clean_fhvhv_df(spark, sf_dir)
 
 
-@register("zone_semi", """
-  SELECT * FROM raw_yellow
-  WHERE PULocationID IN (SELECT location_id FROM dim_location)
-    AND DOLocationID IN (SELECT location_id FROM dim_location)""")
+def _zone_semi_sql(service):
+    return f"SELECT * FROM raw_{service} WHERE PULocationID IN (SELECT location_id FROM dim_location) AND DOLocationID IN (SELECT location_id FROM dim_location)"
+
+
+@register("zone_semi", _zone_semi_sql("yellow"))
 def q_zone_semi(spark, sf_dir):
     return cleaning.zone_semi(raw_yellow_df(spark, sf_dir), zones.builtin_dim_location(spark))
 
 
+@register("zone_semi_hvfhv", _zone_semi_sql("fhvhv"))
+def q_zone_semi_hvfhv(spark, sf_dir):
+    return cleaning.zone_semi(raw_fhvhv_df(spark, sf_dir), zones.builtin_dim_location(spark))
+
+
 # what the exploratory cleaner asks of a trip: measures above zero, ids that are there, and minutes in a range
 _EXPLORE_ABOVE_ZERO = ("fare_amount", "trip_distance", "total_amount")
 _EXPLORE_PRESENT = ("PULocationID", "DOLocationID")
@@ -837,28 +843,56 @@ def q_profile_explore(spark, sf_dir):
     return quality.profile(cleaning.explore_clean(raw_yellow_df(spark, sf_dir)), _EXPLORE_PROFILE_COLS)
 
 
-_RAW_Y_COLS = ("VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID",
-               "DOLocationID", "trip_distance", "fare_amount", "tip_amount", "tolls_amount",
-               "congestion_surcharge", "Airport_fee", "cbd_congestion_fee", "total_amount", "file_month")
-_RAW_Y_TYPES = ("int", "timestamp_ntz", "timestamp_ntz", "int", "int", "double", "double", "double",
-                "double", "double", "double", "double", "double", "string")
+# columns and Spark types of the raw files, in order
+_RAW_COLUMNS = {
+    "yellow": (("VendorID", "int"), ("tpep_pickup_datetime", "timestamp_ntz"), ("tpep_dropoff_datetime", "timestamp_ntz"), ("PULocationID", "int"),
+               ("DOLocationID", "int"), ("trip_distance", "double"), ("fare_amount", "double"), ("tip_amount", "double"), ("tolls_amount", "double"),
+               ("congestion_surcharge", "double"), ("Airport_fee", "double"), ("cbd_congestion_fee", "double"), ("total_amount", "double"), ("file_month", "string")),
+    "fhvhv": (("hvfhs_license_num", "string"), ("pickup_datetime", "timestamp_ntz"), ("dropoff_datetime", "timestamp_ntz"), ("PULocationID", "int"),
+              ("DOLocationID", "int"), ("trip_miles", "double"), ("base_passenger_fare", "double"), ("tips", "double"), ("tolls", "double"), ("bcf", "double"),
+              ("sales_tax", "double"), ("congestion_surcharge", "double"), ("airport_fee", "double"), ("cbd_congestion_fee", "double"), ("file_month", "string")),
+}
+
+
+def _missing_sql(service):
+    return " UNION ALL ".join(
+        f"SELECT {i} AS position, '{c}' AS \"column\", COUNT(*) FILTER (WHERE {c} IS NULL" + (f" OR isnan({c})" if t == "double" else "") + f") AS missing FROM raw_{service}"
+        for i, (c, t) in enumerate(_RAW_COLUMNS[service]))
+
+
+def _schema_sql(service):
+    return " UNION ALL ".join(f"SELECT {i} AS position, '{c}' AS \"column\", '{t}' AS type, COUNT({c}) AS non_null FROM raw_{service}"
+                              for i, (c, t) in enumerate(_RAW_COLUMNS[service]))
 
 
-@register("missing_values", " UNION ALL ".join(
-    f"SELECT {i} AS position, '{c}' AS \"column\", COUNT(*) FILTER (WHERE {c} IS NULL"
-    + (f" OR isnan({c})" if t == "double" else "") + ") AS missing FROM raw_yellow"
-    for i, (c, t) in enumerate(zip(_RAW_Y_COLS, _RAW_Y_TYPES))))
+@register("missing_values", _missing_sql("yellow"))
 def q_missing_values(spark, sf_dir):
     return quality.missing_values(raw_yellow_df(spark, sf_dir))
 
 
-@register("schema_report", " UNION ALL ".join(
-    f"SELECT {i} AS position, '{c}' AS \"column\", '{t}' AS type, COUNT({c}) AS non_null FROM raw_yellow"
-    for i, (c, t) in enumerate(zip(_RAW_Y_COLS, _RAW_Y_TYPES))))
+@register("missing_values_hvfhv", _missing_sql("fhvhv"))
+def q_missing_values_hvfhv(spark, sf_dir):
+    return quality.missing_values(raw_fhvhv_df(spark, sf_dir))
+
+
+@register("schema_report", _schema_sql("yellow"))
 def q_schema_report(spark, sf_dir):
     return quality.schema_report(raw_yellow_df(spark, sf_dir))
 
 
+@register("schema_report_hvfhv", _schema_sql("fhvhv"))
+def q_schema_report_hvfhv(spark, sf_dir):
+    return quality.schema_report(raw_fhvhv_df(spark, sf_dir))
+
+
+_PROFILE_COLS_HVFHV = tuple(c for c, t in _RAW_COLUMNS["fhvhv"] if t in ("int", "double"))
+
+
+@register("profile_hvfhv", _profile_sql(_PROFILE_COLS_HVFHV, "raw_fhvhv"))
+def q_profile_hvfhv(spark, sf_dir):
+    return quality.profile(raw_fhvhv_df(spark, sf_dir), _PROFILE_COLS_HVFHV)
+
+
 # --- 2.5 windows ---------------------------------------------------------------------
 
 # Ids follow the place in the written files, so SQL states what they must satisfy: dense
