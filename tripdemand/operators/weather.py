@@ -54,7 +54,7 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     A file is read as a whole: one payload covers a period of hours, a few megabytes for
     many years. If the first line that is not blank is a whole JSON value, every line is a payload.
     """
-    whole = spark.read.option("wholetext", True).text(path).where(F.trim(F.regexp_replace("value", r"\s+", " ")) != "")
+    whole = spark.read.text(path, wholetext=True).where(F.trim(F.regexp_replace("value", r"\s+", " ")) != "")
     first = F.regexp_extract("value", r"^\s*([^\r\n]*)", 1)
     payloads = F.when(F.try_parse_json(first).isNotNull(), F.split("value", r"[\r\n]+")).otherwise(F.array("value"))
     return whole.select(F.explode(payloads).alias("value")).where(F.trim("value") != "")
