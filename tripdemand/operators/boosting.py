@@ -61,8 +61,9 @@ def thresholds(rows: DataFrame, features: Sequence[str], max_bins: int) -> list[
     """For each feature, at most ``max_bins - 1`` thresholds, between neighbouring values.
 
     All gaps between different values if they are few enough, else those at equal shares of
-    rows. (feature, value) pairs are counted first; what reaches the driver is bounded by
-    features x bins.
+    rows. (feature, value) pairs are counted first, so a task sees the different values of a
+    feature (calendar, zones, weather as measured: some thousands), not its rows; what
+    reaches the driver is bounded by features x bins.
     """
     pairs = rows.select(F.explode(F.array(*(F.struct(F.lit(i).alias("f"), F.col(c).alias("v")) for i, c in enumerate(features)))).alias("p"))
     counts = pairs.select("p.*").where("v is not null").groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
