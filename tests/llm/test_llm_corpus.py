@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -377,6 +378,28 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, sf).select("doc_id").collect()) == sorted(rows)
 
 
+def test_stages_send_small_batches_to_python(spark):
+    import corpus_pipeline
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    long_texts = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("ab cd ef"), 500).alias("t"))
+    for stage in (corpus_pipeline.language_id, corpus_pipeline.near_duplicates, corpus_pipeline.secrets, corpus_pipeline.token_ids):
+        spark.conf.unset(key)
+        try:
+            stage(spark, docs(spark, [(1, "one two three four five six"), (2, "seven")]), "")
+            seen = [r.n for r in long_texts.mapInArrow(sizes, "n long").collect()]
+            assert sum(seen) > 16_000_000 and max(seen) < 5_000_000
+            spark.conf.set(key, "1000000")
+            stage(spark, docs(spark, [(1, "one two three four five six"), (2, "seven")]), "")
+            assert spark.conf.get(key) == "1000000"
+        finally:
+            spark.conf.unset(key)
+
+
 def test_pipeline_of_no_rows(spark):
     import corpus_pipeline
 

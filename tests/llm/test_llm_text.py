@@ -89,6 +89,26 @@ def test_very_long_words_equal_the_library():
         assert own.tolist() == lib.encode(t, add_eos=True)
 
 
+def test_codec_memory_is_bounded():
+    """New words only, the dearest texts: what one batch takes at a time, whatever its size."""
+    import tracemalloc
+
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(500)) for _ in range(700)]
+    codec = C.PieceCodec(*C.read_model(PIECES))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    tracemalloc.start()
+    try:
+        for part in C.chunks(iter([batch]), "text", C.CHUNK_BYTES):
+            ids, counts = codec.encode(part.column("text"))
+            codec.decode(ids, counts)
+            codec.decimal(ids, counts)
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
+    assert len(codec.slot) <= C.KEPT_WORDS + C.CHUNK_BYTES
+
+
 def test_encoding_of_no_rows(spark):
     assert C.encode_documents(docs(spark, []), PIECES).collect() == []
 

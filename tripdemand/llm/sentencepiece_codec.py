@@ -33,9 +33,9 @@ MAX_CODE = 0x110000
 #: Rounds over whole words; what still merges then (words of dozens to thousands of letters) goes on by rank.
 ROUNDS = 24
 #: Words whose ids a worker keeps; beyond it the kept words are dropped and gathered anew.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 #: Bytes of text handled at a time; ids, their decimals and the decoded bytes take some hundred bytes for each.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 256 << 10
 
 
 class PairTable:
