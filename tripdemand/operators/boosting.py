@@ -26,10 +26,9 @@ from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import RDD, StorageLevel
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripdemand.functions import literal_frame
@@ -294,73 +293,34 @@ class Together(Alone):
             self.blocks.checkpoint()
 
 
-class Paths(NamedTuple):
-    """All nodes of all trees end to end, as arrays; the last one stands for a node that is not there."""
-
-    root: np.ndarray
-    feature: np.ndarray
-    cut: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    value: np.ndarray
-    depth: int
-
-    def sums(self, values: np.ndarray) -> np.ndarray:
-        """For each row of the (features x rows) array, the sum of the leaf values that it comes to."""
-        out, each = np.zeros(values.shape[1]), np.arange(values.shape[1])
-        for root in self.root:
-            at = np.full(len(each), root)
-            for _ in range(self.depth):
-                # nan (null) is above no threshold; a leaf leads to itself
-                at = np.where(values[self.feature[at], each] > self.cut[at], self.right[at], self.left[at])
-            out += self.value[at]
-        return out
-
-
-def paths_of(nodes: list[Row], features: Sequence[str]) -> Paths:
-    """The node table, collected: its size is the trees'."""
-    nodes = sorted(nodes, key=lambda r: (r.tree, r.node))
-    place = {(r.tree, r.node): i for i, r in enumerate(nodes)}
-    gone, place_of = len(nodes), {f: i for i, f in enumerate(features)}
-    here = range(gone + 1)
-    splits = [r.feature is not None for r in nodes] + [False]
-    child = [np.array([place.get((nodes[i].tree, 2 * nodes[i].node + side), gone) if splits[i] else i for i in here]) for side in (0, 1)]
-    return Paths(
-        np.array([place.get((t, 1), gone) for t in sorted({r.tree for r in nodes})]),
-        np.array([place_of[r.feature] if s else 0 for r, s in zip([*nodes, None], splits, strict=True)]),
-        np.array([np.nan if not s or r.threshold is None else r.threshold for r, s in zip([*nodes, None], splits, strict=True)]),
-        child[0], child[1],
-        np.array([0.0 if s or r is None or r.value is None else r.value for r, s in zip([*nodes, None], splits, strict=True)]),
-        max(r.node for r in nodes).bit_length() - 1,
-    )
-
-
 def score_trees(rows: DataFrame, nodes: DataFrame, output: str = "prediction") -> DataFrame:
     """``rows`` with the sum of the leaf values that each row comes to.
 
-    The node table, which is bounded by the trees (at most 2 ** (depth + 1) nodes each), goes
-    to every task, and a batch of rows goes down a tree level by level; rows are not copied.
-    They are dealt out to all cores first: hundreds of trees take far longer than a shuffle,
-    and the rows of a small table or a small shuffle are all in one task. Leaf values are multiples of a power
-    of two, so their sum is exact in any order. A tree of an unseen value goes on by the
-    threshold, nulls go left. A table without nodes scores no row.
+    Each row meets each tree once and goes down it by one join a level with the node table,
+    which is bounded by the trees (at most 2 ** (depth + 1) nodes each) and broadcast. Leaf
+    values are multiples of a power of two, so their sum is exact in any order. A tree of
+    an unseen value goes on by the threshold, nulls go left.
     """
-    on_workers(rows.sparkSession)
-    held = nodes.select("tree", "node", "feature", "threshold", "value").collect()
-    if not held:
-        return rows.where(F.lit(False)).withColumn(output, F.lit(None).cast("double"))
-    features = sorted({r.feature for r in held if r.feature is not None})
-    paths = paths_of(held, features)
-    if not features:
-        return rows.withColumn(output, F.lit(float(paths.sums(np.zeros((0, 1)))[0])))
-
-    @F.pandas_udf("double")
-    def summed(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for columns in batches:
-            yield pd.Series(paths.sums(np.array([c.to_numpy(np.float64, na_value=np.nan) for c in columns])))
-
+    features = [r.feature for r in nodes.where("feature is not null").select("feature").distinct().orderBy("feature").collect()]
+    deepest = nodes.agg(F.max("node")).first()[0] or 1
+    last = nodes.agg(F.max("tree")).first()[0]
+    own = [F.col(f"`{c}`") for c in rows.columns]
+    splits = nodes.where("feature is not null").select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("feature").alias("_f"), F.col("threshold").alias("_cut"))
+    leaves = nodes.where("feature is null").select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("value").alias("_value"))
+    # a small table's rows are all in one task, and hundreds of trees take far longer than a shuffle
     dealt = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
-    return dealt.withColumn(output, summed(*(number(f) for f in features)))
+    met = dealt.withColumn("_row", F.monotonically_increasing_id()).select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("_tree")).withColumn("_node", F.lit(1))
+    here = (F.col("_tree") == F.col("_t")) & (F.col("_node") == F.col("_n"))
+    value = F.lit(None).cast("double")
+    for f in features:
+        value = F.when(F.col("_f") == f, number(f)).otherwise(value)
+    right = (value > F.col("_cut")).cast("int")
+    for _ in range(int(math.log2(deepest))):
+        step = F.when(F.col("_f").isNull(), F.col("_node")).otherwise(2 * F.col("_node") + F.coalesce(right, F.lit(0)))
+        met = met.join(F.broadcast(splits), here, "left").select(*own, "_row", "_tree", step.alias("_node"))
+    summed = met.join(F.broadcast(leaves), here).groupBy("_row", *own).agg(F.sum("_value").alias(output))
+    return summed.drop("_row")
 
 
 def gains(nodes: DataFrame) -> DataFrame:
